@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import iblt, simhash
 from .common import table
 
 
@@ -14,7 +14,11 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_groups(table(spark, sf_dir, "documents"))
 
 
-_ALL = (op1_simhash_near_dedup,)
+def op7_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iblt.edited_likeness(table(spark, sf_dir, "documents"))
+
+
+_ALL = (op1_simhash_near_dedup, op7_iblt_fingerprints)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
