@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import iblt, simhash
+from . import html_text, iblt, pii, simhash
 from .common import table
 
 
@@ -14,11 +14,19 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op5_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iblt.edited_likeness(table(spark, sf_dir, "documents"))
 
 
-_ALL = (op1_simhash_near_dedup, op7_iblt_fingerprints)
+_ALL = (op1_simhash_near_dedup, op2_html_main_text, op5_pii_spans, op7_iblt_fingerprints)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
