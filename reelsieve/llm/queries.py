@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_text, iblt, pii, simhash
+from . import html_text, iblt, line_dedup, pii, sharding, simhash
 from .common import table
 
 
@@ -18,6 +18,14 @@ def op2_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
+def op4_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
 def op5_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan(table(spark, sf_dir, "documents"))
 
@@ -26,7 +34,7 @@ def op7_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iblt.edited_likeness(table(spark, sf_dir, "documents"))
 
 
-_ALL = (op1_simhash_near_dedup, op2_html_main_text, op5_pii_spans, op7_iblt_fingerprints)
+_ALL = (op1_simhash_near_dedup, op2_html_main_text, op3_line_dedup, op4_extendible_shards, op5_pii_spans, op7_iblt_fingerprints)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -34,4 +42,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_extendible_shards": sharding.sql()}
