@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_text, iblt, line_dedup, pii, sharding, simhash
+from . import decontam, html_text, iblt, line_dedup, mixing, pii, sharding, simhash
 from .common import table
 
 
@@ -34,7 +34,15 @@ def op7_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iblt.edited_likeness(table(spark, sf_dir, "documents"))
 
 
-_ALL = (op1_simhash_near_dedup, op2_html_main_text, op3_line_dedup, op4_extendible_shards, op5_pii_spans, op7_iblt_fingerprints)
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
+_ALL = (op1_simhash_near_dedup, op2_html_main_text, op3_line_dedup, op4_extendible_shards, op5_pii_spans, op7_iblt_fingerprints, op9_decontamination, op10_source_mix)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -42,4 +50,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_extendible_shards": sharding.sql()}
+    return {"op4_extendible_shards": sharding.sql(), "op10_source_mix": mixing.sql()}
