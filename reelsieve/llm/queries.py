@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, html_text, iblt, line_dedup, mixing, pii, sharding, simhash
+from . import chat, decontam, html_text, iblt, line_dedup, mixing, pii, quality, sharding, simhash
 from .common import table
 
+#: Fixed value: both turns of conversation -1.
+OWN_TURN = "</s>[INST] ok [/INST]"
+
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_groups(table(spark, sf_dir, "documents"))
@@ -30,10 +34,25 @@ def op5_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iblt.edited_likeness(table(spark, sf_dir, "documents"))
 
 
+def op8_chat_windows(spark: SparkSession, sf_dir: str, vocabulary: str = "/opt/tokenizers/byte_bpe_50k.tiktoken") -> DataFrame:
+    """All conversations and conversation -1; turns are counted in tokens of the vocabulary, or in its pattern's pieces where there is none."""
+    ranks = None
+    if os.path.exists(vocabulary):
+        with open(vocabulary, "rb") as file:
+            ranks = file.read()
+    own = spark.createDataFrame([(-1, 0, "user", OWN_TURN), (-1, 1, "assistant", OWN_TURN)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return chat.read_back(chat.format_windows(rows, ranks))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -42,7 +61,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
-_ALL = (op1_simhash_near_dedup, op2_html_main_text, op3_line_dedup, op4_extendible_shards, op5_pii_spans, op7_iblt_fingerprints, op9_decontamination, op10_source_mix)
+_ALL = (op1_simhash_near_dedup, op2_html_main_text, op3_line_dedup, op4_extendible_shards, op5_pii_spans, op6_quality_classifier, op7_iblt_fingerprints, op8_chat_windows, op9_decontamination, op10_source_mix)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -28,19 +28,20 @@ def _powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def _hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and first byte of each word of white-space separated bytes; A-Z are lower-cased."""
+def _hashes(data: bytes, prefix: int = 0) -> tuple[np.ndarray, ...]:
+    """Hash and first byte of each word of white-space separated bytes, and hash of its first `prefix` bytes; A-Z are lower-cased."""
     raw = np.frombuffer(data, dtype=np.uint8)
     inside = ~_SPACE[raw]
     edge = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False]))))
     starts, ends = edge[0::2], edge[1::2]
     if not len(starts):
-        return np.zeros(0, dtype=np.uint64), starts
+        return np.zeros(0, dtype=np.uint64), starts, np.zeros(0, dtype=np.uint64)
     lengths = ends - starts
     first = np.concatenate(([0], np.cumsum(lengths)[:-1]))
     place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
     terms = _LOWER[raw[inside]] * _powers(int(lengths.max()))[place]
-    return mix(np.add.reduceat(terms, first) + lengths.astype(np.uint64)), starts
+    heads = mix(np.add.reduceat(terms * (place < prefix), first)) if prefix else None
+    return mix(np.add.reduceat(terms, first) + lengths.astype(np.uint64)), starts, heads
 
 
 def _pieces(data: bytes) -> Iterator[bytes]:
@@ -57,6 +58,12 @@ def _pieces(data: bytes) -> Iterator[bytes]:
 
 def words(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first text's number, offsets of each text's words, word hashes) for runs of texts of about PIECE bytes together."""
+    for at, offsets, hashes, _ in words_and_heads(texts, 0):
+        yield at, offsets, hashes
+
+
+def words_and_heads(texts: list[str], prefix: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray | None]]:
+    """As words(), with the hashes of the words' first `prefix` bytes."""
     at = 0
     coded = [t.encode("utf-8", "surrogatepass") for t in texts]
     while at < len(coded):
@@ -65,12 +72,13 @@ def words(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
             size += len(coded[end]) + 1
             end += 1
         if size > PIECE:
-            hashes = np.concatenate([_hashes(x)[0] for x in _pieces(coded[at])])
-            yield at, np.array([0, len(hashes)]), hashes
+            parts = [_hashes(x, prefix) for x in _pieces(coded[at])]
+            hashes = np.concatenate([x[0] for x in parts])
+            yield at, np.array([0, len(hashes)]), hashes, np.concatenate([x[2] for x in parts]) if prefix else None
         else:
-            hashes, starts = _hashes(b"\n".join(coded[at:end]))
+            hashes, starts, heads = _hashes(b"\n".join(coded[at:end]), prefix)
             edges = np.cumsum([0, *(len(x) + 1 for x in coded[at:end])])
-            yield at, np.searchsorted(starts, edges), hashes
+            yield at, np.searchsorted(starts, edges), hashes, heads
         at = end
 
 
