@@ -203,3 +203,15 @@ def decide(scored: DataFrame, sites: DataFrame) -> DataFrame:
     rows = scored.join(sites, F.col("host").eqNullSafe(F.col("host_")) & F.col("path").eqNullSafe(F.col("path_"))).drop("host_", "path_")
     rows = rows.withColumn("p_quality", F.when(F.col("n_words") == 0, 0.0).otherwise(_logistic(F.col("z_quality") + F.col("site_quality")))).withColumn("p_toxic", F.when(F.col("n_words") == 0, 0.0).otherwise(_logistic(F.col("z_toxic") + F.col("site_toxic"))))
     return rows.withColumn("keep", (F.col("n_words") > 0) & (F.col("p_quality") >= 0.5) & (F.col("p_toxic") <= 0.5))
+
+
+def keep(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang", max_labelled: int = MAX_LABELLED) -> DataFrame:
+    """df's rows that classify() keeps, with all of df's columns; rows are matched by doc_id and a hash of the text."""
+    hashed = F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
+    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.col(host_col).cast("string").alias("host"), F.col(path_col).cast("string").alias("path")).withColumn("t", F.xxhash64("text"))
+    model = train(docs.select("doc_id", "text"), labels, max_labelled)
+    scored = materialize(score(docs, model), "scored")
+    # The site decides too: of rows that agree in doc_id and text, each host's and path's is judged on its own.
+    kept = decide(scored, posteriors(scored)).where("keep").select(F.col("doc_id").alias("__d"), F.col("t").alias("__t"), F.col("host").alias("__h"), F.col("path").alias("__p")).distinct()
+    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__d")) & (hashed == F.col("__t")) & F.col(f"`{host_col}`").cast("string").eqNullSafe(F.col("__h")) & F.col(f"`{path_col}`").cast("string").eqNullSafe(F.col("__p"))
+    return df.join(materialize(kept, "kept"), same, "left_semi")

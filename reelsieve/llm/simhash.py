@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import vectors
 from .common import hex64, materialize, texts
 from .graph import components
 
@@ -96,3 +97,126 @@ def near_duplicate_groups(df: DataFrame, id_col: str = "doc_id", text_col: str =
     found = components(hamming_links(points.where("rep IS NOT NULL"), radius))
     named = points.join(found, points.rep == found.node, "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     return docs.join(named, "fp").select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+# --- Groups by similarity of shingle sets -------------------------------------------------------------------------------
+#
+# Texts whose 5-word shingles have a Jaccard index of 0.8 differ in 9 bits of 64 on average and in up to 18: no table of
+# Hamming balls finds them all. Candidates for a similarity threshold are therefore found by min-wise samples of the
+# shingles (bands of rows that agree wholly), pruned by the complete SimHash distance, and verified by the exact index.
+
+BANDS, ROWS = 16, 3
+#: Bits beyond which a pair isn't verified: at similarity 0.8 a pair differs in over 24 of 64 bits once in 250,000 times.
+PRUNE_BITS = 24
+#: Up to so many members of a bucket are compared each with each; in a larger one each is compared with three of them.
+SMALL_BUCKET = 8
+_ODD = np.random.default_rng(5).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def signatures(some: list[str], width: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(hash of the word sequence, SimHash, band keys) of each text; texts without words have keys of their own."""
+    for _, offsets, hashes in vectors.words(some):
+        every = vectors.shingles(hashes, width)
+        parts = [every[a : b - width + 1] if b - a >= width else vectors.text_shingles(hashes[a:b], width) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        parts = [p if len(p) else np.zeros(1, dtype=np.uint64) for p in parts]
+        starts = np.cumsum([0, *(len(p) for p in parts)])[:-1]
+        h = np.concatenate(parts)
+        ones = np.concatenate([_ones(p) for p in parts]).reshape(-1, 64)
+        prints = vectors.pack(2 * ones > np.diff(np.append(starts, len(h)))[:, None]).view("<i8")
+        least = np.stack([np.minimum.reduceat(vectors.mix(h * odd) if k == 0 else h * odd + (h >> np.uint64(k % 29 + 3)), starts) for k, odd in enumerate(_ODD)])
+        keys = np.zeros((BANDS, len(parts)), dtype=np.uint64)
+        for band in range(BANDS):
+            for k in range(ROWS):
+                keys[band] = vectors.mix(keys[band] * np.uint64(31) + least[band * ROWS + k] + np.uint64(band + 1))
+        for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
+            yield xxhash.xxh64_intdigest(hashes[a:b].tobytes()) - (1 << 63), int(prints[i]), keys[:, i].view("<i8")
+
+
+def _ones(h: np.ndarray) -> np.ndarray:
+    total = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(h), _STEP):
+        total += vectors.bits(h[at : at + _STEP]).sum(axis=0, dtype=np.int64)
+    return total
+
+
+def similar_pairs(points: DataFrame) -> DataFrame:
+    """a, b: pairs of w that share a band, within PRUNE_BITS; points: w (hash of the word sequence), fp, bands.
+
+    In a bucket of more than SMALL_BUCKET members each is paired with the two members that share most with others (the
+    originals of a large group are in nearly all of its buckets) and with the smallest one: links grow with a group's
+    size and not with its square, and no bucket is gathered.
+    """
+    entries = points.select("w", F.explode("bands").alias("key"))
+    sizes = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = materialize(entries.join(sizes, "key"), "buckets")
+    mass = shared.groupBy("w").agg(F.sum("n").alias("mass"))
+    ranked = shared.join(mass, "w")
+    small = shared.where(F.col("n") <= SMALL_BUCKET).groupBy("key").agg(F.array_sort(F.collect_list("w")).alias("all"))
+    small = small.select(F.explode(F.flatten(F.transform("all", lambda x, i: F.transform(F.slice("all", i + 2, SMALL_BUCKET), lambda y: F.struct(x.alias("a"), y.alias("b")))))).alias("p")).select("p.a", "p.b")
+    large = ranked.where(F.col("n") > SMALL_BUCKET)
+    first = large.groupBy("key").agg(F.max(F.struct("mass", F.bitwise_not("w").alias("r"))).alias("top"), F.min("w").alias("low")).select("key", F.bitwise_not("top.r").alias("hub"), "low")
+    stars = large.join(first, "key")
+    second = stars.where("w != hub").groupBy("key").agg(F.max(F.struct("mass", F.bitwise_not("w").alias("r"))).alias("top")).select("key", F.bitwise_not("top.r").alias("hub2"))
+    stars = stars.join(second, "key").select("w", F.explode(F.array_distinct(F.array("hub", "hub2", "low"))).alias("hub")).where("w != hub")
+    pairs = small.unionByName(stars.select(F.least("w", "hub").alias("a"), F.greatest("w", "hub").alias("b"))).distinct()
+    prints = points.select("w", "fp")
+    pairs = pairs.join(prints.toDF("a", "fa"), "a").join(prints.toDF("b", "fb"), "b")
+    return pairs.where(F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= PRUNE_BITS).select("a", "b")
+
+
+def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, min_similarity: float = 0.8) -> DataFrame:
+    """doc_id, t (hash of the text), group (smallest doc_id of the group) and group_t (that document's t) for each row.
+
+    A link is a Jaccard index of at least min_similarity between two texts' sets of word shingles (A-Z lower-cased; fewer
+    words than width: one shingle of all). Null texts count as empty; texts without words are copies of each other; a
+    null doc_id is the smallest; an empty table gives an empty result.
+    """
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    docs = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("d"), F.xxhash64(text).alias("t"), text.alias("text"))
+
+    def sign(batches):
+        for batch in batches:
+            got = [x for some in texts(batch.column(2)) for x in signatures(some, width)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x[0] for x in got], pa.int64()), pa.array([x[1] for x in got], pa.int64()), pa.array([x[2] for x in got], pa.list_(pa.int64()))], names=["d", "t", "w", "fp", "bands"])
+
+    slim = materialize(docs.mapInArrow(sign, "d long, t long, w long, fp long, bands array<long>"), "signatures")
+    points = materialize(slim.select("w", "fp", "bands").dropDuplicates(["w"]), "points")
+    pairs = materialize(similar_pairs(points), "pairs")
+    first = slim.groupBy("w").agg(F.min(F.struct("d", "t")).alias("at"))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct().join(first, "w").select("w", "at.d", "at.t")
+
+    def sets(batches):
+        for batch in batches:
+            out = []
+            for some in texts(batch.column(1)):
+                for _, offsets, hashes in vectors.words(some):
+                    out += [np.unique(vectors.text_shingles(hashes[a:b], width)).tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["w", "shingles"])
+
+    held = materialize(docs.join(wanted, ["d", "t"]).select("w", "text").mapInArrow(sets, "w long, shingles binary").dropDuplicates(["w"]), "sets")
+
+    def verify(batches):
+        for batch in batches:
+            good = []
+            for i in range(batch.num_rows):
+                a, b = (np.frombuffer(batch.column(k)[i].as_py(), dtype="<u8") for k in (2, 3))
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                good.append(common >= min_similarity * (len(a) + len(b) - common) - 1e-9)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(good, pa.bool_()))
+
+    links = pairs.join(held.toDF("a", "sa"), "a").join(held.toDF("b", "sb"), "b").select("a", "b", "sa", "sb").mapInArrow(verify, "u long, v long")
+    found = components(links)
+    named = slim.select("d", "t", "w").join(found, F.col("w") == F.col("node"), "left").select("d", "t", F.coalesce("component", "w").alias("g"))
+    named = materialize(named, "named")
+    least = named.groupBy("g").agg(F.min(F.struct("d", "t")).alias("first"))
+    return named.join(least, "g").select(F.col("d").alias("doc_id"), "t", F.col("first.d").alias("group"), F.col("first.t").alias("group_t"))
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, min_similarity: float = 0.8) -> DataFrame:
+    """df's rows without near duplicates: of each group the row with the smallest doc_id (then hash of the text) stays, of repeated rows one."""
+    groups = similar_groups(df, id_col, text_col, width, min_similarity)
+    kept = materialize(groups.where((F.col("doc_id") == F.col("group")) & (F.col("t") == F.col("group_t"))).groupBy("doc_id", "t").agg(F.count("*").alias("n")), "kept")
+    key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(1 << 63)))
+    hashed = F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
+    rows = df.join(kept.select(F.col("doc_id").alias("__d"), F.col("t").alias("__t")), (key == F.col("__d")) & (hashed == F.col("__t")), "left_semi")
+    return rows if kept.where("n > 1").isEmpty() else rows.dropDuplicates([id_col, text_col])
