@@ -143,12 +143,14 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_wor
             columns = [pa.array([g[k] for g in got], kind) for k, kind in enumerate((pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64())))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["d", "s", "lines", "words", "runs"])
 
-    lines = materialize(docs.select("d", "s", "text").mapInArrow(keys, "d long, s long, lines array<long>, words array<int>, runs array<long>"), "lines")
+    # One row for each document, written: both sides of the joins below are then plain shuffles, which AQE splits where
+    # an earlier document has very many later ones.
+    lines = materialize(docs.select("d", "s", "text").mapInArrow(keys, "d long, s long, lines array<long>, words array<int>, runs array<long>").dropDuplicates(["d", "s"]), "lines")
     holds = lines.select(F.struct("d", "s").alias("doc"), F.explode(F.array_distinct("runs")).alias("run"))
     first = holds.groupBy("run").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first != last").select("run", "first")
     pairs = holds.join(first, "run").where("doc != first").select(F.col("doc.d").alias("d"), F.col("doc.s").alias("s"), F.col("first.d").alias("d0"), F.col("first.s").alias("s0")).distinct()
-    own = lines.select("d", "s", "lines", "words").dropDuplicates(["d", "s"])
-    other = own.select(F.col("d").alias("d0"), F.col("s").alias("s0"), F.col("lines").alias("lines0"))
+    own = lines.select("d", "s", "lines", "words")
+    other = lines.select(F.col("d").alias("d0"), F.col("s").alias("s0"), F.col("lines").alias("lines0"))
 
     def align(batches):
         for batch in batches:
