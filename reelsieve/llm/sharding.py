@@ -88,8 +88,11 @@ def assign(df: DataFrame, limit_bytes: int = LIMIT_BYTES, id_col: str = "doc_id"
 
 
 def write(df: DataFrame, path: str, limit_bytes: int = LIMIT_BYTES, **names: str) -> None:
-    """Write df in one folder per shard; a shard's rows go through one task, which the byte limit bounds."""
-    rows = assign(df, limit_bytes, keep=True, **names)
+    """Write df in one folder per shard; a shard's rows go through one task, which the byte limit bounds.
+
+    Folders are named `shard=b` and the bits, so that readers don't take bits for numbers.
+    """
+    rows = assign(df, limit_bytes, keep=True, **names).withColumn("shard", F.concat(F.lit("b"), "shard"))
     rows.drop("n_bytes", "shard_bytes", "shard_docs").repartition("shard").write.partitionBy("shard").parquet(path)
 
 

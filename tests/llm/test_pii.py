@@ -1,0 +1,77 @@
+import hashlib
+import random
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from reelsieve.llm import pii
+
+PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def luhn(digits):
+    total = 0
+    for i, d in enumerate(map(int, reversed(digits))):
+        d *= 1 + i % 2
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def base(text):
+    out = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            if kind == "ip" and not all(int(x) <= 255 for x in m[0].split(".")):
+                continue
+            if kind == "card" and not (16 <= len(digits) <= 19 and luhn(digits)):
+                continue
+            if kind == "phone" and not 8 <= len(digits) <= 15:
+                continue
+            out.append((kind, *m.span()))
+    return out
+
+
+def found(text):
+    return [s for s in pii.find(text) if s[0] in pii.BASE_KINDS]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="a.@+- ()12345678905%_:/é\n=", max_size=60))
+def test_base_spans_are_the_patterns_matches(text):
+    assert found(text) == base(text)
+
+
+def test_dense_digits():
+    rnd = random.Random(2)
+    for _ in range(3000):
+        text = "".join(rnd.choice("0123456789. -+()@a") for _ in range(rnd.randint(1, 80)))
+        assert found(text) == base(text), text
+
+
+def test_examples():
+    text = "ring +1 (974) 555-3436, é.34@mail7.example.com 9807915762804490 97.51.17.173 token = \"f3ef4d6b2755a36d7d9c\" see https://x.org/a?b, 256.1.1.1"
+    kinds = {k: text[a:b] for k, a, b in pii.find(text)}
+    assert kinds["phone"] == "+1 (974) 555-3436" and kinds["email"] == ".34@mail7.example.com" and kinds["ip"] == "97.51.17.173"
+    assert kinds["account"] == "f3ef4d6b2755a36d7d9c" and kinds["url"] == "https://x.org/a?b"
+    assert pii.mask("a b@c.de f", pii.find("a b@c.de f")) == "a <email> f"
+    assert pii.find("1" * 20000 + ".1.1.1") == []
+
+
+def test_whole_documents(spark, small):
+    rows = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    for r in pii.scan(spark.read.parquet(f"{small}/documents.parquet")).collect():
+        want = base(rows[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in want).encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(x[0] == k for x in want) for k in PATTERNS]
+        assert {f"{k}:{a}:{b}" for k, a, b in want} <= set(r.spans.split(","))
+
+
+def test_odd_rows(docs):
+    df = docs([(1, None), (2, ""), (None, "a@b.c"), (None, "a@b.c"), (3, "x" * 10**6 + " a@b.c")]).withColumn("spans", F.lit(0)).withColumn("n_ip", F.lit("q"))
+    got = sorted(((r.doc_id, r.n_email, r.spans) for r in pii.scan(df).collect()), key=repr)
+    assert got == sorted([(1, 0, ""), (2, 0, ""), (None, 1, "email:0:5"), (None, 1, "email:0:5"), (3, 1, "email:1000001:1000006")], key=repr)
+    assert [r.masked_text for r in pii.scan(df, with_masked=True).where("doc_id IS NULL").collect()] == ["<email>", "<email>"]
+    assert pii.scan(df.limit(0)).count() == 0
