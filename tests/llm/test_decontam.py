@@ -48,7 +48,7 @@ def planted():
         w = [rnd.choice(vocabulary) for _ in range(rnd.randint(0, 120))]
         for _ in range(rnd.randint(0, 2)):
             item = words(items[rnd.randrange(13)][1])
-            for _ in range(rnd.choice([0, 0, 0, 1, 1, 2, 4])):
+            for _ in range(min(len(item), rnd.choice([0, 0, 0, 1, 1, 2, 4]))):
                 at = rnd.randrange(len(item))
                 change = rnd.choice("rid")
                 item = item[:at] + ([] if change == "d" else ["odd"] if change == "r" else ["odd", item[at]]) + item[at + 1 :]
