@@ -108,8 +108,10 @@ def near_duplicate_groups(df: DataFrame, id_col: str = "doc_id", text_col: str =
 BANDS, ROWS = 16, 3
 #: Bits beyond which a pair isn't verified: at similarity 0.8 a pair differs in over 24 of 64 bits once in 250,000 times.
 PRUNE_BITS = 24
-#: Up to so many members of a bucket are compared each with each; in a larger one each is compared with three of them.
+#: Up to so many members of a bucket are compared each with each; in a larger one each is compared with three of them first.
 SMALL_BUCKET = 8
+#: Columns of one 0/1 matrix over a block's shingles.
+_COLUMNS = 4096
 _ODD = np.random.default_rng(5).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -139,29 +141,87 @@ def _ones(h: np.ndarray) -> np.ndarray:
     return total
 
 
-def similar_pairs(points: DataFrame) -> DataFrame:
-    """a, b: pairs of w that share a band, within PRUNE_BITS; points: w (hash of the word sequence), fp, bands.
+def similar_pairs(points: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs a, b of w that share a band, within PRUNE_BITS, and the members key, w of the crowded bands; points: w (hash of the word sequence), fp, bands.
 
     In a bucket of more than SMALL_BUCKET members each is paired with the two members that share most with others (the
     originals of a large group are in nearly all of its buckets) and with the smallest one: links grow with a group's
-    size and not with its square, and no bucket is gathered.
+    size and not with its square, and no bucket is gathered. What these pairs leave apart, crowd_links() compares.
     """
     entries = points.select("w", F.explode("bands").alias("key"))
     sizes = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     shared = materialize(entries.join(sizes, "key"), "buckets")
     mass = shared.groupBy("w").agg(F.sum("n").alias("mass"))
-    ranked = shared.join(mass, "w")
     small = shared.where(F.col("n") <= SMALL_BUCKET).groupBy("key").agg(F.array_sort(F.collect_list("w")).alias("all"))
     small = small.select(F.explode(F.flatten(F.transform("all", lambda x, i: F.transform(F.slice("all", i + 2, SMALL_BUCKET), lambda y: F.struct(x.alias("a"), y.alias("b")))))).alias("p")).select("p.a", "p.b")
-    large = ranked.where(F.col("n") > SMALL_BUCKET)
+    large = materialize(shared.where(F.col("n") > SMALL_BUCKET).join(mass, "w").select("key", "w", "mass"), "crowds")
     first = large.groupBy("key").agg(F.max(F.struct("mass", F.bitwise_not("w").alias("r"))).alias("top"), F.min("w").alias("low")).select("key", F.bitwise_not("top.r").alias("hub"), "low")
-    stars = large.join(first, "key")
+    # Written before the next aggregate by the same key: only so can AQE split this join where one bucket is hot.
+    stars = materialize(large.join(first, "key"), "stars")
     second = stars.where("w != hub").groupBy("key").agg(F.max(F.struct("mass", F.bitwise_not("w").alias("r"))).alias("top")).select("key", F.bitwise_not("top.r").alias("hub2"))
-    stars = stars.join(second, "key").select("w", F.explode(F.array_distinct(F.array("hub", "hub2", "low"))).alias("hub")).where("w != hub")
-    pairs = small.unionByName(stars.select(F.least("w", "hub").alias("a"), F.greatest("w", "hub").alias("b"))).distinct()
+    hung = stars.join(second, "key").select("w", F.explode(F.array_distinct(F.array("hub", "hub2", "low"))).alias("hub")).where("w != hub")
+    pairs = small.unionByName(hung.select(F.least("w", "hub").alias("a"), F.greatest("w", "hub").alias("b"))).distinct()
     prints = points.select("w", "fp")
     pairs = pairs.join(prints.toDF("a", "fa"), "a").join(prints.toDF("b", "fb"), "b")
-    return pairs.where(F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= PRUNE_BITS).select("a", "b")
+    return pairs.where(F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= PRUNE_BITS).select("a", "b"), large.select("key", "w")
+
+
+def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets with each other, by products of 0/1 matrices over a few thousand elements at a time."""
+    rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, place, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    many = held > 1
+    number = np.cumsum(many) - 1
+    used = many[place]
+    rows, place = rows[used], number[place[used]]
+    order = np.argsort(place, kind="stable")
+    rows, place = rows[order], place[order]
+    out = np.zeros((len(sets), len(sets)), dtype=np.float64)
+    for at in range(0, int(many.sum()), _COLUMNS):
+        a, b = np.searchsorted(place, [at, at + _COLUMNS])
+        ones = np.zeros((len(sets), _COLUMNS), dtype=np.float32)
+        ones[rows[a:b], place[a:b] - at] = 1
+        out += ones @ ones.T
+    return out
+
+
+def crowd_links(members: DataFrame, min_similarity: float, block_texts: int = 128, block_bytes: int = 16 << 20) -> DataFrame:
+    """u, v: pairs of classes c that hold two similar members of one bucket; members: key, c, shingles (sorted 64-bit hashes).
+
+    The exact way for crowded buckets: all members of different classes are compared. A bucket's largest class is set
+    against the others only, never against itself. Members are salted into blocks of bounded number and bytes, and each
+    pair of blocks is one group; it gives at most one link for each pair of classes, not the similar pairs.
+    """
+    size = F.octet_length("shingles")
+    classes = members.groupBy("key", "c").agg(F.count("*").alias("n"), F.sum(size).alias("size"))
+    buckets = classes.groupBy("key").agg(F.count("*").alias("classes"), F.max(F.struct("n", "c")).alias("top"), F.sum("n").alias("n"), F.sum("size").alias("size"), F.max(F.struct("n", "size")).alias("main"))
+
+    def blocks(n, total):
+        return F.greatest(F.ceil(n / block_texts), F.ceil(total / block_bytes), F.lit(1)).cast("int")
+
+    buckets = buckets.where("classes > 1").select("key", F.col("top.c").alias("top"), blocks(F.col("n") - F.col("main.n"), F.col("size") - F.col("main.size")).alias("rest"), blocks(F.col("main.n"), F.col("main.size")).alias("mains"))
+    placed = members.join(buckets, "key").withColumn("other", F.col("c") != F.col("top"))
+    # The members' order among equals is theirs alone: a lost task gives the same blocks again.
+    block = F.pmod(F.xxhash64("shingles", "c"), F.when(F.col("other"), F.col("rest")).otherwise(F.col("mains"))).cast("int")
+    placed = placed.withColumn("block", block)
+    against_rest = F.transform(F.sequence(F.lit(0), F.col("rest") - 1), lambda j: F.struct(F.lit(True).alias("inner"), F.least("block", j).alias("i"), F.greatest("block", j).alias("j")))
+    against_main = F.transform(F.sequence(F.lit(0), F.col("mains") - 1), lambda j: F.struct(F.lit(False).alias("inner"), F.col("block").alias("i"), j.alias("j")))
+    as_main = F.transform(F.sequence(F.lit(0), F.col("rest") - 1), lambda i: F.struct(F.lit(False).alias("inner"), i.alias("i"), F.col("block").alias("j")))
+    spread = placed.select("key", "c", "shingles", F.explode(F.when(F.col("other"), F.concat(against_rest, against_main)).otherwise(as_main)).alias("at")).select("key", "at.inner", "at.i", "at.j", "c", "shingles")
+
+    def compare(group: pa.Table) -> pa.Table:
+        classes = group.column("c").to_numpy()
+        if len(np.unique(classes)) < 2:
+            return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
+        sets = [np.frombuffer(x.as_py(), dtype="<u8") for x in group.column("shingles")]
+        sizes = np.array([len(x) for x in sets], dtype=np.float64)
+        common = _overlaps(sets)
+        good = common >= min_similarity * (sizes[:, None] + sizes[None, :] - common) - 1e-9
+        a, b = np.nonzero(good & (classes[:, None] < classes[None, :]))
+        found = np.unique(np.stack([classes[a], classes[b]], axis=1), axis=0)
+        return pa.table({"u": pa.array(found[:, 0], pa.int64()), "v": pa.array(found[:, 1], pa.int64())})
+
+    return spread.groupBy("key", "inner", "i", "j").applyInArrow(compare, "u long, v long")
 
 
 def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, min_similarity: float = 0.8) -> DataFrame:
@@ -181,9 +241,9 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     slim = materialize(docs.mapInArrow(sign, "d long, t long, w long, fp long, bands array<long>"), "signatures")
     points = materialize(slim.select("w", "fp", "bands").dropDuplicates(["w"]), "points")
-    pairs = materialize(similar_pairs(points), "pairs")
+    pairs, crowds = similar_pairs(points)
+    pairs = materialize(pairs, "pairs")
     first = slim.groupBy("w").agg(F.min(F.struct("d", "t")).alias("at"))
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct().join(first, "w").select("w", "at.d", "at.t")
 
     def sets(batches):
         for batch in batches:
@@ -193,7 +253,12 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     out += [np.unique(vectors.text_shingles(hashes[a:b], width)).tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["w", "shingles"])
 
-    held = materialize(docs.join(wanted, ["d", "t"]).select("w", "text").mapInArrow(sets, "w long, shingles binary").dropDuplicates(["w"]), "sets")
+    def shingle_sets(wanted: DataFrame) -> DataFrame:
+        """w, shingles of every wanted w."""
+        rows = docs.join(wanted.join(first, "w").select("w", "at.d", "at.t"), ["d", "t"])
+        return materialize(rows.select("w", "text").mapInArrow(sets, "w long, shingles binary").dropDuplicates(["w"]), "sets")
+
+    held = shingle_sets(pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct())
 
     def verify(batches):
         for batch in batches:
@@ -206,7 +271,13 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     links = pairs.join(held.toDF("a", "sa"), "a").join(held.toDF("b", "sb"), "b").select("a", "b", "sa", "sb").mapInArrow(verify, "u long, v long")
     found = components(links)
-    named = slim.select("d", "t", "w").join(found, F.col("w") == F.col("node"), "left").select("d", "t", F.coalesce("component", "w").alias("g"))
+    crowds = materialize(crowds.join(found, crowds.w == found.node, "left").select("key", "w", F.coalesce("component", "w").alias("c")), "classes")
+    split = crowds.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key")
+    open_ones = materialize(crowds.join(split, "key", "left_semi"), "open")
+    members = open_ones.join(shingle_sets(open_ones.select("w").distinct()), "w").select("key", "c", "shingles")
+    joined = components(crowd_links(materialize(members, "members"), min_similarity)).toDF("class", "joined")
+    named = slim.select("d", "t", "w").join(found, F.col("w") == F.col("node"), "left").select("d", "t", F.coalesce("component", "w").alias("c"))
+    named = named.join(joined, F.col("c") == F.col("class"), "left").select("d", "t", F.coalesce("joined", "c").alias("g"))
     named = materialize(named, "named")
     least = named.groupBy("g").agg(F.min(F.struct("d", "t")).alias("first"))
     return named.join(least, "g").select(F.col("d").alias("doc_id"), "t", F.col("first.d").alias("group"), F.col("first.t").alias("group_t"))

@@ -128,6 +128,46 @@ def test_keep_one_of_a_large_group_of_near_copies(docs):
     assert [r.doc_id for r in simhash.keep_one(docs(rows)).collect()] == [0]
 
 
+def test_keep_one_of_twins_in_crowded_buckets(docs):
+    rnd = random.Random(3)
+    passage = [f"p{i}" for i in range(120)]
+    rows, sets = [], []
+    for i in range(60):  # pairs of twins; all texts share a long passage, so that nearly all of their buckets are crowded
+        tail = [f"t{i}_{k}" for k in range(24)]
+        for twin in range(2):
+            words = passage + tail[: len(tail) - 4] + [f"e{i}_{twin}_{k}" for k in range(rnd.randint(1, 10))]
+            rows.append((2 * i + twin, " ".join(words)))
+            sets.append({tuple(words[k : k + 5]) for k in range(len(words) - 4)})
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    roots = union(len(rows), links)
+    want = {min(i for i, r in enumerate(roots) if r == root) for root in set(roots)}
+    assert 2 < len(want) < len(rows)
+    assert {r.doc_id for r in simhash.keep_one(docs(rows)).collect()} == want
+
+
+def test_crowd_links_against_all_pairs(spark):
+    rnd = np.random.default_rng(6)
+    rows, sets = [], []
+    for i in range(70):
+        base = rnd.integers(0, 1 << 63, 40)
+        for _ in range(3):
+            one = base.copy()
+            some = rnd.random(40) < rnd.choice([0.02, 0.1, 0.3])
+            one[some] = rnd.integers(0, 1 << 63, some.sum())
+            sets.append(set(one.tolist()))
+            rows.append((i % 2, len(rows) // 2 if i < 30 else -1, bytearray(np.unique(one).astype("<u8").tobytes())))
+    df = spark.createDataFrame(rows, "key long, c long, shingles binary")
+    want = set()
+    for i, (k, c, _) in enumerate(rows):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if rows[j][0] == k and rows[j][1] != c and common >= 0.8 * (len(sets[i]) + len(sets[j]) - common):
+                want.add((min(c, rows[j][1]), max(c, rows[j][1])))
+    for block_texts in (5, 128):
+        assert {(r.u, r.v) for r in simhash.crowd_links(df, 0.8, block_texts).collect()} == want
+    assert want
+
+
 def test_keep_one_odd_rows(docs):
     rows = [(1, None), (2, ""), (None, "a b"), (4, "a b"), (4, "a b"), (6, "other words here"), (6, "quite different text")]
     got = sorted(((r.doc_id, r.text) for r in simhash.keep_one(docs(rows)).collect()), key=repr)
