@@ -103,11 +103,10 @@ def near_duplicate_groups(df: DataFrame, id_col: str = "doc_id", text_col: str =
 #
 # Texts whose 5-word shingles have a Jaccard index of 0.8 differ in 9 bits of 64 on average and in up to 18: no table of
 # Hamming balls finds them all. Candidates for a similarity threshold are therefore found by min-wise samples of the
-# shingles (bands of rows that agree wholly), pruned by the complete SimHash distance, and verified by the exact index.
+# shingles (bands of rows that agree wholly) and verified by the exact index. Only pairs whose sets' sizes rule the
+# similarity out aren't verified; a SimHash distance rules nothing out.
 
 BANDS, ROWS = 16, 3
-#: Bits beyond which a pair isn't verified: at similarity 0.8 a pair differs in over 24 of 64 bits once in 250,000 times.
-PRUNE_BITS = 24
 #: Up to so many members of a bucket are compared each with each; in a larger one each is compared with three of them first.
 SMALL_BUCKET = 8
 #: Columns of one 0/1 matrix over a block's shingles.
@@ -116,33 +115,24 @@ _ODD = np.random.default_rng(5).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint
 
 
 def signatures(some: list[str], width: int) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(hash of the word sequence, SimHash, band keys) of each text; texts without words have keys of their own."""
+    """(hash of the word sequence, number of different shingles, band keys) of each text; texts without words have keys of their own."""
     for _, offsets, hashes in vectors.words(some):
         every = vectors.shingles(hashes, width)
         parts = [every[a : b - width + 1] if b - a >= width else vectors.text_shingles(hashes[a:b], width) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         parts = [p if len(p) else np.zeros(1, dtype=np.uint64) for p in parts]
         starts = np.cumsum([0, *(len(p) for p in parts)])[:-1]
         h = np.concatenate(parts)
-        ones = np.concatenate([_ones(p) for p in parts]).reshape(-1, 64)
-        prints = vectors.pack(2 * ones > np.diff(np.append(starts, len(h)))[:, None]).view("<i8")
         least = np.stack([np.minimum.reduceat(vectors.mix(h * odd) if k == 0 else h * odd + (h >> np.uint64(k % 29 + 3)), starts) for k, odd in enumerate(_ODD)])
         keys = np.zeros((BANDS, len(parts)), dtype=np.uint64)
         for band in range(BANDS):
             for k in range(ROWS):
                 keys[band] = vectors.mix(keys[band] * np.uint64(31) + least[band * ROWS + k] + np.uint64(band + 1))
         for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
-            yield xxhash.xxh64_intdigest(hashes[a:b].tobytes()) - (1 << 63), int(prints[i]), keys[:, i].view("<i8")
+            yield xxhash.xxh64_intdigest(hashes[a:b].tobytes()) - (1 << 63), len(np.unique(parts[i])), keys[:, i].view("<i8")
 
 
-def _ones(h: np.ndarray) -> np.ndarray:
-    total = np.zeros(64, dtype=np.int64)
-    for at in range(0, len(h), _STEP):
-        total += vectors.bits(h[at : at + _STEP]).sum(axis=0, dtype=np.int64)
-    return total
-
-
-def similar_pairs(points: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs a, b of w that share a band, within PRUNE_BITS, and the members key, w of the crowded bands; points: w (hash of the word sequence), fp, bands.
+def similar_pairs(points: DataFrame, min_similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs a, b of w that share a band and whose sizes allow the similarity, and the members key, w of the crowded bands; points: w (hash of the word sequence), size (of the shingle set), bands.
 
     In a bucket of more than SMALL_BUCKET members each is paired with the two members that share most with others (the
     originals of a large group are in nearly all of its buckets) and with the smallest one: links grow with a group's
@@ -161,9 +151,9 @@ def similar_pairs(points: DataFrame) -> tuple[DataFrame, DataFrame]:
     second = stars.where("w != hub").groupBy("key").agg(F.max(F.struct("mass", F.bitwise_not("w").alias("r"))).alias("top")).select("key", F.bitwise_not("top.r").alias("hub2"))
     hung = stars.join(second, "key").select("w", F.explode(F.array_distinct(F.array("hub", "hub2", "low"))).alias("hub")).where("w != hub")
     pairs = small.unionByName(hung.select(F.least("w", "hub").alias("a"), F.greatest("w", "hub").alias("b"))).distinct()
-    prints = points.select("w", "fp")
-    pairs = pairs.join(prints.toDF("a", "fa"), "a").join(prints.toDF("b", "fb"), "b")
-    return pairs.where(F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= PRUNE_BITS).select("a", "b"), large.select("key", "w")
+    sizes = points.select("w", "size")
+    pairs = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
+    return pairs.where(F.least("na", "nb") >= F.lit(min_similarity) * F.greatest("na", "nb") - 1e-9).select("a", "b"), large.select("key", "w")
 
 
 def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -237,11 +227,11 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def sign(batches):
         for batch in batches:
             got = [x for some in texts(batch.column(2)) for x in signatures(some, width)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x[0] for x in got], pa.int64()), pa.array([x[1] for x in got], pa.int64()), pa.array([x[2] for x in got], pa.list_(pa.int64()))], names=["d", "t", "w", "fp", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x[0] for x in got], pa.int64()), pa.array([x[1] for x in got], pa.int64()), pa.array([x[2] for x in got], pa.list_(pa.int64()))], names=["d", "t", "w", "size", "bands"])
 
-    slim = materialize(docs.mapInArrow(sign, "d long, t long, w long, fp long, bands array<long>"), "signatures")
-    points = materialize(slim.select("w", "fp", "bands").dropDuplicates(["w"]), "points")
-    pairs, crowds = similar_pairs(points)
+    slim = materialize(docs.mapInArrow(sign, "d long, t long, w long, size long, bands array<long>"), "signatures")
+    points = materialize(slim.select("w", "size", "bands").dropDuplicates(["w"]), "points")
+    pairs, crowds = similar_pairs(points, min_similarity)
     pairs = materialize(pairs, "pairs")
     first = slim.groupBy("w").agg(F.min(F.struct("d", "t")).alias("at"))
 

@@ -145,6 +145,15 @@ def test_keep_one_of_twins_in_crowded_buckets(docs):
     assert {r.doc_id for r in simhash.keep_one(docs(rows)).collect()} == want
 
 
+def test_keep_one_of_texts_that_differ_in_how_often_a_line_repeats(docs):
+    rows = []
+    for i in range(30):
+        own = " ".join(f"o{i}_{k}" for k in range(100))
+        line = " ".join(f"l{i}_{k}" for k in range(15))
+        rows += [(2 * i, f"{own}\n{line}\n{line}"), (2 * i + 1, f"{own}\n" + "\n".join([line] * 20))]
+    assert {r.doc_id for r in simhash.keep_one(docs(rows)).collect()} == {2 * i for i in range(30)}
+
+
 def test_crowd_links_against_all_pairs(spark):
     rnd = np.random.default_rng(6)
     rows, sets = [], []
