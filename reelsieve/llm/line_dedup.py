@@ -5,13 +5,16 @@ A run key is the hash of the shortest run of lines from a given line that reache
 have a block of at least min_words words in common share the key at the block's first line; keys that only one
 document has link nothing. Each key links its later holders to its first one only (a star), so a passage in a third of
 all documents gives one pair for each of them and not one for each two. A pair's lines are aligned by patience diff,
-again for what is left of the later document until no common block of min_words words is found.
+again for what is left of the later document until no common block of min_words words is found. An alignment keeps the
+order of lines and can miss a moved block for a few short lines; what then still shares a run of min_words words with
+the earlier document goes by its runs, so that no shared run is left.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -104,9 +107,41 @@ def patience(a: list, b: list, a0: int = 0, a1: int | None = None) -> list[tuple
     return sorted(out)
 
 
+def _runs(words: list[int | None], lo: int, hi: int, min_words: int) -> Iterator[tuple[int, int]]:
+    """For each line from lo to hi the shortest run from it, and the shortest one up to it, of at least min_words words; a line without a number of words ends runs."""
+    while lo < hi:
+        end = lo
+        while end < hi and words[end] is not None:
+            end += 1
+        k, held = lo, 0
+        for i in range(lo, end):
+            while k < end and held < min_words:
+                held += words[k]
+                k += 1
+            if held < min_words:
+                break
+            if words[i]:
+                yield i, k
+            held -= words[i]
+        i, held = lo, 0
+        for k in range(lo, end):
+            held += words[k]
+            while held - words[i] >= min_words:
+                held -= words[i]
+                i += 1
+            if held >= min_words and words[k]:
+                yield i, k + 1
+        lo = end + 1
+
+
 def common_blocks(later: list, words: list[int], earlier: list, min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
-    """Ranges of the later document's lines that are aligned with the earlier one's and have at least min_words words."""
+    """Ranges of the later document's lines that are aligned with the earlier one's and have at least min_words words, and
+    those of what the alignment leaves that lie in a run of at least min_words words of the earlier one, wherever it is."""
     out, todo = [], [(0, len(later))]
+    known = dict(zip(later, words, strict=True))
+    there = set(earlier)
+    shared = [n if x in there else None for x, n in zip(later, words, strict=True)]
+    held = None
     while todo:
         lo, hi = todo.pop()
         if sum(words[lo:hi]) < min_words:
@@ -123,6 +158,14 @@ def common_blocks(later: list, words: list[int], earlier: list, min_words: int =
             lo = k
         if good:
             todo.append((lo, hi))
+        elif runs := list(_runs(shared, lo, hi, min_words)):
+            if held is None:
+                held = {hash(tuple(earlier[i:k])) for i, k in _runs([known.get(x) for x in earlier], 0, len(earlier), min_words)}
+            for i, k in sorted(x for x in runs if hash(tuple(later[x[0] : x[1]])) in held):
+                if good and i <= good[-1][1]:
+                    good[-1] = (good[-1][0], max(good[-1][1], k))
+                else:
+                    good.append((i, k))
         out += good
     return sorted(out)
 

@@ -64,6 +64,32 @@ def test_moved_blocks_are_all_found():
     assert line_dedup.common_blocks(later, [10] * len(later), earlier, 30) == [(0, 5), (6, 16)]
 
 
+def test_passage_that_crosses_short_common_lines():
+    later, words_of = ["passage", "own1", "share", "own2", "rights", "own3"], [60, 5, 2, 5, 3, 5]
+    earlier = ["share", "other1", "rights", "other2", "passage", "other3"]
+    assert line_dedup.common_blocks(later, words_of, earlier, 30) == [(0, 1)]
+    # Of several lines, with a tail that holds too few words for a run of its own.
+    later, words_of = ["p1", "", "p2", "p3", "own1", "share", "own2", "tel", "own3", "rights"], [20, 0, 20, 4, 5, 2, 5, 1, 5, 3]
+    earlier = ["share", "x1", "tel", "x2", "rights", "x3", "p1", "", "p2", "p3", "x4"]
+    assert line_dedup.common_blocks(later, words_of, earlier, 30) == [(0, 4)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 9), max_size=25), st.lists(st.integers(0, 9), max_size=25))
+def test_no_shared_run_of_the_pair_is_left(later, earlier):
+    size = [0, 1, 2, 3, 5, 8, 12, 20, 29, 31]
+    n = [size[x] for x in later]
+    found = line_dedup.common_blocks(later, n, earlier, 30)
+    runs = {tuple(earlier[i:k]) for i in range(len(earlier)) for k in range(i + 1, len(earlier) + 1)}
+    gone = {i for a, b in found for i in range(a, b)}
+    # Every deleted line lies in a block that the earlier document holds.
+    whole = {x for i in range(len(later)) for k in range(i + 1, len(later) + 1) if sum(n[i:k]) >= 30 and tuple(later[i:k]) in runs for x in range(i, k)}
+    assert gone <= whole
+    for i in range(len(later)):
+        for k in range(i + 1, len(later) + 1):
+            assert sum(n[i:k]) < 30 or tuple(later[i:k]) not in runs or not gone.isdisjoint(range(i, k))
+
+
 def test_odd_rows(docs):
     long = words(40, "r")
     rows = [(1, None), (2, ""), (3, "\n\n"), (None, long), (4, long), (4, long), (6, long + "\n"), (7, "x " * 200000)]
