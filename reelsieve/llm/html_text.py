@@ -4,7 +4,8 @@ The standard library's parser streams start tags, end tags and text. Text betwee
 the method); tags seen while it was open count for its text-to-tag ratio. Parts that are never article text (menus,
 scripts, forms, adverts and the like) are marked by tag, role or the words of class and id. The ratios of the remaining
 blocks are smoothed with a Gaussian kernel and cut at a threshold into content and other; the containers that hold the
-content decide the region, and all of its unmarked blocks are the text.
+content decide the region, and all of its unmarked blocks are the text. Running text beyond the region, of whatever
+share, belongs to it with its headings. A mark on a container is not believed where all running text is inside.
 """
 
 from __future__ import annotations
@@ -36,24 +37,41 @@ _WORDS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+(?![a-z])")
 _P_ENDERS = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 _CLOSES = {"li": ("li", ("ul", "ol")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table",)), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "option": ("option", ("select",))}
 KEEP, SOFT, HARDLY = 0, 1, 2
+#: First words of class names that tell what a page has, not what the element is.
+_STATES = frozenset("no not has with without".split())
+#: Fixed value: words from which on a block that isn't mostly links is running text.
+RUNNING = 10
 
 
-def _marked(attrs: dict[str, str | None]) -> bool:
+def _hidden(attrs: dict[str, str | None]) -> bool:
     if "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true" or (attrs.get("role") or "").lower() in ROLES:
         return True
-    if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style") or "", re.I):
-        return True
-    return any(w.lower() in MARKS for name in ("class", "id") for w in _WORDS.findall(attrs.get(name) or ""))
+    return bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style") or "", re.I))
+
+
+def _named(attrs: dict[str, str | None]) -> bool:
+    names = [[w.lower() for w in _WORDS.findall(x)] for key in ("class", "id") for x in (attrs.get(key) or "").split()]
+    return any(w in MARKS for name in names if name and name[0] not in _STATES for w in name)
+
+
+def _running(text: str, links: int) -> bool:
+    return 2 * links <= len(text) and len(text.split()) >= RUNNING
 
 
 class _Blocks(HTMLParser):
-    """Collects blocks: [text, tags, container's number, drop level, is a heading]; containers: parent's number and tag."""
+    """Collects blocks: (text, tags, container's number, drop level, characters of links, is a heading, mark); containers: parent's number and tag.
 
-    def __init__(self):
+    A mark is the number of the start tag whose name or form drops the block, -1 if it isn't dropped, -2 if it is for another reason.
+    """
+
+    def __init__(self, ignored: set[int]):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int, int]] = []  # tag, drop level, container
+        self.ignored = ignored  # start tags that mark nothing
+        self.started = 0
+        self.links = 0
+        self.stack: list[tuple[str, int, int, int]] = []  # tag, drop level, container, mark
         self.containers: list[tuple[int, str]] = [(-1, "")]
-        self.blocks: list[tuple[str, int, int, int]] = []
+        self.blocks: list[tuple[str, int, int, int, int, bool, int]] = []
         self.parts: list[str] = []
         self.tags = 0
 
@@ -64,10 +82,11 @@ class _Blocks(HTMLParser):
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                _, drop, box = self.stack[-1] if self.stack else ("", KEEP, 0)
-                self.blocks.append((text, self.tags, box, drop))
+                _, drop, box, mark = self.stack[-1] if self.stack else ("", KEEP, 0, -1)
+                self.blocks.append((text, self.tags, box, drop, self.links, any(x[0] in HEADINGS for x in self.stack), mark))
                 self.tags = 0
             self.parts = []
+            self.links = 0
 
     def close_to(self, depth: int) -> None:
         if any(x[0] not in INLINE for x in self.stack[depth:]):
@@ -84,6 +103,7 @@ class _Blocks(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
+        self.started += 1
         if tag == "br":
             self.parts.append(" ")
             return
@@ -98,22 +118,28 @@ class _Blocks(HTMLParser):
         if tag in _CLOSES:
             closed, stops = _CLOSES[tag]
             self.close_open(closed.split(), stops)
-        _, drop, box = self.stack[-1] if self.stack else ("", KEEP, 0)
+        _, drop, box, mark = self.stack[-1] if self.stack else ("", KEEP, 0, -1)
         attrs = dict(attrs)
         if tag in ROOTS and drop == SOFT:
-            drop = KEEP
-        if tag in HARD:
-            drop = HARDLY
+            drop, mark = KEEP, -1
+        if tag == "form":
+            if drop != HARDLY and self.started not in self.ignored:
+                drop, mark = HARDLY, self.started if drop == KEEP else mark
+        elif tag in HARD:
+            drop, mark = HARDLY, -2
         elif tag == "header" and not any(x[0] in ROOTS for x in self.stack):
-            drop = HARDLY
-        elif tag not in ("html", "body", "main") and drop == KEEP and _marked(attrs):
-            drop = SOFT
+            drop, mark = HARDLY, -2
+        elif tag not in ("html", "body", "main") and drop == KEEP:
+            if _hidden(attrs):
+                drop, mark = SOFT, -2
+            elif self.started not in self.ignored and _named(attrs):
+                drop, mark = SOFT, self.started
         if tag not in INLINE and tag not in ("p", "li", "html") and tag not in HEADINGS:
             self.containers.append((box, tag))
             box = len(self.containers) - 1
         if drop != (self.stack[-1][1] if self.stack else KEEP):
             self.flush()
-        self.stack.append((tag, drop, box))
+        self.stack.append((tag, drop, box, mark))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -134,6 +160,8 @@ class _Blocks(HTMLParser):
 
     def handle_data(self, data):
         self.parts.append(data)
+        if any(x[0] == "a" for x in self.stack):
+            self.links += len("".join(data.split()))
 
 
 def smooth(values: list[float], sigma: float = 1.0) -> list[float]:
@@ -165,18 +193,47 @@ def threshold(values: list[float]) -> float:
     return cut
 
 
+def _parsed(html: str) -> _Blocks:
+    """The page's blocks. Where no running text is left unmarked, the mark that holds most of the page is taken back, and so on."""
+    ignored: set[int] = set()
+    while True:
+        parser = _Blocks(ignored)
+        parser.feed(html)
+        parser.close()
+        parser.flush()
+        own: dict[int, int] = {}
+        running = set()
+        for text, _, _, _, links, _, mark in parser.blocks:
+            own[mark] = own.get(mark, 0) + len(text)
+            if _running(text, links):
+                running.add(mark)
+        marks = [m for m in running if m >= 0]
+        if -1 in running or not marks:
+            return parser
+        best = max(marks, key=lambda m: (own[m], -m))
+        if 2 * own[best] <= sum(n for m, n in own.items() if m != -2) or any(b[3] == KEEP and _in_root(parser, b[2]) for b in parser.blocks):
+            return parser
+        ignored.add(best)
+
+
+def _in_root(parser: _Blocks, at: int) -> bool:
+    while at >= 0:
+        if parser.containers[at][1] in ROOTS:
+            return True
+        at = parser.containers[at][0]
+    return False
+
+
 def main_text(html: str, sigma: float = 1.0, share: float = 0.25) -> str:
     """The page's article text: blocks in page order, joined by two newlines; empty if there is none."""
-    parser = _Blocks()
-    parser.feed(html)
-    parser.close()
-    parser.flush()
+    parser = _parsed(html)
     blocks = [b for b in parser.blocks if b[3] == KEEP]
     if not blocks:
         return ""
-    ratios = smooth([len(text) / max(1, tags) for text, tags, _, _ in blocks], sigma)
+    ratios = smooth([len(text) / max(1, tags) for text, tags, *_ in blocks], sigma)
     cut = threshold(ratios)
     mass = [len(b[0]) if r >= cut else 0 for b, r in zip(blocks, ratios, strict=True)]
+    content = [_running(b[0], b[4]) or (r >= cut and 2 * b[4] <= len(b[0])) for b, r in zip(blocks, ratios, strict=True)]
     containers = parser.containers
     above: list[list[int]] = []  # the containers around each block, the innermost first
     for b in blocks:
@@ -194,7 +251,8 @@ def main_text(html: str, sigma: float = 1.0, share: float = 0.25) -> str:
         inner = [at for at in roots if containers[at][1] == "article"] or roots
         if held[max(inner, key=held.get)] < share * max(held[at] for at in roots):
             inner = [at for at in roots if containers[at][1] == "main"] or inner
-        chosen = {at for at in inner if held[at] >= share * max(held[x] for x in inner)}
+        full = {at for path, c in zip(above, content, strict=True) if c for at in path}
+        chosen = full.intersection(inner) or set(inner)
         return "\n\n".join(b[0] for b, path in zip(blocks, above, strict=True) if not chosen.isdisjoint(path))
     # No article element: from the container with the most content up, as long as the one around it holds clearly more.
     own: dict[int, int] = {}
@@ -203,8 +261,12 @@ def main_text(html: str, sigma: float = 1.0, share: float = 0.25) -> str:
     best = max(own, key=lambda at: (own[at], -at))
     while containers[best][0] >= 0 and held[containers[best][0]] >= (1 + share) * held[best]:
         best = containers[best][0]
-    inside = [i for i, path in enumerate(above) if best in path]
-    return "\n\n".join(blocks[i][0] for i in inside)
+    # What lies beyond: content, what stands in one container with it, and the headings directly before.
+    boxes = {path[0] for path, c in zip(above, content, strict=True) if c and containers[path[0]][1] not in ("", "body")}
+    inside = [best in path or c or (path[0] in boxes and 2 * b[4] <= len(b[0])) for b, path, c in zip(blocks, above, content, strict=True)]
+    for i in range(len(blocks) - 2, -1, -1):
+        inside[i] = inside[i] or (blocks[i][5] and inside[i + 1])
+    return "\n\n".join(b[0] for b, x in zip(blocks, inside, strict=True) if x)
 
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -36,6 +36,27 @@ def test_page_without_article_element():
     assert got == "Title\n\n" + ("Some long sentence. " * 20).strip() + "\n\nOk.\n\n" + ("Another long one. " * 20).strip()
 
 
+INTRO, BODY = ("An introduction of some words. " * 7).strip(), ("Some long sentence. " * 100).strip()
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<div id=content><h1>Title</h1><div class=intro>{i}</div><div class=body>{b}</div></div>", "Title\n\n{i}\n\n{b}"),
+        ("<div id=content><h1>Title</h1><div class=intro><p>{i}</p></div><div class=body><p>{b}</p><p>{b}</p></div></div><div><a href=1>more of this</a></div>", "Title\n\n{i}\n\n{b}\n\n{b}"),
+        ("<div><div><p>{b}</p></div></div><div><h2>After</h2><p>{i}</p></div><div><a href=1>x</a> <a href=2>y</a></div>", "{b}\n\nAfter\n\n{i}"),
+        ("<article><h1>One</h1><p>{b}</p></article><article><h1>Two</h1><p>{i}</p></article>", "One\n\n{b}\n\nTwo\n\n{i}"),
+        ("<div class='page no-sidebar'><p>{b}</p></div>", "{b}"),
+        ("<div class='has-header'><p>{b}</p><div class=sidebar>{i}</div></div>", "{b}"),
+        ("<div class='widget-area'><p>{b}</p></div><div><a href=1>x</a></div>", "{b}"),
+        ("<form action=x><nav>n</nav><article><p>{b}</p></article><div class=sidebar>{i}</div></form>", "{b}"),
+        ("<div class=content><p>{i}</p></div><div id=comments><p>{b}</p></div>", "{i}"),
+    ],
+)
+def test_whole_text_whatever_its_containers(page, want):
+    assert html_text.main_text(f"<html><body>{page.format(i=INTRO, b=BODY)}</body></html>") == want.format(i=INTRO, b=BODY)
+
+
 def test_unclosed_and_broken_markup():
     assert html_text.main_text("<article><p>one<p>two<br>three <b>four<p>five &amp six") == "one\n\ntwo three four\n\nfive & six"
     assert html_text.main_text("<article><ul><li>a<li>b</ul>c<![if x]>d<!-- e -->") == "a\n\nb\n\ncd"
