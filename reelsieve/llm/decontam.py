@@ -14,11 +14,11 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import vectors
-from .common import texts
+from .common import materialize, texts
 
 WIDTH, MIN_SIMILARITY, RADIUS = 5, 0.8, 24
 #: Benchmark text that is broadcast at once; a larger benchmark is searched in slices of this size.
@@ -159,9 +159,25 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     without words are left out, equal items match each under its own id; a document shorter than an item is one window. The
     benchmark is read in slices of a bounded size, so that no broadcast grows with it; other columns are not read.
     """
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return matches(df, benchmark, id_col, text_col, slice_bytes).drop("t")
+
+
+def clean(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """df's rows without a similar item; rows are told apart by doc_id and a hash of the text."""
+    found = matches(df, benchmark, id_col, text_col).select(F.col("doc_id").alias("__bad"), F.col("t").alias("__t")).distinct()
+    own = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__bad")) & (_hash(F.col(f"`{text_col}`")) == F.col("__t"))
+    return df.join(materialize(found, "contaminated"), own, "left_anti")
+
+
+def _hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def matches(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """contaminated() with t, the hash of the row's text."""
+    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), _hash(F.col(text_col)).alias("t"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
-    schema = "doc_id long, item_id long, similarity double, first_word long, n_words long"
+    schema = "doc_id long, t long, item_id long, similarity double, first_word long, n_words long"
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices = max(1, math.ceil(size / slice_bytes))
     out = None
@@ -175,10 +191,10 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                 at = 0
                 for some in texts(batch.column(1)):
                     found = bench.search(some)
-                    ids = batch.column(0).take(pa.array([at + x[0] for x in found], pa.int64()))
+                    ids = pa.array([at + x[0] for x in found], pa.int64())
                     at += len(some)
                     if found:
-                        yield pa.RecordBatch.from_arrays([ids, *(pa.array([x[k] for x in found], kind) for k, kind in ((1, pa.int64()), (2, pa.float64()), (3, pa.int64()), (4, pa.int64())))], names=["doc_id", "item_id", "similarity", "first_word", "n_words"])
+                        yield pa.RecordBatch.from_arrays([batch.column(0).take(ids), batch.column(2).take(ids), *(pa.array([x[k] for x in found], kind) for k, kind in ((1, pa.int64()), (2, pa.float64()), (3, pa.int64()), (4, pa.int64())))], names=["doc_id", "t", "item_id", "similarity", "first_word", "n_words"])
 
         rows = docs.mapInArrow(each, schema)
         out = rows if out is None else out.unionByName(rows)

@@ -95,3 +95,11 @@ def test_odd_rows(spark, docs):
     got = sorted(((r.doc_id, r.item_id, r.similarity, r.first_word, r.n_words) for r in decontam.contaminated(df, bench).collect()), key=repr)
     assert got == sorted([(None, None, 1.0, 0, 1)] + [(5, 1, 1.0, 1, 6)] * 4, key=repr)
     assert decontam.contaminated(df.limit(0), bench).count() == decontam.contaminated(df, bench.limit(0)).count() == 0
+
+
+def test_clean_rows_of_a_repeated_id_stay(spark, docs):
+    item = " ".join(f"q{i}" for i in range(40))
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(None, item), (None, "a clean text"), (None, None), (5, "before " + item + " after"), (5, "another clean text"), (6, item), (7, "")]
+    got = sorted(((r.doc_id, r.text) for r in decontam.clean(docs(rows), benchmark).collect()), key=repr)
+    assert got == sorted([(None, "a clean text"), (None, None), (5, "another clean text"), (7, "")], key=repr)
