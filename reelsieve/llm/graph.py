@@ -8,34 +8,44 @@ from pyspark.sql import functions as F
 from .common import discard, materialize
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _hung(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """edges with the m of their u.
+
+    least is an aggregate by u, which brings no shuffle of its own into a join by u: AQE could not split a hub. It is
+    written first, so that both sides are plain shuffles (or least is broadcast where its files are small).
+    """
+    return edges.join(least, "u")
+
+
+def _large_star(edges: DataFrame, made: list[DataFrame]) -> DataFrame:
     """Every neighbour above u is hung onto the smallest node known around u."""
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+    made.append(materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least"))
+    return _hung(both.where("v > u"), made[-1]).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, made: list[DataFrame]) -> DataFrame:
     """u and its smaller neighbours are hung onto the smallest of them; edges come with u above v."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+    made.append(materialize(edges.groupBy("u").agg(F.min("v").alias("m")), "least"))
+    moved = _hung(edges, made[-1]).where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return moved.unionByName(made[-1].select("u", F.col("m").alias("v"))).distinct()
 
 
-def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Columns node, component (smallest node of the component) for every node that has an edge.
 
     edges: u, v of an orderable type, in any direction, repeats and loops allowed. Rounds grow with the logarithm of the
-    longest path; each round is written to the shared folder and the one before is deleted. Hubs are joined, never
-    gathered, so a skewed hub is split by AQE's skew join.
+    longest path and go on until nothing changes; each is written to the shared folder and the one before is deleted. Hubs
+    are joined, never gathered.
     """
     now = materialize(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct(), "edges")
     before = None
-    for _ in range(max_rounds):
+    while True:
         state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if state == before or not state.n:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-        before, last = state, now
-        now = materialize(_small_star(_large_star(last)), "edges")
-        discard(last)
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        before, last, made = state, now, []
+        large = materialize(_large_star(last, made), "edges")
+        now = materialize(_small_star(large, made), "edges")
+        for step in (last, large, *made):
+            discard(step)

@@ -65,9 +65,10 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def hamming_links(points: DataFrame, radius: int = 2) -> DataFrame:
-    """u, v: verified links between the different fingerprints of points (fp, rep), enough to connect all within the radius (0 to 2).
+    """u, v: verified links between the names rep of the different fingerprints of points (fp, rep), enough to connect all within the radius (0 to 2).
 
-    Each link joins two fingerprints at most radius apart; fingerprints at most radius apart are joined by a path of links.
+    Each link joins two fingerprints at most radius apart; fingerprints at most radius apart are joined by a path of
+    links. No two points may share a name: a name stands for its fingerprint.
     """
     if radius not in (0, 1, 2):
         raise ValueError("the tables hold balls of radius 1: they find distances up to 2")
@@ -88,14 +89,18 @@ def hamming_links(points: DataFrame, radius: int = 2) -> DataFrame:
 def near_duplicate_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 2) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable through links of at most radius bits).
 
-    One row per input row. Equal fingerprints are grouped before the search, so thousands of copies are one point of it.
-    Null texts count as empty ones (fingerprint zero, linked like any other); a group whose doc_ids are all null has a null
-    component; an empty table gives an empty result; other columns are not read.
+    One row per input row. Equal fingerprints are grouped before the search, so thousands of copies are one point of it, and
+    the fingerprint is the point's name: rows that share a doc_id but not a text are points of their own. Null texts count
+    as empty ones (fingerprint zero, linked like any other). Rows with a null doc_id are searched and link like all others,
+    a null is only never the smallest id; a component of which all doc_ids are null has a null component_id. An empty
+    table gives an empty result; other columns are not read.
     """
     docs = materialize(fingerprints(df, id_col, text_col, width), "simhash")
-    points = materialize(docs.groupBy("fp").agg(F.min("doc_id").alias("rep")), "points")
-    found = components(hamming_links(points.where("rep IS NOT NULL"), radius))
-    named = points.join(found, points.rep == found.node, "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
+    points = materialize(docs.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "points")
+    found = components(hamming_links(points.select("fp", F.col("fp").alias("rep")), radius))
+    placed = materialize(points.join(found, points.fp == found.node, "left").select("fp", "first_id", F.coalesce("component", "fp").alias("c")), "placed")
+    least = materialize(placed.groupBy("c").agg(F.min("first_id").alias("component_id")), "components")
+    named = materialize(placed.join(least, "c").select("fp", "component_id"), "named")
     return docs.join(named, "fp").select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
@@ -145,10 +150,10 @@ def similar_pairs(points: DataFrame, min_similarity: float) -> tuple[DataFrame,
     small = shared.where(F.col("n") <= SMALL_BUCKET).groupBy("key").agg(F.array_sort(F.collect_list("w")).alias("all"))
     small = small.select(F.explode(F.flatten(F.transform("all", lambda x, i: F.transform(F.slice("all", i + 2, SMALL_BUCKET), lambda y: F.struct(x.alias("a"), y.alias("b")))))).alias("p")).select("p.a", "p.b")
     large = materialize(shared.where(F.col("n") > SMALL_BUCKET).join(mass, "w").select("key", "w", "mass"), "crowds")
-    first = large.groupBy("key").agg(F.max(F.struct("mass", F.bitwise_not("w").alias("r"))).alias("top"), F.min("w").alias("low")).select("key", F.bitwise_not("top.r").alias("hub"), "low")
-    # Written before the next aggregate by the same key: only so can AQE split this join where one bucket is hot.
+    first = materialize(large.groupBy("key").agg(F.max(F.struct("mass", F.bitwise_not("w").alias("r"))).alias("top"), F.min("w").alias("low")).select("key", F.bitwise_not("top.r").alias("hub"), "low"), "hubs")
+    # Aggregate and join are written before the next step by the same key: only so can AQE split a join where one bucket is hot.
     stars = materialize(large.join(first, "key"), "stars")
-    second = stars.where("w != hub").groupBy("key").agg(F.max(F.struct("mass", F.bitwise_not("w").alias("r"))).alias("top")).select("key", F.bitwise_not("top.r").alias("hub2"))
+    second = materialize(stars.where("w != hub").groupBy("key").agg(F.max(F.struct("mass", F.bitwise_not("w").alias("r"))).alias("top")).select("key", F.bitwise_not("top.r").alias("hub2")), "hubs")
     hung = stars.join(second, "key").select("w", F.explode(F.array_distinct(F.array("hub", "hub2", "low"))).alias("hub")).where("w != hub")
     pairs = small.unionByName(hung.select(F.least("w", "hub").alias("a"), F.greatest("w", "hub").alias("b"))).distinct()
     sizes = points.select("w", "size")

@@ -182,3 +182,15 @@ def test_keep_one_odd_rows(docs):
     got = sorted(((r.doc_id, r.text) for r in simhash.keep_one(docs(rows)).collect()), key=repr)
     assert got == sorted([(1, None), (None, "a b"), (6, "other words here"), (6, "quite different text")], key=repr)
     assert simhash.keep_one(docs(rows).limit(0)).count() == 0
+
+
+def test_rows_without_an_id_link_others_and_ids_with_two_texts_stay_apart(spark, monkeypatch):
+    prints = [(1, 0), (None, 3), (4, 15), (7, 0xFFF << 20), (7, 0xFFFF << 44), (9, 0xFFFF << 44 | 1), (None, -1)]
+    rows = spark.createDataFrame(prints, "doc_id long, fp long")
+    monkeypatch.setattr(simhash, "fingerprints", lambda *_: rows)
+    got = sorted(((r.doc_id, int(r.fingerprint, 16), r.component_id) for r in simhash.near_duplicate_groups(rows).collect()), key=repr)
+    unsigned = [(i, p & (1 << 64) - 1) for i, p in prints]
+    roots = union(len(prints), [(i, j) for i in range(len(prints)) for j in range(i) if bin(unsigned[i][1] ^ unsigned[j][1]).count("1") <= 2])
+    least = {r: min((unsigned[i][0] for i, q in enumerate(roots) if q == r and unsigned[i][0] is not None), default=None) for r in roots}
+    assert got == sorted(((i, p, least[r]) for (i, p), r in zip(unsigned, roots, strict=True)), key=repr)
+    assert [c for i, _, c in got if i == 7] == [7, 7] and {c for i, _, c in got if i in (1, 4)} == {1}
