@@ -57,7 +57,54 @@ def test_mix_meets_its_targets(spark, middle):
 
 
 def test_sql(spark, middle):
-    agree(spark, connection(middle), lambda s, d: mixing.report(s.read.parquet(f"{d}/documents.parquet")), mixing.sql(), middle)
+    agree(spark, connection(middle), lambda s, d: mixing.report(s.read.parquet(f"{d}/documents.parquet")).drop("shards", "source_quotas"), mixing.sql(), middle)
+
+
+def test_shards_are_filled_by_the_tree(spark, middle, monkeypatch):
+    docs = spark.read.parquet(f"{middle}/documents.parquet")
+    real = mixing.split_quotas
+    rows = mixing.report(docs, shards=5).join(docs.select("doc_id", "source"), "doc_id").collect()
+    for source in {r.source for r in rows}:
+        own = [r for r in rows if r.source == source]
+        quotas = {tuple(map(int, r.source_quotas.split(","))) for r in own}
+        assert len(quotas) == 1 and len(next(iter(quotas))) == 5
+        # Documents of one block lie in the same shards, so a shard with a quota of blocks has rows and one without has none.
+        held = {int(x) for r in own for x in r.shards.split(",") if x}
+        assert held == {k for k, q in enumerate(next(iter(quotas))) if q}
+    blocks = {r.source: -(-sum(x.source == r.source for x in rows) // mixing.BLOCK_DOCS) for r in rows}
+    want = dict(zip(sorted(blocks), real([sum(map(int, next(r.source_quotas for r in rows if r.source == s).split(","))) for s in sorted(blocks)], 5), strict=True))
+    assert all(tuple(map(int, r.source_quotas.split(","))) == tuple(want[r.source].tolist()) for r in rows)
+    monkeypatch.setattr(mixing, "split_quotas", lambda blocks, shards, seed: np.zeros((len(blocks), shards), dtype=np.int64))
+    assert {r.taken for r in mixing.report(docs, shards=5).collect()} == {0}
+
+
+def test_running_sums_in_ranges(spark):
+    rnd = np.random.default_rng(5)
+    rows = [("a" if i % 3 else "b", int(rnd.integers(0, 1 << 60)), i, int(rnd.integers(0, 9))) for i in range(500)] + [("c", 7, i, 1) for i in range(20)]
+    got = mixing._running(spark.createDataFrame(rows, "src string, h long, i long, v long"), "h", ["i"], F.col("v"), "sum").collect()
+    for r in got:
+        assert r["sum"] == sum(x[3] for x in rows if x[0] == r.src and (x[1], x[2]) <= (r.h, r.i))
+
+
+def test_repeated_rows_are_taken_in_part(docs):
+    rows = [(1, "a b c", None, "x", 5)] * 40 + [(i, "w " * 100, None, "y", 5) for i in range(2, 30)]
+    got = mixing.report(docs(rows)).collect()
+    target = next(r.target for r in got if r.doc_id == 1)
+    assert len(got) == len(rows) and abs(sum(r.taken for r in got if r.doc_id == 1) - target) <= 3
+
+
+def test_written_stage_is_in_the_shards_order(spark, small, tmp_path):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    mixing.in_order(docs).write.parquet(str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.columns == docs.columns
+    shard = {}
+    for r in mixing.mixed(docs).select("row.doc_id", "shard").collect():
+        shard.setdefault(r.doc_id, set()).add(r.shard)
+    for file in (tmp_path / "out").glob("part-*.parquet"):
+        low = 0
+        for r in spark.read.parquet(str(file)).coalesce(1).collect():
+            low = min(s for s in shard[r.doc_id] if s >= low)
 
 
 def test_mixed_rows(spark, small, tmp_path):
