@@ -17,10 +17,12 @@ from .common import materialize
 HASH_BITS = 60
 LIMIT_BYTES = 16 << 20
 _SPARE, _MORE = 4, 12
+#: The columns that assign() adds.
+ADDED = ("n_bytes", "shard", "shard_bytes", "shard_docs")
 
 
 def _hash(id_col: Column, text: Column) -> Column:
-    """60 bits of the MD5 of doc_id:text; rows that agree in both always meet in one bucket."""
+    """60 bits of the MD5 of doc_id:text."""
     return F.conv(F.substring(F.md5(F.concat(F.coalesce(id_col.cast("string"), F.lit("")), F.lit(":"), text)), 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
@@ -39,23 +41,49 @@ def _directory(leaves: DataFrame, low: int, high: int, limit: int) -> DataFrame:
     return paths.select("leaf", "depth", "bits").join(fits, ["depth", "bits"]).groupBy("leaf").agg(F.min_by(F.struct("depth", "bits", "shard_bytes", "shard_docs"), "depth").alias("b")).select("leaf", "b.*")
 
 
+def _copies(base: DataFrame) -> DataFrame:
+    """base with __h by copy: of rows that agree in doc_id and text the first keeps its hash, the others get hashes of their own.
+
+    Such rows are numbered by part of the table first and the parts are then put one after the other, so the row that
+    holds a third of the table is numbered by all tasks; a table without repeated rows is only counted.
+    """
+    again = materialize(base.groupBy("__h").agg(F.count("*").alias("n")).where("n > 1").select("__h"), "repeated")
+    if again.isEmpty():
+        return base
+    part = Window.partitionBy("__h", "__part").orderBy("__n")
+    rows = materialize(base.join(again, "__h").withColumn("__part", F.spark_partition_id()).withColumn("__nr", F.row_number().over(part)), "numbered")
+    parts = rows.groupBy("__h", "__part").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("__h").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = materialize(parts.select("__h", "__part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before")), "parts")
+    number = F.col("__nr") + F.col("__before") - 1
+    own = F.conv(F.substring(F.md5(F.concat_ws(":", F.col("__h").cast("string"), number.cast("string"))), 1, HASH_BITS // 4), 16, 10).cast("long")
+    rows = rows.join(parts, ["__h", "__part"]).withColumn("__h", F.when(number == 0, F.col("__h")).otherwise(own))
+    return base.join(again, "__h", "left_anti").unionByName(rows.select(*base.columns))
+
+
 def assign(df: DataFrame, limit_bytes: int = LIMIT_BYTES, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
     """doc_id, n_bytes, shard, shard_bytes, shard_docs for every row (keep: and df's own columns instead of doc_id).
 
     shard is the bucket's bits (empty: the only bucket). A text over the limit is a shard of its own, marked `!` and its
-    hash. Rows that agree in doc_id and text cannot be split by any hash: where they alone exceed the limit, they are
-    paged in turn, `bits+page`. Null texts count as empty, a null doc_id is hashed as empty; an empty table gives an
-    empty result. Bytes are those of the UTF-8 text.
+    hash. Rows that agree in doc_id and text are copies: each has a hash of its own, so that copies lie apart. Null texts
+    count as empty, a null doc_id is hashed as empty; an empty table gives an empty result. Bytes are those of the UTF-8
+    text. With keep, a column of df that is named like an added one comes back with `_` after its name (`shard_`).
     """
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    columns = df.columns if keep else []
-    base = df.select(*[F.col(f"`{c}`") for c in columns], *([] if keep else [F.col(id_col).cast("long").alias("doc_id")]), F.octet_length(text).cast("long").alias("__n"), _hash(F.col(id_col), text).alias("__h"))
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    own = df.columns if keep else []
+    names = list(own)
+    for i, name in enumerate(own):
+        while names[i].lower() in ADDED or (names[i] != name and names[i].lower() in (x.lower() for x in own)):
+            names[i] += "_"
+    # df's columns stay together in __row, so that none of them can clash with a step's.
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(own)]) if keep else F.col(f"`{id_col}`").cast("long")
+    base = _copies(df.select(row.alias("__row"), F.octet_length(text).cast("long").alias("__n"), _hash(F.col(f"`{id_col}`"), text).alias("__h")))
     sizes = materialize(base.select("__n", "__h"), "sizes")
     total = sizes.agg(F.sum("__n")).first()[0] or 0
-    shown = [*(columns or ["doc_id"])]
 
     def named(rows: DataFrame, shard: Column, size: Column, docs: Column) -> DataFrame:
-        return rows.select(*[F.col(f"`{c}`") for c in shown], F.col("__n").alias("n_bytes"), shard.alias("shard"), size.alias("shard_bytes"), docs.alias("shard_docs"))
+        shown = [F.col(f"__row.c{i}").alias(c) for i, c in enumerate(names)] if keep else [F.col("__row").alias("doc_id")]
+        return rows.select(*shown, F.col("__n").alias("n_bytes"), shard.alias("shard"), size.alias("shard_bytes"), docs.alias("shard_docs"))
 
     giant = F.col("__n") > limit_bytes
     out = [named(base.where(giant), F.concat(F.lit("!"), F.lpad(F.hex("__h"), HASH_BITS // 4, "0")), F.col("__n"), F.lit(1).cast("long"))]
@@ -70,16 +98,10 @@ def assign(df: DataFrame, limit_bytes: int = LIMIT_BYTES, id_col: str = "doc_id"
         over = materialize(leaves.where(F.col("bytes") > limit_bytes).select("leaf"), "over")
         if over.isEmpty():
             break
+        if high == HASH_BITS:
+            raise ValueError("different rows over the limit agree in all bits of their hash")
         rows = rows.withColumn("leaf", at).join(over, "leaf", "left_semi").drop("leaf")
         left = left.withColumn("leaf", at).join(over, "leaf", "left_semi").drop("leaf")
-        if high == HASH_BITS:
-            same = Window.partitionBy("__h")
-            page = F.floor((F.row_number().over(same.orderBy("__n")) - 1) / F.floor(F.lit(limit_bytes) / F.greatest("__n", F.lit(1))))
-            paged = rows.withColumn("page", page)
-            per = Window.partitionBy("__h", "page")
-            shard = F.concat(F.expr(f"lpad(bin(__h), {HASH_BITS}, '0')"), F.lit("+"), F.col("page"))
-            out.append(named(paged.withColumn("sb", F.sum("__n").over(per)).withColumn("sd", F.count("*").over(per)), shard, F.col("sb"), F.col("sd")))
-            break
         low, high = high + 1, min(HASH_BITS, high + _MORE)
     whole = out[0]
     for part in out[1:]:
@@ -92,7 +114,7 @@ def write(df: DataFrame, path: str, limit_bytes: int = LIMIT_BYTES, **names: str
 
     Folders are named `shard=b` and the bits, so that readers don't take bits for numbers.
     """
-    rows = assign(df, limit_bytes, keep=True, **names).withColumn("shard", F.concat(F.lit("b"), "shard"))
+    rows = assign(df, limit_bytes, keep=True, **names).withColumn("shard", F.concat(F.lit("b"), F.col("shard")))
     rows.drop("n_bytes", "shard_bytes", "shard_docs").repartition("shard").write.partitionBy("shard").parquet(path)
 
 
