@@ -161,9 +161,10 @@ def with_next(df: DataFrame, rows_per_range: int = 1024, max_ranges: int = 100_0
     closes = F.element_at(F.from_json(F.lit(json.dumps(edges)), "array<string>"), F.col("range") + 1) == F.col("o")
     here = F.struct(F.col("range").alias("range"), F.lit(0).alias("closing"))
     before = F.struct(F.pmod(F.col("range") - 1, F.lit(len(edges))).alias("range"), F.lit(1).alias("closing"))
-    dealt = docs.select("doc_id", "text", "keys", F.explode(F.when(closes, F.array(here, before)).otherwise(F.array(here))).alias("at"))
-    near = Window.partitionBy("at.range").orderBy("at.closing", "doc_id", "text")
-    return dealt.withColumn("next_text", F.lead("text").over(near)).withColumn("next_keys", F.lead("keys").over(near)).where("at.closing = 0").select("doc_id", "text", "keys", "next_text", "next_keys")
+    dealt = docs.select("doc_id", "text", "keys", F.explode(F.when(closes, F.array(here, before)).otherwise(F.array(here))).alias("at")).select("doc_id", "text", "keys", "at.range", "at.closing")
+    # One window for both: two in turn would shuffle the texts twice.
+    near = Window.partitionBy("range").orderBy("closing", "doc_id", "text")
+    return dealt.select("doc_id", "text", "keys", F.lead("text").over(near).alias("next_text"), F.lead("keys").over(near).alias("next_keys"), "closing").where("closing = 0").drop("closing")
 
 
 def edited_likeness(df: DataFrame) -> DataFrame:
