@@ -2,8 +2,9 @@
 pass; a parser at each anchor expands it to both sides and validates what it found.
 
 Base kinds (email, ip, card, phone) are the leftmost non-overlapping matches of their patterns, those that fail their
-check left out. The anchors add two kinds: url (scheme://...) and account (the value after a cue such as `token =`).
-Offsets are code points, the end exclusive.
+check left out. The anchors add three kinds: url (scheme://...), account (bank and identity numbers after a cue, or an IBAN
+wherever it stands; each form has its own check) and secret (issued keys by their beginning, private key blocks, and the
+value after a cue such as `token =`, if it looks like one). Offsets are code points, the end exclusive.
 """
 
 from __future__ import annotations
@@ -20,9 +21,18 @@ from pyspark.sql import functions as F
 from .common import texts
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "url", "account")
-#: Words that announce an identifier, in lower case; they are looked for in lower, upper and title case.
-CUES = ("token", "password", "passwd", "secret", "api_key", "apikey", "access_key", "iban", "account", "acct", "ssn", "passport")
+KINDS = (*BASE_KINDS, "url", "account", "secret")
+#: Counts beside those of the base kinds.
+PRIVATE = {"n_account": ("account",), "n_secret": ("secret",), "n_private": (*BASE_KINDS, "account", "secret")}
+#: Words that announce a secret or a number, in lower case; they are looked for in lower, upper and title case.
+SECRET_CUES = ("token", "password", "passwd", "secret", "api_key", "api-key", "apikey", "access_key", "access key", "private key", "bearer")
+ACCOUNT_CUES = ("iban", "account", "acct", "routing", "ssn", "social security", "passport")
+#: The beginnings of issued keys, and what follows them.
+ISSUED = {
+    "AKIA": r"[0-9A-Z]{16}(?![0-9A-Za-z])", "ASIA": r"[0-9A-Z]{16}(?![0-9A-Za-z])", "AIza": r"[0-9A-Za-z_-]{35}", "ghp_": r"[0-9A-Za-z]{36}", "gho_": r"[0-9A-Za-z]{36}", "ghs_": r"[0-9A-Za-z]{36}", "github_pat_": r"[0-9A-Za-z_]{22,}",
+    "glpat-": r"[0-9A-Za-z_-]{20,}", "sk_live_": r"[0-9A-Za-z]{8,}", "sk_test_": r"[0-9A-Za-z]{8,}", "pk_live_": r"[0-9A-Za-z]{8,}", "rk_live_": r"[0-9A-Za-z]{8,}", "sk-": r"[0-9A-Za-z_-]{20,}",
+    "xoxb-": r"[0-9A-Za-z-]{10,}", "xoxp-": r"[0-9A-Za-z-]{10,}", "eyJ": r"[0-9A-Za-z_-]{8,}\.[0-9A-Za-z_-]{8,}\.[0-9A-Za-z_-]{8,}", "-----BEGIN ": r"(?:[A-Z]+ )*PRIVATE KEY-----(?:[^-]*-----END (?:[A-Z]+ )*PRIVATE KEY-----)?",
+}
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _LETTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+.-")
@@ -32,8 +42,17 @@ _IP = re.compile(r"([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _URL = re.compile(r"://[^\s<>\"'`|\\^{}]+")
-_VALUE = re.compile(r"[\"']?[ \t]{0,4}(?:[:=]|is|no\.?|number)[ \t]{0,4}[\"']?([A-Za-z0-9][A-Za-z0-9+/_-]{7,})")
+_BETWEEN = r"[\"']?[ \t]{0,4}(?:(?:[:=]|is|no\.?|number|#)[ \t]{0,4}){0,3}[\"']?"
+_VALUE = re.compile(_BETWEEN + r"([A-Za-z0-9][A-Za-z0-9+/_-]{7,}=*)")
+_NUMBER = re.compile(_BETWEEN + r"([A-Z]{0,2}[0-9](?:[ -]?[0-9A-Z]){5,33})(?![0-9A-Za-z])")
+_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]){11,30}(?![0-9A-Za-z])")
+_ISSUED = {sign: re.compile(re.escape(sign) + rest) for sign, rest in ISSUED.items()}
 _NOT_DIGIT = re.compile(r"[^0-9]")
+#: IBAN lengths by country.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IS": 26, "IT": 27,
+    "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MT": 31, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SA": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "TR": 26,
+}
 
 
 @lru_cache(maxsize=1)
@@ -41,9 +60,13 @@ def _anchors() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
     for sign in ("@", "://", "+", *sorted(_DIGITS)):
         found.add_word(sign, (sign, len(sign)))
-    for cue in CUES:
-        for form in {cue, cue.upper(), cue.title()}:
-            found.add_word(form, ("cue", len(form)))
+    for sign in ISSUED:
+        found.add_word(sign, (sign, len(sign)))
+    for country in IBAN_LENGTHS:
+        found.add_word(country, ("country", 2))
+    for kind, cues in (("secret cue", SECRET_CUES), ("account cue", ACCOUNT_CUES)):
+        for form in {f for cue in cues for f in (cue, cue.upper(), cue.title(), cue.capitalize())}:
+            found.add_word(form, (kind, len(form)))
     found.make_automaton()
     return found
 
@@ -58,6 +81,40 @@ def _small(part: str) -> bool:
     return len(part) <= 3 and int(part or "0") <= 255
 
 
+def _iban(text: str, at: int) -> int | None:
+    """End of the IBAN that begins at `at`: its country's length, and 1 modulo 97 with the first four characters moved to the end."""
+    if not (m := _IBAN.match(text, at)):
+        return None
+    end, left = at, IBAN_LENGTHS[text[at : at + 2]]
+    while left and end < m.end():
+        left -= text[end] != " "
+        end += 1
+    plain = text[at:end].replace(" ", "")
+    if left or (end < len(text) and text[end].isascii() and text[end].isalnum()):
+        return None
+    return end if int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1 else None
+
+
+def _account(cue: str, value: str) -> bool:
+    """Whether the value after a cue has the form and the check digits of its kind."""
+    plain = value.replace(" ", "").replace("-", "")
+    digits = plain.isdigit()
+    if cue in ("ssn", "social security"):
+        return digits and len(plain) == 9 and plain[:3] not in ("000", "666") and plain[0] != "9" and plain[3:5] != "00" and plain[5:] != "0000"
+    if cue == "routing":
+        return digits and len(plain) == 9 and sum(int(x) * w for x, w in zip(plain, (3, 7, 1) * 3, strict=True)) % 10 == 0
+    if cue == "passport":
+        return 6 <= len(plain) <= 9 and sum(x.isdigit() for x in plain) >= 5
+    if cue == "iban":
+        return False  # an IBAN is found by its country, with its check digits
+    return digits and 6 <= len(plain) <= 17
+
+
+def _secret(value: str) -> bool:
+    """A value that is no word: letters and digits mixed, or long hex."""
+    return not _DIGITS.isdisjoint(value) and any(x.isalpha() for x in value)
+
+
 def find(text: str) -> list[tuple[str, int, int]]:
     """All spans (kind, start, end), by kind as in KINDS, then start."""
     spans: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
@@ -95,9 +152,21 @@ def find(text: str) -> list[tuple[str, int, int]]:
                 done["url"] = m.end()
                 if end > at + 3:
                     spans["url"].append((start, end))
-        elif at >= done["account"] and (at == 0 or not text[at - 1].isalnum()) and (m := _VALUE.match(text, last + 1)) and not _DIGITS.isdisjoint(m[1]):
-            done["account"] = m.end()
-            spans["account"].append(m.span(1))
+        elif sign == "country":
+            if at >= done["account"] and (at == 0 or not text[at - 1].isalnum()) and (end := _iban(text, at)):
+                done["account"] = end
+                spans["account"].append((at, end))
+        elif sign == "account cue":
+            if at >= done["account"] and (at == 0 or not text[at - 1].isalnum()) and (m := _NUMBER.match(text, last + 1)) and _account(text[at : last + 1].lower().replace("acct", "account"), m[1]):
+                done["account"] = m.end()
+                spans["account"].append(m.span(1))
+        elif sign == "secret cue":
+            if at >= done["secret"] and (at == 0 or not text[at - 1].isalnum()) and (m := _VALUE.match(text, last + 1)) and _secret(m[1]):
+                done["secret"] = m.end()
+                spans["secret"].append(m.span(1))
+        elif at >= done["secret"] and (at == 0 or not text[at - 1].isalnum()) and (m := _ISSUED[sign].match(text, at)):
+            done["secret"] = m.end()
+            spans["secret"].append(m.span())
     return [(k, a, b) for k in KINDS for a, b in spans[k]]
 
 
@@ -112,7 +181,7 @@ def mask(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_masked: bool = False) -> DataFrame:
-    """doc_id, a count for each base kind, base_sha256, spans (all kinds, kind:start:end joined by commas), and the masked text if asked for.
+    """doc_id, a count for each base kind, base_sha256, spans (all kinds, kind:start:end joined by commas), n_account, n_secret, n_private (spans of all kinds but url), and the masked text if asked for.
 
     One row per input row, with no shuffle. Null texts count as empty (no spans); repeated rows stay; an empty table gives
     an empty result; other columns are not read.
@@ -120,20 +189,21 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_mas
 
     def each(batches):
         for batch in batches:
-            counts, digests, joined, masked = [[] for _ in BASE_KINDS], [], [], []
+            counts, digests, joined, masked = [[] for _ in (*BASE_KINDS, *PRIVATE)], [], [], []
             for some in texts(batch.column(1)):
                 for text in some:
                     spans = find(text)
-                    for k, kind in enumerate(BASE_KINDS):
-                        counts[k].append(sum(x[0] == kind for x in spans))
+                    for k, kinds in enumerate((*((x,) for x in BASE_KINDS), *PRIVATE.values())):
+                        counts[k].append(sum(x[0] in kinds for x in spans))
                     base = ",".join(f"{k}:{a}:{b}" for k, a, b in spans if k in BASE_KINDS)
                     digests.append(hashlib.sha256(base.encode()).hexdigest())
                     joined.append(",".join(f"{k}:{a}:{b}" for k, a, b in spans))
                     if with_masked:
                         masked.append(mask(text, spans))
-            columns = [batch.column(0), *(pa.array(x, pa.int64()) for x in counts), pa.array(digests, pa.string()), pa.array(joined, pa.string()), *([pa.array(masked, pa.string())] if with_masked else [])]
+            held, more = counts[: len(BASE_KINDS)], counts[len(BASE_KINDS) :]
+            columns = [batch.column(0), *(pa.array(x, pa.int64()) for x in held), pa.array(digests, pa.string()), pa.array(joined, pa.string()), *(pa.array(x, pa.int64()) for x in more), *([pa.array(masked, pa.string())] if with_masked else [])]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    names = ["doc_id", *(f"n_{k}" for k in BASE_KINDS), "base_sha256", "spans", *(["masked_text"] if with_masked else [])]
-    schema = "doc_id long, " + ", ".join(f"n_{k} long" for k in BASE_KINDS) + ", base_sha256 string, spans string" + ", masked_text string" * with_masked
+    names = ["doc_id", *(f"n_{k}" for k in BASE_KINDS), "base_sha256", "spans", *PRIVATE, *(["masked_text"] if with_masked else [])]
+    schema = "doc_id long, " + ", ".join(f"n_{k} long" for k in BASE_KINDS) + ", base_sha256 string, spans string, " + ", ".join(f"{x} long" for x in PRIVATE) + ", masked_text string" * with_masked
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(each, schema)
