@@ -31,7 +31,9 @@ PIECE_CHARS = 160
 _PIECES = rf"[^\n]{{{PIECE_CHARS},}}?[.!?](?=\s)|[^\n]+"
 #: Rows that aren't cells: how many keys were recovered, how many were added.
 FOUND, ADDED = -1, -2
-_PREFIX = 16
+_PREFIX = 8
+#: Keys that one task deals to cells.
+PART_KEYS = 1 << 16
 
 
 def paragraph_keys(text: Column) -> Column:
@@ -92,6 +94,11 @@ def peel(cells: DataFrame, *by: str, rounds: int = ROUNDS) -> DataFrame:
     return cells
 
 
+def _parts(keys: int) -> int:
+    """Partitions for so many keys: a key is a few bytes until it is dealt to cells, so Spark's own sizes would be far too large."""
+    return max(1, -(-keys // PART_KEYS))
+
+
 def differences(pairs: DataFrame, first: int = 1, digests: bool = False) -> DataFrame:
     """rid, kind, n (keys of both sides), d (keys recovered from the difference); digests: and one row for each recovered key, in `digest`.
 
@@ -99,21 +106,23 @@ def differences(pairs: DataFrame, first: int = 1, digests: bool = False) -> Data
     are absent. first multiplies the first sketch's size; pairs that do not peel go on with four times as many cells.
     """
     out, left, factor = None, pairs, first
+    keys = pairs.agg(F.sum(F.size("a") + F.size("b"))).first()[0] or 0
     by = ("rid", "kind", *(["digest"] if digests else []))
     while True:
         side = lambda keys, c: F.transform(keys, lambda x: F.struct(F.lit(c).alias("c"), x.alias("k")))
         size = F.greatest(own_size("a"), own_size("b")) * factor
         # Dealt by rid before the explode: no later step of the sketch shuffles.
-        entries = left.repartition("rid").select("rid", "kind", size.alias("size"), F.explode(F.concat(side("a", 1), side("b", -1))).alias("e")).select("rid", "kind", "size", "e.c", "e.k", *([F.lit(0).cast("long").alias("digest")] if digests else []))
+        entries = left.repartition(_parts(keys), "rid").select("rid", "kind", size.alias("size"), F.explode(F.concat(side("a", 1), side("b", -1))).alias("e")).select("rid", "kind", "size", "e.c", "e.k", *([F.lit(0).cast("long").alias("digest")] if digests else []))
         cells = peel(sketch(entries, *by), *by)
         counts = [F.sum(F.when(F.col("at") == ADDED, F.col("c"))).alias("n"), F.coalesce(F.sum(F.when(F.col("at") == FOUND, F.col("c"))), F.lit(0)).alias("d"), F.count(F.when(F.col("at") >= 0, 1)).alias("open")]
         kept = [F.collect_list(F.when(F.col("at") == FOUND, F.col("digest"))).alias("digests")] if digests else []
         got = materialize(cells.groupBy("rid", "kind").agg(*counts, *kept), "peeled")
         done = got.where("open = 0").drop("open")
         out = done if out is None else out.unionByName(done)
-        failed = got.where("open > 0").select("rid", "kind")
-        if failed.isEmpty():
+        keys = got.where("open > 0").agg(F.sum("n")).first()[0]
+        if not keys:
             return out
+        failed = got.where("open > 0").select("rid", "kind")
         left = pairs.join(failed, ["rid", "kind"], "left_semi")
         factor *= 4
 
@@ -123,7 +132,8 @@ def fingerprints(texts: DataFrame) -> DataFrame:
 
     Written in hex: the size, then for each cell that isn't empty its place, count and key, by place.
     """
-    both = texts.repartition("rid").select("rid", F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("own").alias("keys")), F.struct(F.lit(1).alias("kind"), F.col("new").alias("keys")))).alias("x")).select("rid", "x.kind", own_size("x.keys").alias("size"), F.explode("x.keys").alias("k"))
+    keys = texts.agg(F.sum(F.size("own") + F.size("new"))).first()[0] or 0
+    both = texts.repartition(_parts(keys), "rid").select("rid", F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("own").alias("keys")), F.struct(F.lit(1).alias("kind"), F.col("new").alias("keys")))).alias("x")).select("rid", "x.kind", own_size("x.keys").alias("size"), F.explode("x.keys").alias("k"))
     cells = sketch(both.withColumn("c", F.lit(1)), "rid", "kind").where(F.col("at") >= 0)
     shown = F.concat_ws(".", F.hex("at"), F.hex("c"), F.hex("k"))
     text = F.array_join(F.sort_array(F.collect_list(F.struct("at", shown.alias("s"))))["s"], ",")
@@ -141,13 +151,13 @@ def _range_of(key: Column, edges: list[str]) -> Column:
     return part * step + inside
 
 
-def with_next(df: DataFrame, rows_per_range: int = 1024, max_ranges: int = 100_000) -> DataFrame:
+def with_next(df: DataFrame, rows_per_range: int = 1024, max_ranges: int = 20_000) -> DataFrame:
     """doc_id, text, keys and next_text, next_keys: those of the next row in the order of doc_id, then text; the first row's after the last.
 
     Rows are dealt to ranges of about as many rows each, whatever their ids: the edges are the first keys of Spark's own
     range partitions of the ids (and, for rows that share one, of their texts' beginnings). The first rows of each range
     are also dealt, as closing rows, to the range before, so every lead is found inside one range. The edges, at most
-    max_ranges short strings, are all that passes through the driver.
+    max_ranges short strings, and Spark's sample for them (100 for each) are all that passes through the driver.
     """
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     # As text in the order of the ids: null first, then with the sign bit turned; then the text's first code points.
