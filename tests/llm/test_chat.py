@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -23,14 +24,39 @@ def test_escapes_and_turns_round_trip(text, role):
 turns = st.lists(st.tuples(st.sampled_from(["user", "assistant", "system", "tool"]), st.lists(st.sampled_from(["a", "bb ", "</s>", "\\", "ü\n"]), max_size=12).map("".join)), max_size=25)
 
 
+def cut(conversation, budget, history, segment=None):
+    """Windows of one conversation, whole or in parts that are entered as the parts before them are left."""
+    rows = []
+    for number, (role, text) in enumerate(conversation):
+        shown, at = chat.render(role, text)
+        rows.append((number, role, max(1, len(text)), shown, at))
+    system, held = [], 0
+    for _, role, n, shown, _ in rows:
+        held += n
+        if role != "system" or held > int(budget * chat.SYSTEM_SHARE):
+            break
+        system.append((shown, n))
+    if segment is None:
+        return list(chat.windows(rows, 0, len(rows), system, budget, history)), system
+    segment, out, at = max(segment, budget + history), [], 0
+    for begin in range(0, len(rows), segment):
+        end = min(begin + segment, len(rows))
+        some = rows[max(0, begin - history) : end + budget]
+        tokens = np.array([x[2] for x in some])
+        entries, exits, counts = chat.leaves(tokens, some[0][0], begin, end, len(system), sum(n for _, n in system), budget, history)
+        if at in entries:
+            found = list(chat.windows(some, at, begin + segment, system, budget, history))
+            assert len(found) == counts[at - begin]
+            out += found
+            at = exits[at - begin]
+    assert at == len(rows)
+    return out, system
+
+
 @settings(max_examples=200, deadline=None)
 @given(turns, st.integers(1, 60), st.integers(0, 30))
 def test_windows_hold_each_turn_once(conversation, budget, history):
-    rows = []
-    for role, text in conversation:
-        shown, at = chat.render(role, text)
-        rows.append((2, role, text, len(text), shown, at))
-    found = list(chat.windows(rows, budget, history))
+    found, system = cut(conversation, budget, history)
     back, targets = [], []
     for w in found:
         text = "".join(w.parts)
@@ -39,11 +65,18 @@ def test_windows_hold_each_turn_once(conversation, budget, history):
         back += every[w.repeated :]
         targets += [chat.unescape(text[a:b]) for a, b in w.mask]
         assert w.tokens <= budget or w.new == 1
-        assert w.repeated == 0 or sum(len(t) for r, t in every[: w.repeated] if r != "system") <= history
+        assert w.repeated == 0 or sum(max(1, len(t)) for _, t in every[len(system) : w.repeated]) <= history
     assert back == conversation
     assert targets == [t for r, t in conversation if r == "assistant"]
-    lead = [t for r, t in conversation[:1] if r == "system"]
-    assert all(chat.parse("".join(w.parts))[: len(lead)] == [("system", t) for t in lead] for w in found)
+    lead = [chat.parse(chat.BEGIN + shown)[0] for shown, _ in system]
+    assert all(chat.parse("".join(w.parts))[: len(lead)] == lead for w in found)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(turns, max_size=8).map(lambda x: [t for some in x for t in some]), st.integers(1, 20), st.integers(0, 10))
+def test_parts_give_the_windows_of_the_whole(conversation, budget, history):
+    shown = lambda some: [("".join(w.parts), w.mask, w.repeated, w.tokens) for w in some]
+    assert shown(cut(conversation, budget, history, 1)[0]) == shown(cut(conversation, budget, history)[0])
 
 
 def expect(rows):
@@ -66,15 +99,22 @@ def test_query_over_all_conversations(spark, small):
     assert got == expect(rows)
 
 
-def test_long_conversation_goes_on_in_segments(spark):
-    n = 3 * chat.SEGMENT // 2
-    rows = [(1, 0, "system", "be kind")] + [(1, i, "assistant" if i % 2 else "user", f"turn {i}") for i in range(1, n)] + [(2, 5, "assistant", "x")]
-    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    windows = chat.format_windows(df, None, 200, 50)
-    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.read_back(windows).collect()}
-    assert got == expect(rows)
-    first = windows.where("segment = 1 AND window = 0").first()
-    assert first.repeated > 1 and chat.parse(first.text)[0] == ("system", "be kind")
+def test_long_conversation_is_cut_alike_whatever_its_parts(spark):
+    rows = [(1, 0, "system", "be kind"), (1, 1, "system", "be brief")]
+    rows += [(1, 10 * i * i, "assistant" if i % 2 else "user", f"turn {i} " * (i % 7)) for i in range(2, 900)]
+    rows += [(2, -5 + i, "user", "same") for i in range(3)] + [(3, None, "user", "none")] * 200 + [(2, 5, "assistant", "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    found = []
+    for segment in (1, 4096):
+        windows = chat.format_windows(df, None, 100, 50, segment)
+        found.append(sorted(map(repr, windows.collect())))
+        got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.read_back(windows).collect()}
+        assert got == expect(rows)
+    assert found[0] == found[1]
+    later = windows.where("conv_id = 1 AND window = 20").first()
+    assert later.repeated > 2 and chat.parse(later.text)[:2] == [("system", "be kind"), ("system", "be brief")]
+    whole, _ = cut([(r, t) for _, _, r, t in rows[:900]], 10**6, 0)
+    assert len(whole) == 1
 
 
 def test_counts_tokens_by_vocabulary(spark, small):
