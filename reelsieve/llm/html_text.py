@@ -2,17 +2,24 @@
 
 The standard library's parser streams start tags, end tags and text. Text between block-level tags is a block (a line of
 the method); tags seen while it was open count for its text-to-tag ratio. Parts that are never article text (menus,
-scripts, forms, adverts and the like) are marked by tag, role or the words of class and id. The ratios of the remaining
-blocks are smoothed with a Gaussian kernel and cut at a threshold into content and other; the containers that hold the
-content decide the region, and all of its unmarked blocks are the text. Running text beyond the region, of whatever
-share, belongs to it with its headings. A mark on a container is not believed where all running text is inside.
+scripts, forms, adverts and the like) are marked by tag, role, or a class or id that says nothing else. The ratios of the
+remaining blocks are smoothed with a Gaussian kernel and cut at a threshold into content and other. Where the page has an
+article element, those that hold content are the text; elsewhere the text runs from the first to the last cluster of
+content, with the headings before it and what shares a container with it, and without the links and labels around it. A
+mark on a container is not believed where all running text is inside.
+
+Time is linear in the page: open elements are looked up by tag and depth, and containers are numbered in page order, so that
+a subtree is a range of numbers.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import defaultdict
+from heapq import heapify, heappop, heappush
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,12 +34,20 @@ HARD = frozenset("head title script style noscript template nav footer aside for
 ROOTS = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
-#: Words of class and id that mark parts which are not article text.
+#: Words of class and id that mark parts which are not article text, ...
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promoted promotion cookie cookies consent gdpr notice notices alert popup modal overlay"
     " sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs header masthead topbar footer colophon copyright comment comments disqus reply replies respond discussion"
     " share sharing social related recommended recommendations newsletter subscribe subscription signup login register search searchbox pagination pager widget widgets toolbar tags tagcloud skip".split()
 )
+#: ... words that go with them without saying anything else, ...
+FILLERS = frozenset(
+    "area bar block body box boxes bottom btn button buttons card col column container content desktop dialog first form global grid group holder icons inner item items label last left line link links list main mobile"
+    " page panel popover primary right row secondary section site slot small sticky strip text thread title top unit user users view wrap wrapper author by count meta header post posts article articles stories reader readers to media the your".split()
+)
+#: ... and those that name an article's own head where they stand in an article or beside a word for one.
+HEADS = frozenset("header masthead banner".split())
+_PARTS = frozenset("article post entry story content page title section main".split())
 _WORDS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+(?![a-z])")
 _P_ENDERS = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 _CLOSES = {"li": ("li", ("ul", "ol")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table",)), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "option": ("option", ("select",))}
@@ -41,6 +56,8 @@ KEEP, SOFT, HARDLY = 0, 1, 2
 _STATES = frozenset("no not has with without".split())
 #: Fixed value: words from which on a block that isn't mostly links is running text.
 RUNNING = 10
+#: Fixed value: what a sentence may end with.
+_STOPS = ".!?…。\"”»"
 
 
 def _hidden(attrs: dict[str, str | None]) -> bool:
@@ -49,61 +66,87 @@ def _hidden(attrs: dict[str, str | None]) -> bool:
     return bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style") or "", re.I))
 
 
-def _named(attrs: dict[str, str | None]) -> bool:
-    names = [[w.lower() for w in _WORDS.findall(x)] for key in ("class", "id") for x in (attrs.get(key) or "").split()]
-    return any(w in MARKS for name in names if name and name[0] not in _STATES for w in name)
+def _named(attrs: dict[str, str | None], within: bool) -> bool:
+    """Whether a class or id is made of marking words, and fillers at most; within: inside an article or main element."""
+    for key in ("class", "id"):
+        for x in (attrs.get(key) or "").split():
+            name = [w.lower() for w in _WORDS.findall(x)]
+            if not name or name[0] in _STATES:
+                continue
+            marks = [w for w in name if w in MARKS]
+            if marks and all(w in MARKS or w in FILLERS for w in name):
+                if HEADS.issuperset(marks) and (within or not _PARTS.isdisjoint(set(name) - {"page", "main"})):
+                    continue
+                return True
+    return False
 
 
 def _running(text: str, links: int) -> bool:
     return 2 * links <= len(text) and len(text.split()) >= RUNNING
 
 
+class _Block(NamedTuple):
+    text: str
+    tags: int
+    box: int  # number of its container
+    drop: int
+    links: int  # characters of links
+    heading: bool
+    mark: int  # number of the mark it stands under, 0 if none
+    within: bool  # inside an article or main element
+
+
 class _Blocks(HTMLParser):
-    """Collects blocks: (text, tags, container's number, drop level, characters of links, is a heading, mark); containers: parent's number and tag.
+    """Collects blocks; containers (parent's number, tag) in page order; marks (the mark around each).
 
-    A mark is the number of the start tag whose name or form drops the block, -1 if it isn't dropped, -2 if it is for another reason.
+    A mark is an element that drops its blocks by its name or as a form. Blocks that are dropped for another reason, too,
+    are HARDLY or have drop SOFT without a mark.
     """
 
-    def __init__(self, ignored: set[int]):
+    def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.ignored = ignored  # start tags that mark nothing
-        self.started = 0
         self.links = 0
-        self.stack: list[tuple[str, int, int, int]] = []  # tag, drop level, container, mark
+        self.stack: list[tuple[str, int, int, int]] = []  # tag, drop for reasons other than marks, container, mark
+        self.depths: dict[str, list[int]] = defaultdict(list)  # places of each open tag in the stack
         self.containers: list[tuple[int, str]] = [(-1, "")]
-        self.blocks: list[tuple[str, int, int, int, int, bool, int]] = []
+        self.marks: list[int] = [-1]
+        self.blocks: list[_Block] = []
         self.parts: list[str] = []
         self.tags = 0
 
     def parse_marked_section(self, i, report=1):
         return self.parse_bogus_comment(i)
 
+    def top(self) -> tuple[str, int, int, int]:
+        return self.stack[-1] if self.stack else ("", KEEP, 0, 0)
+
+    def depth_of(self, tags) -> int:
+        """Place of the innermost open one of the tags, -1 if there is none."""
+        return max((self.depths[t][-1] for t in tags if self.depths.get(t)), default=-1)
+
     def flush(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                _, drop, box, mark = self.stack[-1] if self.stack else ("", KEEP, 0, -1)
-                self.blocks.append((text, self.tags, box, drop, self.links, any(x[0] in HEADINGS for x in self.stack), mark))
+                _, drop, box, mark = self.top()
+                self.blocks.append(_Block(text, self.tags, box, drop, self.links, self.depth_of(HEADINGS) >= 0, mark, self.depth_of(ROOTS) >= 0))
                 self.tags = 0
             self.parts = []
             self.links = 0
 
     def close_to(self, depth: int) -> None:
-        if any(x[0] not in INLINE for x in self.stack[depth:]):
+        if any(self.stack[k][0] not in INLINE for k in range(depth, len(self.stack))):
             self.flush()
-        del self.stack[depth:]
+        while len(self.stack) > depth:
+            self.depths[self.stack.pop()[0]].pop()
 
     def close_open(self, tags, stops) -> None:
-        for depth in range(len(self.stack) - 1, -1, -1):
-            if self.stack[depth][0] in tags:
-                return self.close_to(depth)
-            if self.stack[depth][0] in stops:
-                return None
-        return None
+        depth = self.depth_of(tags)
+        if depth > self.depth_of(stops):
+            self.close_to(depth)
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
-        self.started += 1
         if tag == "br":
             self.parts.append(" ")
             return
@@ -118,29 +161,30 @@ class _Blocks(HTMLParser):
         if tag in _CLOSES:
             closed, stops = _CLOSES[tag]
             self.close_open(closed.split(), stops)
-        _, drop, box, mark = self.stack[-1] if self.stack else ("", KEEP, 0, -1)
+        _, drop, box, mark = before = self.top()
         attrs = dict(attrs)
-        if tag in ROOTS and drop == SOFT:
-            drop, mark = KEEP, -1
-        if tag == "form":
-            if drop != HARDLY and self.started not in self.ignored:
-                drop, mark = HARDLY, self.started if drop == KEEP else mark
-        elif tag in HARD:
-            drop, mark = HARDLY, -2
-        elif tag == "header" and not any(x[0] in ROOTS for x in self.stack):
-            drop, mark = HARDLY, -2
-        elif tag not in ("html", "body", "main") and drop == KEEP:
-            if _hidden(attrs):
-                drop, mark = SOFT, -2
-            elif self.started not in self.ignored and _named(attrs):
-                drop, mark = SOFT, self.started
+        within = self.depth_of(ROOTS) >= 0
+        if tag in ROOTS:
+            drop, mark = (KEEP, 0) if drop == SOFT or (mark and drop == KEEP and not self.in_form()) else (drop, mark)
+        if tag in HARD - {"form"} or (tag == "header" and not within):
+            drop = HARDLY
+        elif tag not in ("html", "body", "main") and drop != HARDLY:
+            if tag != "form" and _hidden(attrs):
+                drop = SOFT
+            elif tag == "form" or _named(attrs, within):
+                self.marks.append(mark)
+                mark = len(self.marks) - 1
         if tag not in INLINE and tag not in ("p", "li", "html") and tag not in HEADINGS:
             self.containers.append((box, tag))
             box = len(self.containers) - 1
-        if drop != (self.stack[-1][1] if self.stack else KEEP):
+        if (drop, mark) != (before[1], before[3]):
             self.flush()
+        self.depths[tag].append(len(self.stack))
         self.stack.append((tag, drop, box, mark))
 
+    def in_form(self) -> bool:
+        return self.depth_of(("form",)) >= 0
+
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
@@ -148,19 +192,19 @@ class _Blocks(HTMLParser):
 
     def handle_endtag(self, tag):
         self.tags += 1
-        for depth in range(len(self.stack) - 1, -1, -1):
-            if self.stack[depth][0] == tag:
-                changes = self.stack[depth][1] != (self.stack[depth - 1][1] if depth else KEEP)
-                if changes:
-                    self.flush()
-                return self.close_to(depth)
-        if tag not in INLINE and tag not in VOID:
+        depth = self.depth_of((tag,))
+        if depth < 0:
+            if tag not in INLINE and tag not in VOID:
+                self.flush()
+            return
+        around = self.stack[depth - 1] if depth else ("", KEEP, 0, 0)
+        if (self.stack[depth][1], self.stack[depth][3]) != (around[1], around[3]):
             self.flush()
-        return None
+        self.close_to(depth)
 
     def handle_data(self, data):
         self.parts.append(data)
-        if any(x[0] == "a" for x in self.stack):
+        if self.depths.get("a"):
             self.links += len("".join(data.split()))
 
 
@@ -193,87 +237,111 @@ def threshold(values: list[float]) -> float:
     return cut
 
 
-def _parsed(html: str) -> _Blocks:
-    """The page's blocks. Where no running text is left unmarked, the mark that holds most of the page is taken back, and so on."""
-    ignored: set[int] = set()
-    while True:
-        parser = _Blocks(ignored)
-        parser.feed(html)
-        parser.close()
-        parser.flush()
-        own: dict[int, int] = {}
-        running = set()
-        for text, _, _, _, links, _, mark in parser.blocks:
-            own[mark] = own.get(mark, 0) + len(text)
-            if _running(text, links):
-                running.add(mark)
-        marks = [m for m in running if m >= 0]
-        if -1 in running or not marks:
-            return parser
-        best = max(marks, key=lambda m: (own[m], -m))
-        if 2 * own[best] <= sum(n for m, n in own.items() if m != -2) or any(b[3] == KEEP and _in_root(parser, b[2]) for b in parser.blocks):
-            return parser
+def _believed(parser: _Blocks) -> set[int]:
+    """The marks that aren't believed: from the outermost in, as long as no running text is left and one mark holds most of the page."""
+    kept = [b for b in parser.blocks if b.drop == KEEP]
+    inside: list[list[int]] = [[] for _ in parser.marks]
+    size, direct, running, rooted = ([0] * len(parser.marks) for _ in range(4))
+    for mark in range(1, len(parser.marks)):
+        inside[parser.marks[mark]].append(mark)
+    for b in kept:
+        size[b.mark] += len(b.text)
+        direct[b.mark] += _running(b.text, b.links)
+        rooted[b.mark] += b.within
+    total, running = sum(size), list(direct)
+    for mark in range(len(parser.marks) - 1, 0, -1):
+        size[parser.marks[mark]] += size[mark]
+        running[parser.marks[mark]] += running[mark]
+    ignored = {0}
+    if direct[0] or rooted[0]:
+        return ignored
+    heap = [(-size[m], m) for m in inside[0] if running[m]]
+    heapify(heap)
+    while heap:
+        held, best = heappop(heap)
+        if -2 * held <= total:
+            break
         ignored.add(best)
-
-
-def _in_root(parser: _Blocks, at: int) -> bool:
-    while at >= 0:
-        if parser.containers[at][1] in ROOTS:
-            return True
-        at = parser.containers[at][0]
-    return False
+        if direct[best] or rooted[best]:
+            break
+        for m in inside[best]:
+            if running[m]:
+                heappush(heap, (-size[m], m))
+    return ignored
 
 
 def main_text(html: str, sigma: float = 1.0, share: float = 0.25) -> str:
     """The page's article text: blocks in page order, joined by two newlines; empty if there is none."""
-    parser = _parsed(html)
-    blocks = [b for b in parser.blocks if b[3] == KEEP]
+    parser = _Blocks()
+    parser.feed(html)
+    parser.close()
+    parser.flush()
+    ignored = _believed(parser)
+    blocks = [b for b in parser.blocks if b.drop == KEEP and b.mark in ignored]
     if not blocks:
         return ""
-    ratios = smooth([len(text) / max(1, tags) for text, tags, *_ in blocks], sigma)
+    ratios = smooth([len(b.text) / max(1, b.tags) for b in blocks], sigma)
     cut = threshold(ratios)
-    mass = [len(b[0]) if r >= cut else 0 for b, r in zip(blocks, ratios, strict=True)]
-    content = [_running(b[0], b[4]) or (r >= cut and 2 * b[4] <= len(b[0])) for b, r in zip(blocks, ratios, strict=True)]
+    mostly_links = [2 * b.links > len(b.text) for b in blocks]
+    content = [_running(b.text, b.links) or (r >= cut and not x) for b, r, x in zip(blocks, ratios, mostly_links, strict=True)]
     containers = parser.containers
-    above: list[list[int]] = []  # the containers around each block, the innermost first
-    for b in blocks:
-        path, at = [], b[2]
-        while at >= 0:
-            path.append(at)
-            at = containers[at][0]
-        above.append(path)
-    held: dict[int, int] = {}
-    for path, m in zip(above, mass, strict=True):
-        for at in path:
-            held[at] = held.get(at, 0) + m
-    roots = [at for at in held if containers[at][1] in ROOTS]
+    held, full = [0] * len(containers), [False] * len(containers)
+    for b, r, c in zip(blocks, ratios, content, strict=True):
+        held[b.box] += len(b.text) if r >= cut else 0
+        full[b.box] |= c
+    own = list(held)
+    for at in range(len(containers) - 1, 0, -1):
+        held[containers[at][0]] += held[at]
+        full[containers[at][0]] |= full[at]
+    present = {b.box for b in blocks}
+    roots = [at for at, (_, tag) in enumerate(containers) if tag in ROOTS]
+    used = [False] * len(containers)  # holds blocks
+    for at in range(len(containers) - 1, -1, -1):
+        used[at] |= at in present
+        if at:
+            used[containers[at][0]] |= used[at]
+    roots = [at for at in roots if used[at]]
     if roots:
         inner = [at for at in roots if containers[at][1] == "article"] or roots
-        if held[max(inner, key=held.get)] < share * max(held[at] for at in roots):
+        if max(held[at] for at in inner) < share * max(held[at] for at in roots):
             inner = [at for at in roots if containers[at][1] == "main"] or inner
-        full = {at for path, c in zip(above, content, strict=True) if c for at in path}
-        chosen = full.intersection(inner) or set(inner)
-        return "\n\n".join(b[0] for b, path in zip(blocks, above, strict=True) if not chosen.isdisjoint(path))
-    # No article element: from the container with the most content up, as long as the one around it holds clearly more.
-    own: dict[int, int] = {}
-    for path, m in zip(above, mass, strict=True):
-        own[path[0]] = own.get(path[0], 0) + m
-    best = max(own, key=lambda at: (own[at], -at))
+        chosen = {at for at in inner if full[at]} or set(inner)
+        under = [False] * len(containers)
+        for at in range(len(containers)):
+            under[at] = at in chosen or (at > 0 and under[containers[at][0]])
+        return "\n\n".join(b.text for b in blocks if under[b.box])
+    # No article element: the clusters of content and what is between the first and the last of them in the region that
+    # holds most, from the container with the most content up, as long as the one around it holds clearly more.
+    best = max(present, key=lambda at: (own[at], -at))
     while containers[best][0] >= 0 and held[containers[best][0]] >= (1 + share) * held[best]:
         best = containers[best][0]
-    # What lies beyond: content, what stands in one container with it, and the headings directly before.
-    boxes = {path[0] for path, c in zip(above, content, strict=True) if c and containers[path[0]][1] not in ("", "body")}
-    inside = [best in path or c or (path[0] in boxes and 2 * b[4] <= len(b[0])) for b, path, c in zip(blocks, above, content, strict=True)]
+    under = [False] * len(containers)
+    for at in range(len(containers)):
+        under[at] = at == best or (at > 0 and under[containers[at][0]])
+    # Smoothing lifts a label next to a long block too: where there is running text, it marks the clusters' ends.
+    strong = [_running(b.text, b.links) for b in blocks]
+    content = strong if any(strong) else content
+    spots = [i for i, (b, c) in enumerate(zip(blocks, content, strict=True)) if c and under[b.box]] or [i for i, c in enumerate(content) if c]
+    if not spots:
+        return "\n\n".join(b.text for b in blocks)
+    boxes = {b.box for b, c in zip(blocks, content, strict=True) if c and containers[b.box][1] not in ("", "body")}
+    inside = []
+    for i, (b, c, x) in enumerate(zip(blocks, content, mostly_links, strict=True)):
+        between = spots[0] <= i <= spots[-1] and under[b.box]
+        # Beyond the clusters only what shares a container with content, or is a sentence of the region.
+        ends = under[b.box] and b.text[-1] in _STOPS and i > spots[0]
+        inside.append(c or (not x and (between or b.box in boxes or ends)))
     for i in range(len(blocks) - 2, -1, -1):
-        inside[i] = inside[i] or (blocks[i][5] and inside[i + 1])
-    return "\n\n".join(b[0] for b, x in zip(blocks, inside, strict=True) if x)
+        inside[i] = inside[i] or (blocks[i].heading and inside[i + 1])
+    return "\n\n".join(b.text for b, x in zip(blocks, inside, strict=True) if x)
 
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text, n_chars (code points of text) for every page.
 
     One row per input row, with no shuffle. Null html counts as empty and gives an empty text; pages without article text
-    too; repeated rows stay; an empty table gives an empty result; other columns are not read.
+    too; repeated rows stay; an empty table gives an empty result; other columns are not read. Pages of any length and depth
+    are read whole, in time in proportion to their length.
     """
 
     def each(batches):

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -89,3 +90,33 @@ def test_smoothing_and_threshold():
     assert html_text.smooth([3.0] * 7) == pytest.approx([3.0] * 7)
     assert html_text.smooth([0, 0, 9.0, 0, 0])[2] == max(html_text.smooth([0, 0, 9.0, 0, 0]))
     assert 2 < html_text.threshold([1, 1, 2, 40, 50]) < 40
+
+
+LONG = ("This is running text of an article, with commas, and so on. " * 12).strip()
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        # Labelled by hand: words of the mark list in names that say something else.
+        ('<article><div class="article-header"><h1>Title</h1><p>Lead</p></div><p>{x}</p><div class="comment-on-policy"><p>On policy.</p></div><section id="social-science"><p>On science.</p></section></article>', "Title\n\nLead\n\n{x}\n\nOn policy.\n\nOn science."),
+        # Menus and labels in plain containers of a page without an article element.
+        ("<body><div><a href=1>Home</a></div><div><a href=2>News</a></div><div><h1>Title</h1><p>{x}</p><p>Short one.</p><p>{x}</p></div><div>Accept all now</div></body>", "Title\n\n{x}\n\nShort one.\n\n{x}"),
+        ("<table><tr><td><a href=1>A</a><a href=2>B</a></td><td><b>Head</b><p>{x}</p><p>{x}</p></td></tr></table><p>Terms</p>", "Head\n\n{x}\n\n{x}"),
+        # What follows the article inside of it.
+        ("<article><header class='entry-header'><h1>T</h1></header><p>{x}</p><div class='share-buttons'>Tweet</div><div class='post-comments'><p>{x}</p></div><section id='comments'><p>{x}</p></section></article>", "T\n\n{x}"),
+        ("<main><div class='page-header'><h1>T</h1></div><p>{x}</p><aside>{x}</aside><div class='newsletter-signup'><p>Get it by mail.</p></div></main>", "T\n\n{x}"),
+        ("<div class='site-header'>Paper of the day</div><div class=story><p>{x}</p><ul><li>one thing</li><li>another <a href=1>thing</a></li></ul><p>{x}</p></div><div class='cookie-banner-wrapper'>{x}</div>", "{x}\n\none thing\n\nanother thing\n\n{x}"),
+        ("<div><p>{x}</p></div><div><p>Yes.</p></div><div><p>{x}</p></div><div><p>The end.</p></div><div><p>Log in</p></div>", "{x}\n\nYes.\n\n{x}\n\nThe end."),
+        ("<div class='ad'><div class='menu'><div class='widget'><p>{x}</p></div></div></div>", "{x}"),
+    ],
+)
+def test_pages_labelled_by_hand(page, want):
+    assert html_text.main_text(page.replace("{x}", LONG)) == want.replace("{x}", LONG)
+
+
+@pytest.mark.parametrize("page", ["<div>" * 200_000 + "x", "<div><p>x" * 100_000, "<div class=ad>" * 100_000 + LONG, "<b>" * 200_000 + LONG, "<a>x" * 100_000, "<li><ul>x" * 60_000, "<article><p>x" * 60_000, "<form>x" * 100_000, "</p>" * 200_000, "<p>a</p>" * 100_000])
+def test_time_is_linear_in_the_page(page):
+    start = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - start < 20
