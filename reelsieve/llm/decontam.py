@@ -3,7 +3,9 @@
 A document is read once as 5-word shingles. Only windows that hold a shingle of an item can be similar to it, so windows
 are laid around such hits, each as many words as the item. A window's 64-bit SimHash is looked up among the items of its
 length: fingerprints within RADIUS bits agree wholly in at least one of RADIUS + 1 blocks, so the union of the blocks'
-matches misses none of them; the complete distance follows. What remains is verified exactly, by the weighted Jaccard
+matches misses none of them; the complete distance follows. Windows of similarity 0.8 differ in up to 18 bits and more, so
+RADIUS has to be so large that a block has 2 or 3 bits: what makes the search small are the shared shingles around which
+windows are laid, and the blocks guarantee the radius without choosing much. What remains is verified exactly, by the weighted Jaccard
 index of shingles, the weights being how often each occurs: sum of the smaller over sum of the larger counts.
 """
 
@@ -152,6 +154,16 @@ class Benchmark:
         return out
 
 
+#: The benchmark that this Python worker has ready: built once for all of its tasks, not for each.
+_ready: dict[str, object] = {}
+
+
+def _prepared(items: list[tuple[int, str]]) -> Benchmark:
+    if _ready.get("items") is not items:
+        _ready.update(items=items, benchmark=Benchmark(items))
+    return _ready["benchmark"]
+
+
 def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """doc_id, item_id, similarity (of the best window, the first of equals), first_word, n_words for each row with a similar item.
 
@@ -186,7 +198,7 @@ def matches(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         held = df.sparkSession.sparkContext.broadcast([tuple(r) for r in part.collect()])
 
         def each(batches, held=held):
-            bench = Benchmark(held.value)
+            bench = _prepared(held.value)
             for batch in batches:
                 at = 0
                 for some in texts(batch.column(1)):

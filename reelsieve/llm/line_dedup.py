@@ -175,8 +175,9 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_wor
 
     One row per input row; documents without a common block keep their text to the letter. Earlier means the smaller
     (doc_id, hash of the text); rows that agree in both are one document and don't touch each other. A null doc_id
-    comes first; null and empty texts have one empty line and are left alone (null becomes empty); an empty table gives
-    an empty result; other columns are not read.
+    comes first; null and empty texts have one empty line and are left alone (null becomes empty); very long texts are
+    aligned whole, in time in proportion to their lines but for lines that repeat within them; an empty table gives an
+    empty result; other columns are not read.
     """
     docs = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("d"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).withColumn("s", F.xxhash64("text"))
 
@@ -190,7 +191,8 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_wor
     # an earlier document has very many later ones.
     lines = materialize(docs.select("d", "s", "text").mapInArrow(keys, "d long, s long, lines array<long>, words array<int>, runs array<long>").dropDuplicates(["d", "s"]), "lines")
     holds = lines.select(F.struct("d", "s").alias("doc"), F.explode(F.array_distinct("runs")).alias("run"))
-    first = holds.groupBy("run").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first != last").select("run", "first")
+    # Written for the same reason: an aggregate by run has no shuffle of its own that AQE could split.
+    first = materialize(holds.groupBy("run").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first != last").select("run", "first"), "first")
     pairs = holds.join(first, "run").where("doc != first").select(F.col("doc.d").alias("d"), F.col("doc.s").alias("s"), F.col("first.d").alias("d0"), F.col("first.s").alias("s0")).distinct()
     own = lines.select("d", "s", "lines", "words")
     other = lines.select(F.col("d").alias("d0"), F.col("s").alias("s0"), F.col("lines").alias("lines0"))
@@ -203,9 +205,13 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_wor
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), ranges], names=["d", "s", "d0", "ranges"])
 
     aligned = pairs.join(own, ["d", "s"]).join(other, ["d0", "s0"]).select("d", "s", "d0", "lines", "words", "lines0").mapInArrow(align, "d long, s long, d0 long, ranges array<struct<a:int,b:int>>")
-    gone = aligned.where("size(ranges) > 0").groupBy("d", "s").agg(F.flatten(F.collect_list("ranges")).alias("ranges"), F.array_join(F.array_sort(F.collect_set("d0")), ",").alias("from_docs"))
+    # Of a document's many partners most give the same ranges: what is gathered are its lines, each once.
+    each = aligned.select("d", "s", "d0", F.explode("ranges").alias("r"))
+    gone = each.groupBy("d", "s").agg(F.collect_set("r").alias("ranges"), F.array_join(F.array_sort(F.collect_set("d0")), ",").alias("from_docs"))
+    gone = gone.withColumn("gone", F.array_distinct(F.flatten(F.transform("ranges", lambda r: F.sequence(r["a"], r["b"] - 1))))).drop("ranges")
     cut = F.split("text", "\n")
-    out = docs.join(gone, ["d", "s"], "left").withColumn("kept", F.when(F.col("ranges").isNotNull(), F.filter(cut, lambda x, i: ~F.exists("ranges", lambda r: (i >= r["a"]) & (i < r["b"])))))
+    left = F.array_except(F.sequence(F.lit(0), F.size("cut") - 1), F.col("gone"))
+    out = docs.join(gone, ["d", "s"], "left").withColumn("cut", F.when(F.col("gone").isNotNull(), cut)).withColumn("kept", F.transform(left, lambda i: F.element_at("cut", i + 1)))
     n = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
     return out.select(
         F.nullif("d", F.lit(-(1 << 63))).alias("doc_id"),

@@ -99,16 +99,22 @@ def fit(rows: list[np.ndarray], extra: np.ndarray, labels: np.ndarray) -> dict[s
 
 
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> dict[str, np.ndarray]:
-    """Models from the labelled rows of docs (doc_id, text); only their features come to the driver."""
-    picked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"), F.col("toxic").cast("int").alias("toxic")).dropna().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
+    """Models from the labelled rows of docs (doc_id, text), at most max_labelled of them; only their features come to the driver.
+
+    Rows that agree in doc_id, text and labels count once.
+    """
+    picked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"), F.col("toxic").cast("int").alias("toxic")).dropna().distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "toxic").limit(max_labelled)
+    names = ["words", "dense", "doc_id", "t", "quality", "toxic"]
 
     def each(batches):
         for batch in batches:
             got = [x for some in texts(batch.column(0)) for x in features(some)]
-            yield pa.RecordBatch.from_arrays([pa.array([x[0].astype("<i4").tobytes() for x in got], pa.binary()), pa.array([x[1] for x in got], pa.list_(pa.float64())), batch.column(1), batch.column(2)], names=["words", "dense", "quality", "toxic"])
+            yield pa.RecordBatch.from_arrays([pa.array([x[0].astype("<i4").tobytes() for x in got], pa.binary()), pa.array([x[1] for x in got], pa.list_(pa.float64())), *batch.columns[1:]], names=names)
 
-    # At most max_labelled ids: a broadcast of fixed size.
-    rows = docs.join(F.broadcast(picked), "doc_id").select("text", "quality", "toxic").mapInArrow(each, "words binary, dense array<double>, quality int, toxic int").toArrow()
+    # At most max_labelled ids: a broadcast of fixed size. A doc_id may have many rows, so the bound is kept after the join too.
+    joined = docs.withColumn("t", F.xxhash64("text")).join(F.broadcast(picked), "doc_id").select("text", "doc_id", "t", "quality", "toxic")
+    rows = joined.mapInArrow(each, "words binary, dense array<double>, doc_id long, t long, quality int, toxic int").dropDuplicates(["doc_id", "t", "quality", "toxic"])
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "t", "quality", "toxic").limit(max_labelled).toArrow()
     words = [np.frombuffer(x, dtype="<i4") for x in rows.column("words").to_pylist()]
     extra = np.array(rows.column("dense").to_pylist(), dtype=float).reshape(len(words), DENSE)
     marks = np.stack([rows.column(c).to_numpy().astype(float) for c in ("quality", "toxic")], axis=1) if len(words) else np.zeros((0, 2))
@@ -189,7 +195,8 @@ def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     keep: has words, p_quality at least 0.5 and p_toxic at most 0.5. Null texts count as empty, which are never kept. Null
     hosts and paths are sites of their own. Without labelled rows every document with words is kept at 0.5. A doc_id with
-    several labels counts once for each; repeated rows stay; an empty table gives an empty result.
+    several different labels counts once for each; repeated rows stay; texts of any length are read whole; an empty table
+    gives an empty result.
     """
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(host_col).cast("string").alias("host"), F.col(path_col).cast("string").alias("path"))
     model = train(docs.select("doc_id", "text"), labels, max_labelled)

@@ -100,3 +100,60 @@ def test_odd_rows(docs):
     assert [g[1:3] for g in got if g[0] == 4] == [("", 1), ("", 1)]
     assert [g[1:3] for g in got if g[0] == 6] == [("", 1)]
     assert line_dedup.dedup(df.limit(0)).count() == 0
+
+
+def brute(rows, least=30):
+    """Lines of each document that lie in a common block of least words with an earlier document that is the first to hold one of its runs."""
+    cut = {i: [x.strip() for x in t.split("\n")] for i, t in rows}
+
+    def blocks(a, b):
+        out = set()
+        for i in range(len(a)):
+            for j in range(len(b)):
+                k = 0
+                while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k]:
+                    k += 1
+                if sum(len(x.split()) for x in a[i : i + k]) >= least:
+                    out |= set(range(i, i + k))
+        return out
+
+    def runs(lines):
+        for i in range(len(lines)):
+            for k in range(i + 1, len(lines) + 1):
+                if sum(len(x.split()) for x in lines[i:k]) >= least:
+                    if lines[i]:
+                        yield tuple(lines[i:k])
+                    break
+
+    first = {}
+    for i, _ in sorted(rows):
+        for run in runs(cut[i]):
+            first.setdefault(run, i)
+    out = {}
+    for i, text in rows:
+        partners = {first[r] for r in runs(cut[i])} - {i}
+        gone = set().union(*(blocks(cut[i], cut[p]) for p in partners)) if partners else set()
+        out[i] = ("\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone), len(gone))
+    return out
+
+
+def test_text_matches_brute_force(docs):
+    rnd = random.Random(11)
+    passages = [[words(rnd.randint(1, 20), f"p{i}_{k}_") for k in range(rnd.randint(2, 6))] for i in range(12)]
+    rows = []
+    for i in range(80):
+        lines = []
+        for p in rnd.sample(passages, rnd.randint(0, 3)):
+            lines += p[: rnd.randint(1, len(p))] if rnd.random() < 0.3 else p
+            lines += [words(rnd.randint(1, 12), f"own{i}_{rnd.random()}_") for _ in range(rnd.randint(0, 2))]
+        rows.append((i, "\n".join(lines)))
+    got = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup(docs(rows)).collect()}
+    want = brute(rows)
+    assert got == want and sum(n for _, n in want.values()) > 50
+
+
+def test_long_texts_with_many_partners(docs):
+    rows = [(i, "\n".join(words(40, f"m{i}_{k}_") for k in range(3))) for i in range(300)]
+    rows.append((1000, "\n".join(t for _, t in rows) + "\n" + "\n".join(f"own line {k}" for k in range(20000))))
+    got = {r.doc_id: r for r in line_dedup.dedup(docs(rows)).collect()}
+    assert got[1000].n_removed == 900 and got[1000].text == "\n".join(f"own line {k}" for k in range(20000))

@@ -1,3 +1,6 @@
+import re
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -65,3 +68,57 @@ def test_odd_rows(spark, docs):
     assert quality.classify(df.limit(0), labels).count() == 0
     kept = quality.keep(df, labels.limit(0))
     assert kept.columns == df.columns and kept.count() == 4
+
+
+M = 0x9E3779B97F4A7C15
+MASK = (1 << 64) - 1
+
+
+def scrambled(x):
+    x &= MASK
+    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & MASK
+    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & MASK
+    return x ^ (x >> 31)
+
+
+def brute_features(text):
+    """Buckets and dense features, word by word in plain integers."""
+    words = [w.lower() for w in re.findall(rb"[^\x20\x09-\x0D]+", text.encode())]
+    value = lambda w: sum((b + 1) * pow(M, i, 1 << 64) for i, b in enumerate(w))
+    every = [scrambled(value(w) + len(w)) for w in words]
+    heads = Counter(scrambled(value(w[:6])) for w in words)
+    buckets = {h % quality.BUCKETS for h in every} | {scrambled(h + n) % quality.BUCKETS for h, times in heads.items() for n in (1, 2, 3) if times >= n}
+    n = max(1, len(words))
+    shares = [min(sum(text.count(c) for c in signs) / n, 5.0) for signs in quality._KINDS.values()]
+    return buckets, [*shares, np.log1p(len(words)) / 5, min(len(text) / n, 30.0) / 10, len(set(every)) / n]
+
+
+def test_scores_and_decisions_match_brute_force(spark, small):
+    docs, labels = spark.read.parquet(f"{small}/documents.parquet"), spark.read.parquet(f"{small}/labels.parquet")
+    model = quality.train(docs.select("doc_id", "text"), labels)
+    rows, z = docs.collect(), {}
+    for r in rows:
+        buckets, extra = brute_features(r.text)
+        scaled = (np.array(extra) - model["mean"]) / model["spread"]
+        z[r.doc_id] = [sum(w for at, w in zip(model[f"seen{k}"], model[f"words{k}"], strict=True) if at in buckets) + model["dense"][k] @ scaled + model["bias"][k] for k in range(2)]
+    sites = {}
+    for r in quality.posteriors(scored(spark, [(r.source, r.lang, float(z[r.doc_id][0]), float(z[r.doc_id][1])) for r in rows])).collect():
+        sites[r.host, r.path] = (r.shift_quality, r.shift_toxic)
+    got = {r.doc_id: r for r in quality.classify(docs, labels).collect()}
+    for r in rows:
+        p = [1 / (1 + np.exp(-np.clip(z[r.doc_id][k] + sites[r.source, r.lang][k], -30, 30))) for k in range(2)]
+        assert abs(got[r.doc_id].p_quality - p[0]) < 1e-6 and abs(got[r.doc_id].p_toxic - p[1]) < 1e-6
+        assert got[r.doc_id].keep == (bool(r.text.split()) and p[0] >= 0.5 and p[1] <= 0.5)
+
+
+def test_repeated_ids_stay_within_the_bound(spark, docs):
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    rows = [(i % 40, f"word{i % 7} " * (1 + i % 5)) for i in range(900)]
+    sizes = []
+    real = quality.fit
+    try:
+        quality.fit = lambda rows, *x: sizes.append(len(rows)) or real(rows, *x)
+        quality.train(docs(rows).select("doc_id", "text"), labels, 50)
+    finally:
+        quality.fit = real
+    assert sizes == [50]
