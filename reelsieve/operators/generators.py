@@ -27,39 +27,88 @@ def trajectories(scenes: DataFrame, scene: str) -> DataFrame:
     return scenes.select(scene, F.explode(F.array(*[F.struct(F.lit(f).alias("family"), F.lit(k).alias("k")) for f, k in every])).alias("x")).select(scene, "x.family", "x.k")
 
 
-def family_position(family: str, s: Column, k: Column, radius: Column) -> tuple[Column, Column, Column]:
-    """x, y, z at s in [0, 1] for the closed-form families."""
-    turn = 2 * math.pi * s
-    phase = k * (math.pi / 4)
-    zero = F.lit(0.0)
-    if family == "orbit":
-        return radius * F.cos(turn + phase), zero, radius * F.sin(turn + phase)
-    if family == "spiral":
-        return radius * (1 - 0.5 * s) * F.cos(2 * turn + phase), radius * (s - 0.5), radius * (1 - 0.5 * s) * F.sin(2 * turn + phase)
-    if family == "dolly":
-        return zero, zero, -radius * (1 - s) * (1 + 0.1 * k)
-    if family == "flythrough":
-        return radius * (2 * s - 1) * F.cos(phase), zero, radius * (2 * s - 1) * F.sin(phase)
-    if family == "crane":
-        return zero, radius * (s - 0.5) * (1 + 0.1 * k), -radius
-    if family == "pendulum":
-        swing = F.sin(turn) * (math.pi / 6)
-        return radius * F.sin(swing), zero, -radius * F.cos(swing)
-    if family == "compound":
-        return radius * F.cos(turn / 2 + phase), radius * (s - 0.5), radius * F.sin(turn / 2 + phase) * (1 - 0.3 * s)
-    raise ValueError(f"{family} has no closed form")
-
-
-def random_walk(trajectories: DataFrame, key: str, frames: int, step: float = 0.05) -> DataFrame:
-    """key, t, x, y, z: running sums of steps that are normal in distribution, drawn by hash from the key and the frame."""
-    rows = trajectories.select(key, F.explode(F.sequence(F.lit(0), F.lit(frames - 1))).alias("t"))
-
-    def normal(axis: str) -> Column:
-        u = [(seed_of(F.concat_ws(":", F.col(key).cast("string"), F.col("t").cast("string"), F.lit(axis + p))) + 1) / F.lit(float((1 << 32) + 1)) for p in "ab"]
-        return F.sqrt(-2 * F.log(u[0])) * F.cos(2 * math.pi * u[1])
+def normal(*parts: Column | str) -> Column:
+    """A standard normal number drawn by hash from the parts (Box and Muller)."""
+    text = [p if isinstance(p, Column) else F.lit(p) for p in parts]
+    u = [(seed_of(F.concat_ws(":", *[p.cast("string") for p in text], F.lit(end))) + 1) / F.lit(float((1 << 32) + 1)) for end in "ab"]
+    return F.sqrt(-2 * F.log(u[0])) * F.cos(2 * math.pi * u[1])
+
+
+Vector = tuple[Column, Column, Column]
+
+
+def unit(v: Vector, least: float = 1e-6) -> Vector:
+    """v / max(length, least)."""
+    length = F.greatest(F.sqrt(v[0] * v[0] + v[1] * v[1] + v[2] * v[2]), F.lit(least))
+    return v[0] / length, v[1] / length, v[2] / length
+
+
+def cross(a: Vector, b: Vector) -> Vector:
+    return a[1] * b[2] - a[2] * b[1], a[2] * b[0] - a[0] * b[2], a[0] * b[1] - a[1] * b[0]
+
+
+def look_at(position: Vector, target: Vector) -> Column:
+    """The camera's pose (16 numbers, row by row) at position: columns right, up, forward, position; up is y."""
+    forward = unit(tuple(t - p for t, p in zip(target, position, strict=True)))
+    right = unit(cross((F.lit(0.0), F.lit(1.0), F.lit(0.0)), forward))
+    up = cross(forward, right)
+    rows = [x for k in range(3) for x in (right[k], up[k], forward[k], position[k])]
+    return F.array(*[x.cast("double") for x in rows], F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(1.0))
 
+
+def family_position(family: str, s: Column, radius: Column, centroid: Vector, anchor: Vector, direction: Vector) -> Vector:
+    """x, y, z at s in [0, 1] for the closed-form families.
+
+    centroid and radius: of the scene; anchor: one of its cameras; direction: a unit vector drawn for the trajectory. The
+    ends, turns and widths of the families are fixed values.
+    """
+    turn = 2 * math.pi * s
+    toward = unit(tuple(c - a for c, a in zip(centroid, anchor, strict=True)))
+    circle = (radius * F.cos(turn), F.lit(0.0), radius * F.sin(turn))
+    wide = radius * (1 + 0.5 * s)
+    along = {
+        "orbit": (centroid, circle),
+        "spiral": (centroid, (wide * F.cos(2 * turn), 0.5 * radius * (s - 0.5), wide * F.sin(2 * turn))),
+        "dolly": (anchor, tuple((s - 0.5) * radius * d for d in toward)),
+        "flythrough": (anchor, tuple((s - 0.5) * 2 * radius * d for d in direction)),
+        "crane": (anchor, tuple((s - 0.5) * radius * d for d in direction)),
+        "pendulum": (anchor, tuple(0.5 * radius * F.sin(turn) * d for d in direction)),
+        "compound": (centroid, tuple(c + 0.3 * radius * F.sin(3 * turn) * d for c, d in zip(circle, direction, strict=True))),
+    }
+    if family not in along:
+        raise ValueError(f"{family} has no closed form")
+    start, move = along[family]
+    return tuple(a + b for a, b in zip(start, move, strict=True))
+
+
+def random_walk(rows: DataFrame, key: str, frames: int, radius: str) -> DataFrame:
+    """key, t, x, y, z: running sums of normal steps of radius / 50, drawn by hash from the key and the frame."""
+    every = rows.select(key, radius, F.explode(F.sequence(F.lit(0), F.lit(frames - 1))).alias("t"))
     w = Window.partitionBy(key).orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
-    return rows.select(key, "t", *[F.sum(F.when(F.col("t") == 0, 0.0).otherwise(step * normal(a))).over(w).alias(a) for a in "xyz"])
+    return every.select(key, "t", *[F.sum(F.col(radius) / 50 * normal(F.col(key), F.col("t"), a)).over(w).alias(a) for a in "xyz"])
+
+
+def waypoints(points: DataFrame, key: str, place: str, coordinates: list[str], frames: int) -> DataFrame:
+    """key, t and the coordinates on the straight pieces between the points, which are evenly spaced in time; one point stays put."""
+    n = points.groupBy(key).agg(F.count("*").alias("__n"))
+    grid = n.select(key, "__n", F.explode(F.sequence(F.lit(0), F.lit(frames - 1))).alias("t")).withColumn("__s", F.col("t") * (F.col("__n") - 1) / F.lit(float(max(1, frames - 1))))
+    grid = grid.withColumn(place, F.least(F.floor("__s"), F.greatest(F.col("__n") - 2, F.lit(0))).cast("int"))
+    w = Window.partitionBy(key).orderBy(place)
+    ends = points.select(key, F.col(place).cast("int").alias(place), *[F.col(c) for c in coordinates], *[F.coalesce(F.lead(c).over(w), F.col(c)).alias(f"__{c}") for c in coordinates])
+    part = F.col("__s") - F.col(place)
+    return grid.join(ends, [key, place]).select(key, "t", *[(F.col(c) + (F.col(f"__{c}") - F.col(c)) * part).alias(c) for c in coordinates])
+
+
+def zoom_focal(t: Column, frames: int, start: float, end: float) -> Column:
+    """The exact focal length of a clip that zooms evenly from start to end."""
+    return start + (end - start) * t / F.lit(float(max(1, frames - 1)))
+
+
+def stub_poses(clips: DataFrame, clip: str, frames: int, step: float = 0.1, focal: float = 700.0, width: int = 1280, height: int = 720) -> DataFrame:
+    """clip, t, pose (16 numbers: no turn, x = t * step), fx, fy, cx, cy, scale: stand-ins where no pose runner is given."""
+    rows = clips.select(clip, F.explode(F.sequence(F.lit(0), F.lit(frames - 1))).alias("t"))
+    pose = F.array(*[F.col("t") * F.lit(step) if i == 3 else F.lit(float(i % 5 == 0)) for i in range(16)])
+    return rows.select(clip, "t", pose.alias("pose"), F.lit(focal).alias("fx"), F.lit(focal).alias("fy"), F.lit(width / 2).alias("cx"), F.lit(height / 2).alias("cy"), F.lit(1.0).alias("scale"))
 
 
 def clipped(v: Column, low: Column, high: Column, margin: float = 0.1) -> Column:

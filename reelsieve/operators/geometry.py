@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -120,3 +122,33 @@ def reanchor(df: DataFrame, key: str, pose: str = "pose", order: str = "t") -> D
 def ray_intrinsics(df: DataFrame, key: str, u: str, v: str, x: str, y: str) -> DataFrame:
     """fx, cx, fy, cy of a pinhole from rays (x, y at depth 1) and pixels, by two straight lines."""
     return df.groupBy(key).agg(F.regr_slope(u, x).alias("fx"), F.regr_intercept(u, x).alias("cx"), F.regr_slope(v, y).alias("fy"), F.regr_intercept(v, y).alias("cy"))
+
+
+def unpacked(k: Column) -> dict[str, Column]:
+    """fx, fy, cx, cy of a 3x3 matrix, row by row."""
+    return {"fx": k[0], "fy": k[4], "cx": k[2], "cy": k[5]}
+
+
+def to_matrix(fx: Column, fy: Column, cx: Column, cy: Column) -> Column:
+    """The 3x3 matrix, row by row."""
+    zero, one = F.lit(0.0), F.lit(1.0)
+    return F.array(fx, zero, cx, zero, fy, cy, zero, zero, one)
+
+
+def pose_of(values: Column) -> Column:
+    """The 4x4 pose of 16, 12 (without the last row) or 3 (a position) numbers; another number of them is an error."""
+    last = F.array(F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(1.0))
+    at = F.array(*[values[i // 4] if i % 4 == 3 and i < 12 else F.lit(float(i % 5 == 0)) for i in range(16)])
+    wrong = F.raise_error(F.format_string("a pose has 16, 12 or 3 numbers, not %d", F.size(values))).cast("array<double>")
+    return F.when(F.size(values) == 16, values).when(F.size(values) == 12, F.concat(values, last)).when(F.size(values) == 3, at).otherwise(wrong)
+
+
+def by_mode(clips: DataFrame, mode: str, plans: dict[str, Callable[[DataFrame], DataFrame]]) -> DataFrame:
+    """Each mode's plan over its clips, united; a clip of another mode is an error."""
+    known = F.when(F.col(mode).isin(*plans), F.col(mode)).otherwise(F.raise_error(F.concat(F.lit("unknown mode "), F.coalesce(mode, F.lit("null")))))
+    clips = clips.withColumn(mode, known)
+    parts = [plan(clips.where(F.col(mode) == name)) for name, plan in plans.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out

@@ -1,10 +1,7 @@
-"""Numbers for shards, batches and workers; sinks for manifests and shard archives."""
+"""Numbers for shards, batches and workers; sinks for manifests."""
 
 from __future__ import annotations
 
-import io
-import tarfile
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,29 +53,3 @@ def write_manifests(df: DataFrame, path: str, id_col: str, verdict: str, why: st
     for v in ("pass", "fail", "flag"):
         line = F.col(id_col).cast("string") if v == "pass" else manifest_line(id_col, why)
         df.where(F.col(verdict) == v).select(line.alias("value")).write.mode("overwrite").text(f"{path}/{v}")
-
-
-def tar_bytes(members: list[tuple[str, bytes]]) -> bytes:
-    """A tar archive of (name, data) with fixed times, so equal members give equal bytes."""
-    out = io.BytesIO()
-    with tarfile.open(fileobj=out, mode="w") as tar:
-        for name, data in members:
-            info = tarfile.TarInfo(name)
-            info.size = len(data)
-            tar.addfile(info, io.BytesIO(data))
-    return out.getvalue()
-
-
-def pack(members: DataFrame, capacity: int = 1000) -> DataFrame:
-    """shard, n_samples, content: tar archives of at most `capacity` samples; members: sample, ext, data, shard (number).
-
-    A shard is bounded by its capacity; its members go to one task, sorted by sample and extension.
-    """
-    import pandas as pd
-
-    def each(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["sample", "ext"])
-        content = tar_bytes([(f"{s}.{e}", bytes(d)) for s, e, d in zip(rows["sample"], rows["ext"], rows["data"], strict=True)])
-        return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "n_samples": [rows["sample"].nunique()], "content": [content]})
-
-    return members.select("shard", "sample", "ext", "data").groupBy("shard").applyInPandas(each, "shard long, n_samples long, content binary")

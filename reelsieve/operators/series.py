@@ -99,9 +99,13 @@ def sliding_mean(df: DataFrame, key: str, value: str, size: int = 16, stride: in
     return held.join(means, [key, "start"]).groupBy(key, "t").agg(F.avg("window_mean").alias("smoothed"))
 
 
-def interpolate(df: DataFrame, key: str, value: str, grid: int) -> DataFrame:
-    """Linear interpolation of frames known at t (integers) to 0 ... grid - 1, clamped at both ends."""
-    every = df.select(key).distinct().select(key, F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("t"))
+def interpolate(df: DataFrame, key: str, value: str, grid: int | DataFrame) -> DataFrame:
+    """Linear interpolation of frames known at t (integers) to 0 ... grid - 1, clamped at both ends.
+
+    grid: one length for all, or a table of key and n, each key's own length.
+    """
+    lengths = df.select(key).distinct().withColumn("n", F.lit(grid)) if isinstance(grid, int) else grid.select(key, F.col("n").cast("int").alias("n"))
+    every = lengths.where("n > 0").select(key, F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("t"))
     rows = every.join(df.select(key, F.col("t").cast("int").alias("t"), F.col(value).alias("__v")), [key, "t"], "left")
     back = Window.partitionBy(key).orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
     ahead = Window.partitionBy(key).orderBy("t").rowsBetween(0, Window.unboundedFollowing)
@@ -156,3 +160,34 @@ def focal_tracking(df: DataFrame, key: str, truth: str, found: str, slack: float
     e = F.abs(F.col(found) - F.col(truth))
     rows = df.select(key, e.alias("e"), F.try_divide(e, F.abs(F.col(truth))).alias("p"), truth, found, (F.col(found) - F.lag(found).over(w)).alias("d"))
     return rows.groupBy(key).agg(F.avg("e").alias("mae"), (100 * F.avg("p")).alias("mape"), F.try_divide(F.max(found) - F.min(found), F.max(truth) - F.min(truth)).alias("range_ratio"), F.coalesce(F.min("d") > slack, F.lit(True)).alias("monotonic"))
+
+
+def smoothed(df: DataFrame, key: str, t: str, value: str, sigma: float, out: str = "value") -> DataFrame:
+    """key, t and the Gaussian mean of the frames around, with repeated edges, by lags and leads: a clip is never gathered.
+
+    Unchanged for sigma <= 0.5 or fewer than 3 frames.
+    """
+    if sigma <= 0.5:
+        return df.select(key, t, F.col(value).alias(out))
+    w = kernel(sigma)
+    half = len(w) // 2
+    near, whole = Window.partitionBy(key).orderBy(t), Window.partitionBy(key).orderBy(t).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = df.select(key, t, F.col(value).alias("__v"), F.first(value).over(whole).alias("__first"), F.last(value).over(whole).alias("__last"), F.count("*").over(whole).alias("__n"))
+    total = F.lit(0.0)
+    for k, weight in enumerate(w):
+        d = k - half
+        at = F.col("__v") if d == 0 else F.coalesce(F.lag("__v", -d).over(near), F.col("__first")) if d < 0 else F.coalesce(F.lead("__v", d).over(near), F.col("__last"))
+        total = total + weight * at
+    return rows.select(key, t, F.when(F.col("__n") < 3, F.col("__v")).otherwise(total).alias(out))
+
+
+def resampled(df: DataFrame, key: str, k: str, values: list[str], frames: int) -> DataFrame:
+    """K known rows per key stretched evenly over 0 ... frames - 1: one row is repeated, as many as frames are copied, others interpolated."""
+    from .generators import waypoints
+
+    return waypoints(df, key, k, values, frames)
+
+
+def seeded_ema(first: Column, xs: Column, momentum: float = 0.99) -> Column:
+    """EMA whose first value is `first` and which then moves by xs; xs[0] isn't used."""
+    return ema(F.concat(F.array(first), F.slice(xs, F.lit(2), F.greatest(F.size(xs) - 1, F.lit(0)))), momentum)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT_GROUP, GROUPS, group_table, rule_rows, rule_table
 from ..functions import columns as C
-from ..operators import generators, geometry, merge, packing, sampling, series, verdict
+from ..operators import generators, geometry, merge, packing, sampling, series, validation, verdict
 from .registry import query
 
 ORDER = ["ts", "event_id"]
@@ -443,14 +443,14 @@ def sliding_chunk_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(_T_SQL + """,
-    g AS (SELECT u.user_id, s.t, CASE WHEN f.t % 3 = 1 THEN value END AS v FROM (SELECT DISTINCT user_id FROM f) u CROSS JOIN (SELECT unnest(generate_series(0, 59))::INT AS t) s LEFT JOIN f ON f.user_id = u.user_id AND f.t = s.t),
+    g AS (SELECT s.user_id, s.t, CASE WHEN f.t % 3 = 1 THEN value END AS v FROM (SELECT user_id, unnest(generate_series(0, max(t)))::INT AS t FROM f GROUP BY 1) s LEFT JOIN f USING (user_id, t)),
     b AS (SELECT user_id, t, last_value(v IGNORE NULLS) OVER p AS v0, last_value(CASE WHEN v IS NOT NULL THEN t END IGNORE NULLS) OVER p AS t0, first_value(v IGNORE NULLS) OVER q AS v1, first_value(CASE WHEN v IS NOT NULL THEN t END IGNORE NULLS) OVER q AS t1 FROM g
           WINDOW p AS (PARTITION BY user_id ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), q AS (PARTITION BY user_id ORDER BY t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
     SELECT user_id, t, round(coalesce(CASE WHEN t0 = t1 THEN v0 ELSE v0 + (v1 - v0) * (t - t0) / (t1 - t0) END, v0, v1), 6) AS value FROM b""")
 def linear_interp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Known frames interpolated to a dense index, clamped at the ends."""
-    known = _frames(spark, sf_dir).where("t % 3 = 1 AND t < 60")
-    return series.interpolate(known, "user_id", "value", 60).select("user_id", "t", _r("value").alias("value"))
+    """Known frames interpolated to every frame of the track, clamped at the ends."""
+    frames = _frames(spark, sf_dir)
+    return series.interpolate(frames.where("t % 3 = 1"), "user_id", "value", frames.groupBy("user_id").agg((F.max("t") + 1).alias("n"))).select("user_id", "t", _r("value").alias("value"))
 
 
 _KERNEL = series.kernel(1.5)
@@ -461,8 +461,7 @@ _KERNEL = series.kernel(1.5)
     SELECT f.user_id, f.t, round(sum(k.w * g.value), 6) AS value FROM f JOIN n USING (user_id) CROSS JOIN k JOIN f g ON g.user_id = f.user_id AND g.t = least(greatest(f.t + k.d, 0), n - 1) GROUP BY 1, 2""")
 def gaussian_smooth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gaussian smoothing with repeated edges."""
-    rows = series.ordered(_frames(spark, sf_dir), "user_id", ["t"], "value")
-    return _exploded(rows.select("user_id", series.gaussian(F.col("xs"), 1.5).alias("xs")))
+    return series.smoothed(_frames(spark, sf_dir), "user_id", "t", "value", 1.5).select("user_id", "t", _r("value").alias("value"))
 
 
 @query("SELECT event_id, user_id, round(sum(value - 245) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING), 6) AS walk FROM events")
@@ -473,13 +472,13 @@ def cumulative_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(_T_SQL + """,
-    n AS (SELECT user_id, count(*) AS n FROM f GROUP BY 1), i AS (SELECT user_id, n, unnest(generate_series(0, 39)) AS i FROM n), x AS (SELECT user_id, i, least(round_even(i * 24.0 / 16.0, 0)::INT, (n - 1)::INT) AS t FROM i)
+    n AS (SELECT user_id, count(*) AS n FROM f GROUP BY 1), i AS (SELECT user_id, n, unnest(generate_series(0, ceil(n * 16 / 24.0)::INT - 1)) AS i FROM n), x AS (SELECT user_id, i, least(round_even(i * 24.0 / 16.0, 0)::INT, (n - 1)::INT) AS t FROM i)
     SELECT x.user_id, x.i::INT AS i, x.t, round(value, 6) AS value FROM x JOIN f USING (user_id, t)""")
 def fps_downsample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames of a 24 fps track at 16 fps."""
     frames = _frames(spark, sf_dir)
     n = frames.groupBy("user_id").agg(F.count("*").alias("n"))
-    wanted = n.select("user_id", "n", F.explode(F.sequence(F.lit(0), F.lit(39))).alias("i")).select("user_id", "i", series.resampled_index(F.col("i"), 24.0, F.col("n")).alias("t"))
+    wanted = n.select("user_id", "n", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") * 16 / 24.0).cast("int") - 1)).alias("i")).select("user_id", "i", series.resampled_index(F.col("i"), 24.0, F.col("n")).alias("t"))
     return wanted.join(frames, ["user_id", "t"]).select("user_id", "i", "t", _r("value").alias("value"))
 
 
@@ -559,7 +558,10 @@ def stratified_flag_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT doc_id, lang, boundary FROM i WHERE n <= 10 OR i <= CASE WHEN boundary THEN e ELSE 10 - e END""")
 def fail_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fails near the limit first."""
-    rows = _samples(spark, sf_dir).where("verdict = 'fail'").withColumn("why", F.when(F.col("n_jumps") > 50, F.array(F.lit("n_jumps > max_jumps_fail"))).otherwise(F.array(F.lit("other"))))
+    hard = F.when(F.col("n_jumps") > 50, F.array().cast("array<string>")).otherwise(F.array(F.lit("so3_invalid")))
+    rows = _samples(spark, sf_dir).where("verdict = 'fail'").withColumns({"hard_reasons": hard, "caption": F.lit("")})
+    _, why = validation.stage1(rows, F.lit(0), F.lit(10), F.lit(50))
+    rows = rows.withColumn("why", why)
     return sampling.fail_sample(rows, "lang", "doc_id", "why", 10).select("doc_id", "lang", "boundary")
 
 
@@ -639,21 +641,21 @@ _STRIP_SQL = "|".join(map(C.verb_pattern, _STRIP))
 
 
 @query(f"""
-    WITH p AS (SELECT doc_id, string_split(regexp_replace(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)) AS p FROM documents WHERE lang = 'en')
+    WITH p AS (SELECT doc_id, string_split(regexp_replace(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)) AS p FROM documents)
     SELECT doc_id, md5(array_to_string(list_filter(p, lambda s: s <> '' AND NOT regexp_matches(lower(s), '{_STRIP_SQL}')), ' ')) AS kept, len(p) AS n FROM p""")
 def strip_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Captions without offending sentences (as a digest, with the number of sentences)."""
     text = F.col("text")
-    return _t(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id", F.md5(C.strip_sentences(text, _STRIP, None)).alias("kept"), F.size(F.split(C.trimmed(text), r"(?<=[.!?])\s+")).cast("long").alias("n"))
+    return _t(spark, sf_dir, "documents").select("doc_id", F.md5(C.strip_sentences(text, _STRIP, None)).alias("kept"), F.size(F.split(C.trimmed(text), r"(?<=[.!?])\s+")).cast("long").alias("n"))
 
 
 _PHRASES = (r"\bthe\s+\w+ing\b", r"\bof\s+(?:the|a)\b", r"\bthat\s+on\b")
 
 
-@query("SELECT doc_id, array_to_string(list_filter([" + ", ".join(f"regexp_extract(text, '(?i){p}')" for p in _PHRASES) + "], lambda x: x <> ''), '|') AS phrases FROM documents WHERE lang = 'en'")
+@query("SELECT doc_id, array_to_string(list_filter([" + ", ".join(f"regexp_extract(text, '(?i){p}')" for p in _PHRASES) + "], lambda x: x <> ''), '|') AS phrases FROM documents")
 def phrase_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First match of each phrase pattern."""
-    return _t(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id", F.array_join(C.phrase_matches(F.col("text"), _PHRASES), "|").alias("phrases"))
+    return _t(spark, sf_dir, "documents").select("doc_id", F.array_join(C.phrase_matches(F.col("text"), _PHRASES), "|").alias("phrases"))
 
 
 _SITES = ("https://th", "http://blog")
@@ -700,13 +702,13 @@ def safe_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    WITH q AS (SELECT vec_id, label, embedding FROM embeddings WHERE vec_id % 100 = 0), p AS (SELECT q.vec_id AS query_id, b.vec_id AS base_id, round(sqrt(list_sum(list_transform(list_zip(q.embedding, b.embedding), lambda x: (x[1]::DOUBLE - x[2]::DOUBLE) * (x[1]::DOUBLE - x[2]::DOUBLE)))), 6) AS dist FROM q JOIN embeddings b ON b.vec_id % 100 <> 0)
+    WITH q AS (SELECT vec_id, label, embedding FROM embeddings WHERE vec_id % 100 = 0), p AS (SELECT q.vec_id AS query_id, b.vec_id AS base_id, round(sqrt(list_sum(list_transform(list_zip(q.embedding, b.embedding), lambda x: (x[1]::DOUBLE - x[2]::DOUBLE) * (x[1]::DOUBLE - x[2]::DOUBLE)))), 6) AS dist FROM q JOIN embeddings b ON b.vec_id <> q.vec_id)
     SELECT query_id, base_id, dist FROM p QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY dist, base_id) = 1""")
 def nearest_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nearest stored signature of each query (every hundredth row) among all others."""
     rows = _t(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     queries = rows.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
-    return merge.nearest_vector(queries, rows.where("vec_id % 100 <> 0").select(F.col("vec_id").alias("base_id"), "embedding"), "query_id", "base_id", "embedding")
+    return merge.nearest_vector(queries, rows.select(F.col("vec_id").alias("base_id"), "embedding"), "query_id", "base_id", "embedding")
 
 
 
@@ -775,7 +777,8 @@ def job_enumeration(spark: SparkSession, sf_dir: str) -> DataFrame:
 def motion_orbit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An orbit in closed form for every scene."""
     rows = _t(spark, sf_dir, "nation").select("n_nationkey", (F.col("n_regionkey") + 1).alias("radius"), F.explode(F.sequence(F.lit(0), F.lit(60))).alias("t"))
-    x, _, z = generators.family_position("orbit", F.col("t") / 60.0, F.lit(0), F.col("radius"))
+    origin = (F.lit(0.0),) * 3
+    x, _, z = generators.family_position("orbit", F.col("t") / 60.0, F.col("radius"), origin, origin, origin)
     return rows.select("n_nationkey", "t", (_r(x) + 0.0).alias("x"), (_r(z) + 0.0).alias("z"))
 
 

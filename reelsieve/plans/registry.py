@@ -25,7 +25,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _load() -> None:
-    from . import curation  # noqa: F401  registers its queries
+    from . import checks, curation  # noqa: F401  register their queries
 
 
 def queries() -> dict[str, Query]:

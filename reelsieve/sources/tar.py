@@ -1,48 +1,13 @@
-"""Tar shards as a table of members, read where the shards lie and kept up to the first damage."""
+"""Members of tar shards put together by sample, and their arrays."""
 
 from __future__ import annotations
 
 import io
-import tarfile
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SCHEMA = "shard string, name string, size long, data binary, error string"
-
-
-def members(spark: SparkSession, path: str, wanted: tuple[str, ...] | None = None, content: bool = True) -> DataFrame:
-    """One row per file in the tars below path: shard (path), name, size, data; error in a last row for a damaged tar.
-
-    wanted: suffixes to keep, so that large members aren't carried along; content=False lists names and sizes only. Tars are
-    read by Spark, one task per shard, so any store that Spark reads will do.
-    """
-    tars = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.tar").load(path).select("path", "content")
-
-    def each(batches):
-        for batch in batches:
-            for shard, blob in zip(batch.column(0), batch.column(1), strict=True):
-                rows: list[tuple] = []
-                try:
-                    with tarfile.open(fileobj=io.BytesIO(blob.as_py())) as tar:
-                        while (info := tar.next()) is not None:
-                            if not info.isfile() or (wanted and not info.name.endswith(wanted)):
-                                continue
-                            data = tar.extractfile(info).read()
-                            if len(data) < info.size:
-                                raise tarfile.ReadError("unexpected end of data")
-                            rows.append((shard.as_py(), info.name, info.size, data if content else None, None))
-                except (tarfile.TarError, EOFError, OSError) as e:
-                    rows.append((shard.as_py(), None, None, None, f"{type(e).__name__}: {e}"))
-                for at in range(0, len(rows), 64):
-                    part = rows[at : at + 64]
-                    kinds = (pa.string(), pa.string(), pa.int64(), pa.binary(), pa.string())
-                    yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in part], kind) for k, kind in enumerate(kinds)], names=["shard", "name", "size", "data", "error"])
-
-    return tars.mapInArrow(each, SCHEMA)
-
-
 def samples(rows: DataFrame, known: tuple[str, ...]) -> DataFrame:
     """shard, sample, members (map of extension to data): members of a sample together; samples may have dots in their names."""
     from ..functions.columns import member_parts
@@ -53,8 +18,6 @@ def samples(rows: DataFrame, known: tuple[str, ...]) -> DataFrame:
 
 def npy_values(data_col: str):
     """Column: the numbers of a .npy member, flattened (array of double); null where it can't be read."""
-    import pandas as pd
-
     @F.pandas_udf("array<double>")
     def load(data: pd.Series) -> pd.Series:
         import numpy as np
