@@ -25,7 +25,7 @@ def npy_values(data_col: str):
         def one(x):
             try:
                 return np.load(io.BytesIO(x), allow_pickle=False).astype(float).ravel().tolist()
-            except (ValueError, TypeError, OSError):
+            except (ValueError, TypeError, OSError, EOFError):
                 return None
 
         return data.map(one)
