@@ -195,6 +195,8 @@ def crowd_links(members: DataFrame, min_similarity: float, block_texts: int = 12
         return F.greatest(F.ceil(n / block_texts), F.ceil(total / block_bytes), F.lit(1)).cast("int")
 
     buckets = buckets.where("classes > 1").select("key", F.col("top.c").alias("top"), blocks(F.col("n") - F.col("main.n"), F.col("size") - F.col("main.size")).alias("rest"), blocks(F.col("main.n"), F.col("main.size")).alias("mains"))
+    # Written, as an aggregate by key has no shuffle of its own that AQE could split.
+    buckets = materialize(buckets, "blocks")
     placed = members.join(buckets, "key").withColumn("other", F.col("c") != F.col("top"))
     # The members' order among equals is theirs alone: a lost task gives the same blocks again.
     block = F.pmod(F.xxhash64("shingles", "c"), F.when(F.col("other"), F.col("rest")).otherwise(F.col("mains"))).cast("int")
@@ -216,7 +218,8 @@ def crowd_links(members: DataFrame, min_similarity: float, block_texts: int = 12
         found = np.unique(np.stack([classes[a], classes[b]], axis=1), axis=0)
         return pa.table({"u": pa.array(found[:, 0], pa.int64()), "v": pa.array(found[:, 1], pa.int64())})
 
-    return spread.groupBy("key", "inner", "i", "j").applyInArrow(compare, "u long, v long")
+    # Dealt by the whole group: partitioning by key alone would do for Spark, and would leave a bucket's blocks in one task.
+    return spread.repartition("key", "inner", "i", "j").groupBy("key", "inner", "i", "j").applyInArrow(compare, "u long, v long")
 
 
 def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, min_similarity: float = 0.8) -> DataFrame:
@@ -267,7 +270,7 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     links = pairs.join(held.toDF("a", "sa"), "a").join(held.toDF("b", "sb"), "b").select("a", "b", "sa", "sb").mapInArrow(verify, "u long, v long")
     found = components(links)
     crowds = materialize(crowds.join(found, crowds.w == found.node, "left").select("key", "w", F.coalesce("component", "w").alias("c")), "classes")
-    split = crowds.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key")
+    split = materialize(crowds.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key"), "split")
     open_ones = materialize(crowds.join(split, "key", "left_semi"), "open")
     members = open_ones.join(shingle_sets(open_ones.select("w").distinct()), "w").select("key", "c", "shingles")
     joined = components(crowd_links(materialize(members, "members"), min_similarity)).toDF("class", "joined")
