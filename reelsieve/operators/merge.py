@@ -101,8 +101,8 @@ def associate(pairs: DataFrame, group: str, time_a: str, time_b: str) -> DataFra
     return pairs.groupBy(group).applyInPandas(greedy, pairs.schema)
 
 
-def nearest_vector(queries: DataFrame, base: DataFrame, id_q: str, id_b: str, vector: str, block: int = 256) -> DataFrame:
-    """id_q, id_b, dist: each query's nearest base vector (ties: smaller id) but the one of its own id.
+def nearest_vector(queries: DataFrame, base: DataFrame, id_q: str, id_b: str, vector: str, block: int = 256, others: bool = False) -> DataFrame:
+    """id_q, id_b, dist: each query's nearest base vector (ties: smaller id); others: but the one of its own id, where both tables are one.
 
     The queries are dealt to the base in arrays of about `block`, by a hash of their ids; each task compares its base rows with the
     arrays one after another and sends one candidate per query on. No row and no broadcast holds all queries, unless they are few.
@@ -111,5 +111,5 @@ def nearest_vector(queries: DataFrame, base: DataFrame, id_q: str, id_b: str, ve
     blocks = queries.groupBy(dealt.alias("__block")).agg(F.collect_list(F.struct(F.col(id_q).alias("q"), F.col(vector).alias("qv"))).alias("__qs")).select("__qs")
     dist = F.sqrt(F.aggregate(F.zip_with(vector, "s.qv", lambda x, y: x.cast("double") - y.cast("double")), F.lit(0.0), lambda a, d: a + d * d))
     rows = base.crossJoin(blocks).select(F.col(id_b).alias("b"), vector, F.explode("__qs").alias("s")).select(F.col("s.q").alias("q"), "b", F.round(dist, 6).alias("dist"))
-    best = rows.where("q <> b").groupBy("q").agg(F.min(F.struct("dist", "b")).alias("m"))
+    best = (rows.where("q <> b") if others else rows).groupBy("q").agg(F.min(F.struct("dist", "b")).alias("m"))
     return best.select(F.col("q").alias(id_q), F.col("m.b").alias(id_b), F.col("m.dist").alias("dist"))

@@ -708,7 +708,7 @@ def nearest_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nearest stored signature of each query (every hundredth row) among all others."""
     rows = _t(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     queries = rows.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
-    return merge.nearest_vector(queries, rows.select(F.col("vec_id").alias("base_id"), "embedding"), "query_id", "base_id", "embedding")
+    return merge.nearest_vector(queries, rows.select(F.col("vec_id").alias("base_id"), "embedding"), "query_id", "base_id", "embedding", others=True)
 
 
 
