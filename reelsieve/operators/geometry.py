@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Fixed value: points of a smaller variance have no extent.
+LEAST_VARIANCE = 1e-12
 FIT_SCHEMA = "n long, n_inliers long, s double, r array<double>, t array<double>, rmse double"
 
 
@@ -21,7 +24,7 @@ def umeyama(src: np.ndarray, dst: np.ndarray) -> tuple[float, np.ndarray, np.nda
 
 
 def _solve(cov: np.ndarray, variance: float, mean_src: np.ndarray, mean_dst: np.ndarray):
-    if variance <= 0:
+    if not variance >= LEAST_VARIANCE:
         raise ValueError("the points have no extent")
     u, d, vt = np.linalg.svd(cov)
     sign = np.ones(3)
@@ -49,27 +52,31 @@ def residuals(src: np.ndarray, dst: np.ndarray, s: float, r: np.ndarray, t: np.n
 
 
 def sim3(df: DataFrame, key: str, src: list[str], dst: list[str]) -> DataFrame:
-    """Transform per key from moments: points are added up in partial aggregates and only 17 numbers of a key meet in Python."""
+    """Transform per key from central moments: only 16 numbers and the count of a key meet in Python.
+
+    The moments are merged from partial aggregates about running means, so points far from the origin lose no digits. n counts
+    the pairs without a null; the transform is null for fewer than three of them and for points without extent.
+    """
     x, y = [F.col(c).cast("double") for c in src], [F.col(c).cast("double") for c in dst]
-    sums = [F.count("*").alias("n"), *[F.sum(c).alias(f"x{i}") for i, c in enumerate(x)], *[F.sum(c).alias(f"y{i}") for i, c in enumerate(y)]]
-    sums += [F.sum(y[i] * x[j]).alias(f"m{i}{j}") for i in range(3) for j in range(3)] + [F.sum(x[0] ** 2 + x[1] ** 2 + x[2] ** 2).alias("xx")]
+    whole = reduce(lambda a, c: a & c.isNotNull(), [*x, *y], F.lit(True))
+    x, y = [F.when(whole, c) for c in x], [F.when(whole, c) for c in y]
+    moments = [F.count_if(whole).alias("n"), *[F.avg(c).alias(f"x{i}") for i, c in enumerate(x)], *[F.avg(c).alias(f"y{i}") for i, c in enumerate(y)]]
+    moments += [F.covar_pop(y[i], x[j]).alias(f"m{i}{j}") for i in range(3) for j in range(3)] + [sum(map(F.var_pop, x)).alias("extent")]
 
     def solve(batches):
         for rows in batches:
             out = []
             for r in rows.to_dict("records"):
-                n = r["n"]
-                mx, my = (np.array([r[f"{p}{i}"] for i in range(3)]) / n for p in "xy")
-                cov = np.array([[r[f"m{i}{j}"] for j in range(3)] for i in range(3)]) / n - np.outer(my, mx)
+                cov = np.array([[r[f"m{i}{j}"] for j in range(3)] for i in range(3)])
                 try:
-                    s, rot, t = _solve(cov, r["xx"] / n - mx @ mx, mx, my) if n >= 3 else (None, None, None)
+                    s, rot, t = _solve(cov, r["extent"], *(np.array([r[f"{p}{i}"] for i in range(3)]) for p in "xy")) if r["n"] >= 3 else (None, None, None)
                 except ValueError:
                     s = rot = t = None
-                out.append((r[key], n, s, None if rot is None else rot.ravel().tolist(), None if t is None else t.tolist()))
+                out.append((r[key], r["n"], s, None if rot is None else rot.ravel().tolist(), None if t is None else t.tolist()))
             yield pd.DataFrame(out, columns=[key, "n", "s", "r", "t"])
 
     kind = dict(df.dtypes)[key]
-    return df.groupBy(key).agg(*sums).mapInPandas(solve, f"`{key}` {kind}, n long, s double, r array<double>, t array<double>")
+    return df.groupBy(key).agg(*moments).mapInPandas(solve, f"`{key}` {kind}, n long, s double, r array<double>, t array<double>")
 
 
 def sim3_inliers(df: DataFrame, key: str, order: list[str], src: list[str], dst: list[str], percentile: float = 80.0, rounds: int = 5) -> DataFrame:
@@ -98,13 +105,31 @@ def trajectory_error(df: DataFrame, key: str, fits: DataFrame, src: list[str], d
     return rows.groupBy(key).agg(F.sqrt(F.avg(F.col("e") ** 2)).alias("rmse"), F.avg("e").alias("mean"), F.percentile("e", F.lit(0.5)).alias("median"), F.max("e").alias("max"))
 
 
-def relative_motion(df: DataFrame, key: str, lag: int, src: list[str], dst: list[str]) -> DataFrame:
-    """Per key and half: mean difference of the motions over `lag` frames (t to t + lag)."""
-    later = df.select(key, (F.col("t") - lag).alias("t"), *[F.col(c).alias(f"{c}_1") for c in [*src, *dst]])
-    both = df.join(later, [key, "t"])
-    e = F.sqrt(sum(((F.col(f"{d}_1") - F.col(d)) - (F.col(f"{s}_1") - F.col(s))) ** 2 for s, d in zip(src, dst, strict=True)))
-    half = df.groupBy(key).agg((F.max("t") / 2).alias("middle"))
-    return both.select(key, "t", e.alias("e")).join(half, key).groupBy(key, (F.col("t") >= F.col("middle")).cast("int").alias("half")).agg(F.avg("e").alias("rte"))
+def relative_motion(df: DataFrame, key: str, t: str, lag: int, src: str, dst: str) -> DataFrame:
+    """Per key: rot_mean, trans_mean and the same of the second half, rot_2nd_half, trans_2nd_half.
+
+    Errors of the motion from frame i to i + lag, i = 0, lag, 2 lag...: the angle in degrees between the two rotations and
+    the distance between the two shifts, each seen from its own frame i. src, dst: rigid 4x4 poses, row by row. The second
+    half of m motions begins with number floor(m / 2). A key without two frames lag apart gives no row.
+    """
+    rows = df.where(F.col(t) % lag == 0).select(key, F.col(t).alias("__t"), F.col(src).alias("__s"), F.col(dst).alias("__d"))
+    later = rows.select(key, (F.col("__t") - lag).alias("__t"), F.col("__s").alias("__s1"), F.col("__d").alias("__d1"))
+
+    def motion(p: Column, q: Column) -> tuple[list[Column], list[Column]]:
+        turned = [sum(p[4 * k + i] * q[4 * k + j] for k in range(3)) for i in range(3) for j in range(3)]
+        return turned, [sum(p[4 * k + i] * (q[4 * k + 3] - p[4 * k + 3]) for k in range(3)) for i in range(3)]
+
+    (turned, moved), (turned_to, moved_to) = motion(F.col("__s"), F.col("__s1")), motion(F.col("__d"), F.col("__d1"))
+    cosine = (sum(a * b for a, b in zip(turned, turned_to, strict=True)) - 1) / 2
+    rot = F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))))
+    trans = F.sqrt(sum((a - b) ** 2 for a, b in zip(moved, moved_to, strict=True)))
+    errors = rows.join(later, [key, "__t"]).select(key, (F.col("__t") / lag).cast("long").alias("__i"), rot.alias("rot"), trans.alias("trans"))
+    halves = errors.groupBy(key).agg(F.floor(F.count("*") / 2).alias("__half"))
+    late = F.col("__i") >= F.col("__half")
+    return errors.join(halves, key).groupBy(key).agg(
+        F.avg("rot").alias("rot_mean"), F.avg("trans").alias("trans_mean"),
+        F.avg(F.when(late, F.col("rot"))).alias("rot_2nd_half"), F.avg(F.when(late, F.col("trans"))).alias("trans_2nd_half"),
+    )
 
 
 def reanchor(df: DataFrame, key: str, pose: str = "pose", order: str = "t") -> DataFrame:
@@ -143,6 +168,11 @@ def pose_of(values: Column) -> Column:
     return F.when(F.size(values) == 16, values).when(F.size(values) == 12, F.concat(values, last)).when(F.size(values) == 3, at).otherwise(wrong)
 
 
+def metric_scale(df: DataFrame, key: str, order: list[str], src: list[str], dst: list[str], percentile: float = 80.0) -> DataFrame:
+    """Per key the scale of the transform that is fitted again, once, on the points within the percentile of the residuals."""
+    return sim3_inliers(df, key, order, src, dst, percentile, rounds=1).select(key, "s")
+
+
 def by_mode(clips: DataFrame, mode: str, plans: dict[str, Callable[[DataFrame], DataFrame]]) -> DataFrame:
     """Each mode's plan over its clips, united; a clip of another mode is an error."""
     known = F.when(F.col(mode).isin(*plans), F.col(mode)).otherwise(F.raise_error(F.concat(F.lit("unknown mode "), F.coalesce(mode, F.lit("null")))))

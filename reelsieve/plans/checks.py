@@ -50,6 +50,29 @@ def pose_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("scene", *[_r(c).alias(c) for c in ("det_mean", "det_std", "orth_err", "first_dev")], "so3_valid", "first_frame_ok")
 
 
+@query("""
+    WITH p AS (SELECT c_nationkey AS scene, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS t, radians(c_custkey % 360) AS g, radians(c_custkey % 350) AS h, c_acctbal::DOUBLE / 1000 AS x FROM customer),
+    m AS (SELECT a.scene, a.t // 2 AS i, cos((b.g - a.g) - (b.h - a.h)) AS c,
+                 cos(a.g) * (b.x - a.x) + sin(a.g) * 2 - cos(a.h) * (b.x - a.x + b.t % 7 - a.t % 7) - sin(a.h) * 2 AS dx,
+                 cos(a.g) * 2 - sin(a.g) * (b.x - a.x) - cos(a.h) * 2 + sin(a.h) * (b.x - a.x + b.t % 7 - a.t % 7) AS dy
+          FROM p a JOIN p b ON a.scene = b.scene AND b.t = a.t + 2 WHERE a.t % 2 = 0),
+    e AS (SELECT scene, i >= count(*) OVER (PARTITION BY scene) // 2 AS late, degrees(acos(greatest(-1, least(1, c)))) AS rot, sqrt(dx * dx + dy * dy) AS trans FROM m)
+    SELECT scene, round(avg(rot), 4) AS rot_mean, round(avg(trans), 4) AS trans_mean, round(avg(rot) FILTER (late), 4) AS rot_2nd_half, round(avg(trans) FILTER (late), 4) AS trans_2nd_half FROM e GROUP BY 1""")
+def relative_motion_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors of each scene's motion over two frames, whole and second half."""
+    rows = _t(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("scene"), "c_custkey", (F.col("c_acctbal").cast("double") / 1000).alias("x"))
+    rows = series.numbered(rows, "scene", "c_custkey")
+
+    def pose(turn: Column, x: Column) -> Column:
+        c, s, zero, one = F.cos(turn), F.sin(turn), F.lit(0.0), F.lit(1.0)
+        return F.array(c, -s, zero, x, s, c, zero, F.col("t").cast("double"), zero, zero, one, zero, zero, zero, zero, one)
+
+    key = F.col("c_custkey")
+    rows = rows.select("scene", "t", pose(F.radians(key % 360), F.col("x")).alias("given"), pose(F.radians(key % 350), F.col("x") + F.col("t") % 7).alias("found"))
+    got = geometry.relative_motion(rows, "scene", "t", 2, "found", "given")
+    return got.select("scene", *[_r(c, 4).alias(c) for c in ("rot_mean", "trans_mean", "rot_2nd_half", "trans_2nd_half")])
+
+
 @query("""
     WITH f AS (SELECT c_nationkey AS scene, CASE WHEN c_custkey % 40 = 0 THEN 'nan'::DOUBLE ELSE c_acctbal END AS poses, CASE WHEN c_custkey % 55 = 0 THEN 'inf'::DOUBLE ELSE c_acctbal END AS scale FROM customer),
     n AS (SELECT scene, count(*) FILTER (NOT isfinite(poses)) AS a, count(*) FILTER (NOT isfinite(scale)) AS b FROM f GROUP BY 1)

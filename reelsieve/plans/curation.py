@@ -758,6 +758,12 @@ def sim3_inlier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geometry.sim3_inliers(_points(spark, sf_dir), "label", ["vec_id"], ["a0", "a1", "a2"], ["b0", "b1", "b2"])
 
 
+@query()
+def metric_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scale per group, refitted once on the points within a percentile."""
+    return geometry.metric_scale(_points(spark, sf_dir), "label", ["vec_id"], ["a0", "a1", "a2"], ["b0", "b1", "b2"])
+
+
 @query()
 def trajectory_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Errors left after each group's transform."""

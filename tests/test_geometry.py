@@ -83,3 +83,95 @@ def test_columns(spark):
     assert np.allclose(value(C.rotation(F.lit(1.0), F.lit(0.0), F.lit(0.0), F.lit(0.0))), np.eye(3).ravel())
     assert value(C.norm(F.array(F.lit(3.0), F.lit(4.0)))) == 5.0 and value(C.distance(F.array(F.lit(1.0)), F.array(F.lit(4.0)))) == 3.0
     assert [r for r in one.select(*C.frames_of(F.lit(None).cast("double"), F.lit(2.0), F.lit(None).cast("long"), F.lit(16.0))).first()] == [2.0, 32]
+
+
+def _turn(angle):
+    c, s = np.cos(angle), np.sin(angle)
+    return np.array([[c, -s, 0], [s, c, 0], [0, 0, 1.0]])
+
+
+def _table(spark, parts):
+    rows = [(k, i, *map(float, a), *map(float, b)) for k, (src, dst) in parts.items() for i, (a, b) in enumerate(zip(src, dst, strict=True))]
+    return spark.createDataFrame(rows, "k string, i int, x0 double, x1 double, x2 double, y0 double, y1 double, y2 double"), ["x0", "x1", "x2"], ["y0", "y1", "y2"]
+
+
+def test_sim3_of_a_known_transform_far_from_the_origin(spark):
+    rng = np.random.default_rng(1)
+    src = rng.normal(size=(200, 3))
+    to = lambda p: 0.7 * p @ _turn(0.4).T + np.array([1.0, -2.0, 0.5])
+    df, x, y = _table(spark, {"near": (src, to(src)), "far": (src + 1e6, to(src + 1e6)), "few": (src[:2], src[:2]), "point": (np.ones((5, 3)), src[:5])})
+    df = df.unionByName(df.where("k = 'near' AND i = 0").withColumn("y1", F.lit(None).cast("double")))
+    got = {r.k: r for r in geometry.sim3(df, "k", x, y).collect()}
+    for k, exact in (("near", 1e-9), ("far", 1e-6)):
+        assert got[k].n == 200 and abs(got[k].s - 0.7) < exact and np.allclose(np.array(got[k].r).reshape(3, 3), _turn(0.4), atol=exact)
+    assert np.allclose(got["near"].t, [1, -2, 0.5], atol=1e-9)
+    assert got["few"].s is None and got["point"].s is None and got["point"].n == 5
+
+
+def test_robust_fits_with_outliers(spark):
+    rng = np.random.default_rng(2)
+    src = rng.normal(size=(300, 3))
+    dst = 0.7 * src @ _turn(0.4).T + np.array([1.0, -2.0, 0.5]) + rng.normal(scale=1e-3, size=src.shape)
+    dst[rng.permutation(300)[:60]] += rng.normal(scale=5, size=(60, 3))
+    df, x, y = _table(spark, {"a": (src, dst), "b": (src[:2], dst[:2])})
+    got = {r.k: r for r in geometry.sim3_inliers(df, "k", ["i"], x, y).collect()}
+    assert 0.60 * 300 <= got["a"].n_inliers <= 0.85 * 300 and abs(got["a"].s - 0.7) < 0.05 and got["b"].s is None
+    (s, r, t), _ = geometry.inlier_fit(src, dst, rounds=1)
+    once = geometry.umeyama(*(p[(e := geometry.residuals(src, dst, *geometry.umeyama(src, dst))) <= np.percentile(e, 80)] for p in (src, dst)))[0]
+    scale = {r.k: r.s for r in geometry.metric_scale(df, "k", ["i"], x, y).collect()}
+    assert np.isclose(s, once) and np.isclose(scale["a"], once) and scale["b"] is None
+
+
+def test_fits_of_the_queries_against_numpy(spark, small):
+    points = {}
+    for r in sorted(spark.read.parquet(f"{small}/embeddings.parquet").select("label", "vec_id", "embedding").collect(), key=lambda r: r.vec_id):
+        points.setdefault(r.label, []).append(r.embedding[:6])
+    found = {name: {r.label: r for r in registry.queries()[name](spark, small).collect()} for name in ("sim3_fit", "sim3_inlier", "metric_scale", "trajectory_errors")}
+    assert all(set(rows) == set(points) for rows in found.values())
+    for label, p in points.items():
+        a, b = np.array(p, dtype=float)[:, :3], np.array(p, dtype=float)[:, 3:]
+        if len(a) < 3:
+            assert found["sim3_fit"][label].s is None
+            continue
+        # The fit by its own definition: no smaller sum of squares nearby, and a rotation.
+        fit = found["sim3_fit"][label]
+        rot, t = np.array(fit.r).reshape(3, 3), np.array(fit.t)
+        assert np.allclose(rot @ rot.T, np.eye(3)) and np.isclose(np.linalg.det(rot), 1)
+        cost = lambda s, r, t: (np.linalg.norm(b - (s * a @ r.T + t), axis=1) ** 2).sum()
+        least = cost(fit.s, rot, t)
+        for step in (1e-3, -1e-3):
+            assert cost(fit.s + step, rot, t) >= least and cost(fit.s, rot @ _turn(step), t) >= least and cost(fit.s, rot, t + step) >= least
+        e = np.linalg.norm(b - (fit.s * a @ rot.T + t), axis=1)
+        got = found["trajectory_errors"][label]
+        assert np.allclose([got.rmse, got.mean, got.median, got.max], [np.sqrt((e**2).mean()), e.mean(), np.median(e), e.max()])
+        keep, now = np.ones(len(a), dtype=bool), geometry.umeyama(a, b)
+        for turn in range(5):
+            e = geometry.residuals(a, b, *now)
+            new = e <= np.percentile(e, 80)
+            if new.sum() < 3 or (new == keep).all():
+                break
+            keep, now = new, geometry.umeyama(a[new], b[new])
+            if turn == 0:
+                assert np.isclose(found["metric_scale"][label].s, now[0])
+        assert found["sim3_inlier"][label].n_inliers == keep.sum() and np.isclose(found["sim3_inlier"][label].s, now[0])
+
+
+def test_relative_motion_of_rigid_poses(spark):
+    rng = np.random.default_rng(3)
+
+    def pose():
+        q, _ = np.linalg.qr(rng.normal(size=(3, 3)))
+        out = np.eye(4)
+        out[:3, :3], out[:3, 3] = q * np.sign(np.linalg.det(q)), rng.normal(size=3)
+        return out
+
+    found, given = [pose() for _ in range(23)], [pose() for _ in range(23)]
+    rot, trans = [], []
+    for i in range(0, 23 - 4, 4):
+        off = np.linalg.inv(np.linalg.inv(given[i]) @ given[i + 4]) @ np.linalg.inv(found[i]) @ found[i + 4]
+        rot.append(np.degrees(np.arccos(np.clip((np.trace(off[:3, :3]) - 1) / 2, -1, 1))))
+        trans.append(np.linalg.norm(off[:3, 3]))
+    rows = [(1, t, found[t].ravel().tolist(), given[t].ravel().tolist()) for t in range(23)] + [(2, 0, found[0].ravel().tolist(), given[0].ravel().tolist())]
+    got = geometry.relative_motion(spark.createDataFrame(rows, "k int, t int, f array<double>, g array<double>"), "k", "t", 4, "f", "g").collect()
+    assert len(got) == 1 and len(rot) == 5
+    assert np.allclose(got[0][1:], [np.mean(rot), np.mean(trans), np.mean(rot[2:]), np.mean(trans[2:])])
