@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,26 +33,40 @@ def trajectory(df: DataFrame, key: str, threshold: Column, step: str = "step") -
     )
 
 
-def ordered(df: DataFrame, key: str, order: list[str], value: str, out: str = "xs") -> DataFrame:
-    """One row per key with the values in order (a clip's frames are bounded)."""
-    packed = F.array_sort(F.collect_list(F.struct(*order, F.col(value).alias("__x"))))
-    return df.groupBy(key).agg(F.transform(packed, lambda s: s["__x"]).alias(out))
+def ema(df: DataFrame, key: str, t: str, value: str, momentum: float = 0.99, out: str = "value") -> DataFrame:
+    """key, t and the exponential moving average of the frames up to t.
 
+    The first finite value seeds it; a null, NaN or infinite one repeats the last average without moving it; before the
+    seed it is null. Momentum 0 returns the input. Rows with equal t follow each other by value; a null key is a clip.
 
-def ema(xs: Column, momentum: float = 0.99) -> Column:
-    """Exponential moving average of an array. The first finite value seeds it; a null or NaN repeats the last average
-    without moving it; before the seed it stays null. Momentum 0 returns the input."""
+    The average is a recursion in the order of frames, which window sums give only up to rounding. So clips are dealt to
+    partitions and sorted there, and one average is carried from batch to batch: no clip is gathered, however long.
+    """
+    if not 0 <= momentum < 1:
+        raise ValueError("the momentum has to be in [0, 1)")
+    rows = df.select(key, t, F.col(value).cast("double").alias(out))
     if momentum == 0:
-        return xs
-    empty = F.array().cast("array<double>")
+        return rows
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clip, last, started = None, None, False
+        for batch in batches:
+            averages = []
+            for k, x in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if not started or k != clip:
+                    clip, last, started = k, None, True
+                if x is not None and math.isfinite(x):
+                    last = x if last is None else momentum * last + (1 - momentum) * x
+                averages.append(last)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(averages, pa.float64())], names=[key, t, out])
+
+    return rows.repartition(key).sortWithinPartitions(key, t, out).mapInArrow(fold, rows.schema)
 
-    def step(a: Column, x: Column) -> Column:
-        last = F.when(F.size(a) > 0, F.element_at(a, -1))
-        x = F.when(~F.isnan(x), x)
-        now = F.when(x.isNull(), last).when(last.isNull(), x).otherwise(F.lit(momentum) * last + F.lit(1 - momentum) * x)
-        return F.concat(a, F.array(now.cast("double")))
 
-    return F.aggregate(xs, empty, step)
+def seeded(df: DataFrame, key: str, t: str, seed: str, value: str, out: str = "value") -> DataFrame:
+    """key, t and the values, of which a key's first is its seed."""
+    first = F.row_number().over(Window.partitionBy(key).orderBy(t)) == 1
+    return df.select(key, t, F.when(first, F.col(seed)).otherwise(F.col(value)).alias(out))
 
 
 def ratio_scale(df: DataFrame, keys: list[str], a: str, b: str, variant: str = "inverse_depth", min_valid: float = 1e-3) -> DataFrame:
@@ -121,23 +137,6 @@ def kernel(sigma: float) -> list[float]:
     return [x / sum(w) for x in w]
 
 
-def gaussian(xs: Column, sigma: float) -> Column:
-    """Gaussian smoothing of an array with repeated edges; unchanged for sigma <= 0.5 or fewer than 3 values."""
-    if sigma <= 0.5:
-        return xs
-    w = kernel(sigma)
-    half = len(w) // 2
-    at = lambda i, d: F.get(xs, F.least(F.greatest(i + d, F.lit(0)), F.size(xs) - 1))
-
-    def smooth(_: Column, i: Column) -> Column:
-        total = F.lit(w[0]) * at(i, -half)
-        for k in range(1, len(w)):
-            total = total + F.lit(w[k]) * at(i, k - half)
-        return total
-
-    return F.when(F.size(xs) < 3, xs).otherwise(F.transform(xs, smooth))
-
-
 def even_truncated(n: Column, count: int) -> Column:
     """`count` indexes from 0 to n - 1, truncated."""
     return F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: F.floor(i * (n - 1) / (count - 1)).cast("int"))
@@ -186,8 +185,3 @@ def resampled(df: DataFrame, key: str, k: str, values: list[str], frames: int) -
     from .generators import waypoints
 
     return waypoints(df, key, k, values, frames)
-
-
-def seeded_ema(first: Column, xs: Column, momentum: float = 0.99) -> Column:
-    """EMA whose first value is `first` and which then moves by xs; xs[0] isn't used."""
-    return ema(F.concat(F.array(first), F.slice(xs, F.lit(2), F.greatest(F.size(xs) - 1, F.lit(0)))), momentum)

@@ -322,9 +322,7 @@ def ema_median_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scales from a median-ratio seed and mean-ratio steps; frames with too few pixels count 1."""
     n = F.count("*")
     frames = _pairs(spark, sf_dir).groupBy("clip", "t").agg(F.when(n >= 10, F.median(F.col("b") / F.col("a"))).otherwise(1.0).alias("seed"), F.when(n >= 10, F.avg("b") / (F.avg("a") + 1e-8)).otherwise(1.0).alias("step"))
-    held = frames.groupBy("clip").agg(F.min_by("seed", "t").alias("first"), F.array_sort(F.collect_list(F.struct("t", "step"))).alias("fs"))
-    rows = held.select("clip", F.arrays_zip(F.col("fs")["t"].alias("t"), series.seeded_ema(F.col("first"), F.col("fs")["step"]).alias("scale")).alias("z"))
-    return rows.select("clip", F.explode("z").alias("x")).select("clip", "x.t", _r("x.scale").alias("scale"))
+    return series.ema(series.seeded(frames, "clip", "t", "seed", "step"), "clip", "t", "value").select("clip", "t", _r("value").alias("scale"))
 
 
 @query(f"""
@@ -333,9 +331,7 @@ def ema_median_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ema_without_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scales in which a degenerate frame counts 1 and isn't carried over."""
     frames = _pairs(spark, sf_dir).groupBy("clip", "t").agg(F.when(F.count("*") >= 10, F.sum("b") / F.sum("a")).otherwise(1.0).alias("step"))
-    held = frames.groupBy("clip").agg(F.array_sort(F.collect_list(F.struct("t", "step"))).alias("fs"))
-    rows = held.select("clip", F.arrays_zip(F.col("fs")["t"].alias("t"), series.ema(F.col("fs")["step"]).alias("scale")).alias("z"))
-    return rows.select("clip", F.explode("z").alias("x")).select("clip", "x.t", _r("x.scale").alias("scale"))
+    return series.ema(frames, "clip", "t", "step").select("clip", "t", _r("value").alias("scale"))
 
 
 # --- reports, review and runs ---------------------------------------------------------------------------------------------

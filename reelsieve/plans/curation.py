@@ -380,10 +380,6 @@ def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.numbered(_t(spark, sf_dir, "events").select("user_id", *ORDER, "value"), "user_id", *ORDER).select("user_id", "t", "value")
 
 
-def _exploded(df: DataFrame, out: str = "value") -> DataFrame:
-    return df.select("user_id", F.posexplode("xs").alias("t", out)).select("user_id", "t", _r(out).alias(out))
-
-
 _T_SQL = "WITH f AS (SELECT user_id, (row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1)::INT AS t, value FROM events)"
 
 
@@ -393,8 +389,7 @@ _T_SQL = "WITH f AS (SELECT user_id, (row_number() OVER (PARTITION BY user_id OR
     SELECT user_id, t, round(value, 6) AS value FROM e""")
 def ema_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exponential moving average of a clip's scales."""
-    rows = series.ordered(_frames(spark, sf_dir), "user_id", ["t"], "value")
-    return _exploded(rows.select("user_id", series.ema(F.col("xs"), 0.99).alias("xs")))
+    return series.ema(_frames(spark, sf_dir), "user_id", "t", "value", 0.99).select("user_id", "t", _r("value").alias("value"))
 
 
 @query(_T_SQL.replace("WITH f", "WITH RECURSIVE f") + """,
@@ -404,7 +399,7 @@ def ema_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ema_carry_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with frames that have no valid scale: the last average is carried on."""
     frames = _frames(spark, sf_dir).withColumn("value", F.when(F.col("value") >= 100, F.col("value")))
-    return _exploded(series.ordered(frames, "user_id", ["t"], "value").select("user_id", series.ema(F.col("xs"), 0.9).alias("xs")))
+    return series.ema(frames, "user_id", "t", "value", 0.9).select("user_id", "t", _r("value").alias("value"))
 
 
 @query("""
