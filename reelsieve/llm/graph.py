@@ -31,21 +31,25 @@ def _small_star(edges: DataFrame, made: list[DataFrame]) -> DataFrame:
     return moved.unionByName(made[-1].select("u", F.col("m").alias("v"))).distinct()
 
 
+def _only_stars(edges: DataFrame) -> bool:
+    """Whether each node either hangs onto one other or has others hung onto it; edges are distinct."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up")))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.count("*").alias("n"))
+    return not nodes.agg(F.bool_or((F.col("up") > 0) & (F.col("n") > 1)).alias("open")).first().open
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Columns node, component (smallest node of the component) for every node that has an edge.
 
     edges: u, v of an orderable type, in any direction, repeats and loops allowed. Rounds grow with the logarithm of the
-    longest path and go on until nothing changes; each is written to the shared folder and the one before is deleted. Hubs
-    are joined, never gathered.
+    longest path and go on until all edges are stars around their smallest nodes; each is written to the shared folder and
+    the one before is deleted. Hubs are joined, never gathered.
     """
     now = materialize(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct(), "edges")
-    before = None
-    while True:
-        state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if state == before or not state.n:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-        before, last, made = state, now, []
+    while not _only_stars(now):
+        last, made = now, []
         large = materialize(_large_star(last, made), "edges")
         now = materialize(_small_star(large, made), "edges")
         for step in (last, large, *made):
             discard(step)
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
