@@ -18,15 +18,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one in local mode where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one of the application in local mode where it is unset."""
     got = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not got:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
-        got = "file://" + tempfile.mkdtemp(prefix="reelsieve-")
-        spark.conf.set("spark.checkpoint.dir", got)
-    return got
+    if got:
+        return got
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+    # A running session doesn't take the setting any more.
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = "file://" + tempfile.mkdtemp(prefix="reelsieve-")
+    return _LOCAL_DIRS[app]
 
 
 def materialize(df: DataFrame, what: str) -> DataFrame:
