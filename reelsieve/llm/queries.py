@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, html_text, iblt, line_dedup, mixing, pii, quality, sharding, simhash
+from . import chat, decontam, html_text, iblt, line_dedup, mixing, pii, quality, sharding, simhash, spelling
 from .common import table
 
 #: Fixed value: both turns of conversation -1.
@@ -58,7 +58,11 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
-_ALL = (op1_simhash_near_dedup, op2_html_main_text, op3_line_dedup, op4_extendible_shards, op5_pii_spans, op6_quality_classifier, op7_iblt_fingerprints, op8_chat_windows, op9_decontamination, op10_source_mix)
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+_ALL = (op1_simhash_near_dedup, op2_html_main_text, op3_line_dedup, op4_extendible_shards, op5_pii_spans, op6_quality_classifier, op7_iblt_fingerprints, op8_chat_windows, op9_decontamination, op10_source_mix, op11_spelling_variants)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -67,4 +71,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     # op10's shards come from the splitting tree's draws, which SQL has not; tests hold its other columns against mixing.sql().
-    return {"op4_extendible_shards": sharding.sql()}
+    return {"op4_extendible_shards": sharding.sql(), "op11_spelling_variants": spelling.sql()}
