@@ -67,3 +67,17 @@ def hex64(fingerprint: Column) -> Column:
 def word_count(text: Column) -> Column:
     """Words of WORD_PATTERN, 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
+
+
+def sliced(df: DataFrame, key: str, most: int) -> tuple[DataFrame, int]:
+    """df with a column slice from 0, and the number of slices: a key's rows stay together, a slice of several keys has at most `most` rows.
+
+    df has to be written already: it is counted once for each number of slices that is tried, doubled each time.
+    """
+    n = max(1, -(-df.count() // most))
+    while True:
+        out = df.withColumn("slice", F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(n)).cast("int"))
+        rows = out.groupBy("slice").agg(F.count("*").alias("rows"), F.min(key).alias("low"), F.max(key).alias("high"))
+        if rows.where((F.col("rows") > most) & (F.col("low") != F.col("high"))).isEmpty():
+            return out, n
+        n *= 2
