@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, html_text, iblt, line_dedup, mixing, pii, quality, ranked, sharding, simhash, spelling
+from . import chat, decontam, html_text, iblt, line_dedup, mixing, pii, quality, ranked, sharding, simhash, spelling, topk
 from .common import table
 
 #: Fixed value: both turns of conversation -1.
@@ -66,7 +66,11 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-_ALL = (op1_simhash_near_dedup, op2_html_main_text, op3_line_dedup, op4_extendible_shards, op5_pii_spans, op6_quality_classifier, op7_iblt_fingerprints, op8_chat_windows, op9_decontamination, op10_source_mix, op11_spelling_variants, op12_ranked_search)
+def op13_top_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
+_ALL = (op1_simhash_near_dedup, op2_html_main_text, op3_line_dedup, op4_extendible_shards, op5_pii_spans, op6_quality_classifier, op7_iblt_fingerprints, op8_chat_windows, op9_decontamination, op10_source_mix, op11_spelling_variants, op12_ranked_search, op13_top_inner_products)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -75,4 +79,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     # op10's shards come from the splitting tree's draws, which SQL has not; tests hold its other columns against mixing.sql().
-    return {"op4_extendible_shards": sharding.sql(), "op11_spelling_variants": spelling.sql(), "op12_ranked_search": ranked.sql()}
+    return {"op4_extendible_shards": sharding.sql(), "op11_spelling_variants": spelling.sql(), "op12_ranked_search": ranked.sql(), "op13_top_inner_products": topk.sql()}
