@@ -11,8 +11,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: The members of a packed sample.
-MEMBERS = ("mp4", "poses_c2w.npy", "intrinsics.npy", "scale.npy", "caption.txt", "meta.json")
+from ..config import MEMBERS
+
 SCHEMA = "shard string, name string, size long, data binary, error string"
 _BATCH = 16 << 20
 
