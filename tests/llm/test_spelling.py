@@ -77,8 +77,9 @@ def _random_words(seed: int, n: int, alphabet: str) -> list[str]:
 @pytest.mark.parametrize("alphabet", ["ab", "abé", "abcdef"])
 def test_random_words_have_all_near_words(docs, alphabet):
     rng = random.Random(3)
-    words = _random_words(1, 300, alphabet)
-    rows = [(k, " ".join(rng.choice(words) for _ in range(400))) for k in range(40)]
+    words = _random_words(1, 150, alphabet)
+    words += [w[:k] + rng.choice(["", "a", "ba"]) + w[k + 1 :] for w in words for k in [rng.randrange(len(w))]]
+    rows = [(k, " ".join(rng.choices(words, [1 / (i + 1) for i in range(len(words))], k=400))) for k in range(40)]
     want = brute(rows)
     assert result(spelling.variants(docs(rows))) == want
     assert sum(x[3] for x in want.values()) > 0 and any(x[0] for x in want.values())
