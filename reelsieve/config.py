@@ -53,6 +53,17 @@ ACTION_PHRASES = (
 )
 # Words of the plain substring test.
 CAMERA_SUBSTRINGS = ("camera", "panning", "zooming", "tilting", "tracking", "dolly", "pan", "zoom", "tilt", "rotate")
+# Captions that say nothing (lower case).
+PLACEHOLDERS = ("", "n/a", "none", "no caption", "null", "tbd")
+# Where a reply with a reasoning trace has its answer (first group; case doesn't count, a dot is any character), and
+# words of the trace that an answer doesn't have; the last line doesn't have the numbers of steps either.
+ANSWER_PATTERNS = (
+    r"""(?:Output|Result|Final|Cleaned caption|Rewritten):\s*["']?([^"\n]+)["']?""",
+    r"</think>\s*(.+?)(?:<|$)",
+    r"Thinking Process:.*?(?:\n\n|\n-\s*)(.*?)(?:\n|$)",
+)
+TRACE_WORDS = ("Analyze", "Step", "Process", "Thinking")
+TRACE_NUMBERS = ("1.", "2.")
 # The members of a complete sample, and the priorities of the review plan's groups.
 MEMBERS = ("mp4", "poses_c2w.npy", "intrinsics.npy", "scale.npy", "caption.txt", "meta.json")
 

@@ -1,4 +1,4 @@
-"""Similarity transforms between trajectories, from grouped moments and from a bounded group's points; trajectory errors."""
+"""Similarity transforms between trajectories from grouped moments, plain and robust; trajectory errors; principal axes; camera forms."""
 
 from __future__ import annotations
 
@@ -10,9 +10,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..steps import written
+from .order_statistics import exact_percentile
+
 #: Fixed value: points of a smaller variance have no extent.
 LEAST_VARIANCE = 1e-12
-FIT_SCHEMA = "n long, n_inliers long, s double, r array<double>, t array<double>, rmse double"
 
 
 def umeyama(src: np.ndarray, dst: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
@@ -79,32 +81,114 @@ def sim3(df: DataFrame, key: str, src: list[str], dst: list[str]) -> DataFrame:
     return df.groupBy(key).agg(*moments).mapInPandas(solve, f"`{key}` {kind}, n long, s double, r array<double>, t array<double>")
 
 
-def sim3_inliers(df: DataFrame, key: str, order: list[str], src: list[str], dst: list[str], percentile: float = 80.0, rounds: int = 5) -> DataFrame:
-    """Robust transform per key (a clip of bounded length): n, n_inliers, s, r, t, rmse over the inliers; nulls where it can't be fitted."""
+def _moved(src: list[str]) -> list[Column]:
+    return [F.col("s") * sum(F.col("r")[3 * i + j] * F.col(src[j]) for j in range(3)) + F.col("t")[i] for i in range(3)]
+
 
-    def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order)
-        a, b = rows[src].to_numpy(float), rows[dst].to_numpy(float)
-        try:
-            (s, r, t), keep = inlier_fit(a, b, percentile, rounds)
-            e = residuals(a[keep], b[keep], s, r, t)
-            out = (len(a), int(keep.sum()), s, r.ravel().tolist(), t.tolist(), float(np.sqrt((e**2).mean())))
-        except ValueError:
-            out = (len(a), 0, None, None, None, None)
-        return pd.DataFrame([(rows[key].iloc[0], *out)], columns=[key, "n", "n_inliers", "s", "r", "t", "rmse"])
+def _residual(src: list[str], dst: list[str]) -> Column:
+    """The distance between dst and src, moved by the columns s, r, t."""
+    return F.sqrt(sum((F.col(d) - m) ** 2 for d, m in zip(dst, _moved(src), strict=True)))
+
+
+def sim3_inliers(df: DataFrame, key: str, order: list[str], src: list[str], dst: list[str], percentile: float = 80.0, rounds: int = 5) -> DataFrame:
+    """Robust transform per key: n, n_inliers, s, r, t, rmse over the inliers; nulls where it can't be fitted.
 
-    return df.select(key, *order, *src, *dst).groupBy(key).applyInPandas(fit, f"`{key}` {dict(df.dtypes)[key]}, {FIT_SCHEMA}")
+    A fit to all points; then, until they don't change, a fit to the points whose residual is at most the percentile of all
+    residuals, unless they are fewer than three. Each round is grouped moments and an exact percentile over all keys at once:
+    only 17 numbers of a key meet in Python, and no clip comes into one task. A null key isn't fitted. n counts the pairs without a null; order is
+    not needed any more, the fit does not depend on it.
+    """
+    x, y = [f"__x{i}" for i in range(3)], [f"__y{i}" for i in range(3)]
+    named = [F.col(a).cast("double").alias(b) for a, b in zip([*src, *dst], [*x, *y], strict=True)]
+    whole = reduce(lambda a, c: a & F.col(c).isNotNull(), [*x, *y], F.lit(True))
+    points = df.select(F.col(key).alias("__key"), *named).where(whole).withColumn("__keep", F.lit(True))
+    fits = written(sim3(points, "__key", x, y).withColumn("open", F.col("s").isNotNull()), "fits")
+    for _ in range(rounds):
+        error = written(points.join(fits.select("__key", "s", "r", "t"), "__key").withColumn("__e", _residual(x, y)).drop("s", "r", "t"), "residuals")
+        # Keys that are done go on with the points and the fit that they have.
+        limits = exact_percentile(error.join(fits.where("open").select("__key"), "__key", "left_semi"), "__key", "__e", percentile / 100).withColumnRenamed("value", "__limit")
+        inside = F.col("__e") <= F.col("__limit")
+        counts = error.join(limits, "__key").groupBy("__key").agg(F.count_if(inside).alias("inside"), F.bool_or(inside != F.col("__keep")).alias("moved"), F.first("__limit").alias("__limit"))
+        moved = written(counts.where("moved AND inside >= 3").select("__key", "__limit"), "moved")
+        if moved.isEmpty():
+            break
+        points = error.join(moved, "__key", "left").select("__key", *x, *y, F.when(F.col("__limit").isNotNull(), inside).otherwise(F.col("__keep")).alias("__keep"))
+        again = sim3(points.join(moved, "__key", "left_semi").where("__keep"), "__key", x, y).withColumn("open", F.col("s").isNotNull())
+        fits = written(again.unionByName(fits.join(moved, "__key", "left_anti").withColumn("open", F.lit(False))), "fits")
+    every = points.join(fits.drop("n", "open"), "__key", "left")
+    out = every.groupBy("__key").agg(F.count("*").alias("n"), F.count_if(F.col("__keep") & F.col("s").isNotNull()).alias("n_inliers"), F.sqrt(F.avg(F.when(F.col("__keep"), _residual(x, y)) ** 2)).alias("rmse"))
+    got = out.join(fits.drop("n", "open"), "__key").select(F.col("__key").alias(key), "n", "n_inliers", "s", "r", "t", "rmse")
+    # A key without a whole pair has no point.
+    return df.select(key).distinct().join(got, key, "left").select(key, F.coalesce("n", F.lit(0)).cast("long").alias("n"), F.coalesce("n_inliers", F.lit(0)).cast("long").alias("n_inliers"), "s", "r", "t", "rmse")
 
 
 def trajectory_error(df: DataFrame, key: str, fits: DataFrame, src: list[str], dst: list[str]) -> DataFrame:
     """Per key: RMSE, mean, median and largest error after the key's transform (columns s, r, t of fits)."""
     rows = df.join(fits.select(key, "s", "r", "t"), key)
-    moved = [F.col("s") * sum(F.col("r")[3 * i + j] * F.col(src[j]) for j in range(3)) + F.col("t")[i] for i in range(3)]
-    e = F.sqrt(sum((F.col(dst[i]) - moved[i]) ** 2 for i in range(3)))
-    rows = rows.select(key, e.alias("e"))
+    rows = rows.select(key, _residual(src, dst).alias("e"))
     return rows.groupBy(key).agg(F.sqrt(F.avg(F.col("e") ** 2)).alias("rmse"), F.avg("e").alias("mean"), F.percentile("e", F.lit(0.5)).alias("median"), F.max("e").alias("max"))
 
 
+def _turned(state: Column, p: int, q: int) -> Column:
+    """One Jacobi step: a symmetric 3x3 matrix (first nine numbers) without its entry p, q, and the axes (last nine, row by row) that turn with it."""
+    a, v = (lambda i, j: state[3 * i + j]), (lambda i, j: state[9 + 3 * i + j])
+    tau = F.try_divide(a(q, q) - a(p, p), 2 * a(p, q))
+    tan = F.when(a(p, q) == 0, 0.0).otherwise(F.when(tau < 0, -1.0).otherwise(1.0) / (F.abs(tau) + F.sqrt(1 + tau * tau)))
+
+    def turn(tan: Column) -> Column:
+        c = 1 / F.sqrt(1 + tan * tan)
+        s, k = tan * c, 3 - p - q
+        new = {(i, j): a(i, j) for i in range(3) for j in range(3)}
+        new[p, p], new[q, q] = a(p, p) - tan * a(p, q), a(q, q) + tan * a(p, q)
+        new[p, q] = new[q, p] = F.lit(0.0)
+        new[p, k] = new[k, p] = c * a(p, k) - s * a(q, k)
+        new[q, k] = new[k, q] = s * a(p, k) + c * a(q, k)
+        axes = {(i, j): v(i, j) for i in range(3) for j in range(3)}
+        for j in range(3):
+            axes[p, j], axes[q, j] = c * v(p, j) - s * v(q, j), s * v(p, j) + c * v(q, j)
+        return F.array(*[new[i, j] for i in range(3) for j in range(3)], *[axes[i, j] for i in range(3) for j in range(3)])
+
+    return F.transform(F.array(tan), turn)[0]
+
+
+def eigen3(m: Column, sweeps: int = 8) -> Column:
+    """Eigenvalues and unit eigenvectors of a symmetric 3x3 matrix (nine numbers): array of struct(variance, axis), the largest first.
+
+    Jacobi sweeps as column expressions, without a Python worker. Of an axis the component of largest size is positive (the first
+    of equal ones); where variances are equal any axes of their space may come.
+    """
+    start = F.concat(m, F.array(*[F.lit(float(i % 4 == 0)) for i in range(9)]))
+
+    def sweep(state: Column, _: Column) -> Column:
+        state = F.transform(F.array(state), lambda x: _turned(x, 0, 1))[0]
+        state = F.transform(F.array(state), lambda x: _turned(x, 0, 2))[0]
+        return F.transform(F.array(state), lambda x: _turned(x, 1, 2))[0]
+
+    def faced(axis: Column) -> Column:
+        size = F.transform(axis, lambda x: F.round(F.abs(x), 9))
+        lead = F.element_at(axis, F.array_position(size, F.array_max(size)).cast("int"))
+        return F.transform(axis, lambda x: F.when(lead < 0, -x).otherwise(x))
+
+    done = F.aggregate(F.sequence(F.lit(1), F.lit(sweeps)), start, sweep)
+    pairs = F.transform(F.array(done), lambda d: F.array(*[F.struct((-d[4 * i]).alias("less"), faced(F.slice(d, 10 + 3 * i, 3)).alias("axis")) for i in range(3)]))[0]
+    return F.transform(F.array_sort(pairs), lambda x: F.struct((-x["less"]).alias("variance"), x["axis"].alias("axis")))
+
+
+def scene_axes(df: DataFrame, key: str, at: list[str]) -> DataFrame:
+    """Per key: n, centroid (array), variances and axes (row by row) of the positions, the longest first; one position has no spread and the unit axes.
+
+    The covariance is the sample's (n - 1). Positions with a null coordinate don't count.
+    """
+    x = [F.col(c).cast("double") for c in at]
+    whole = reduce(lambda a, c: a & c.isNotNull(), x, F.lit(True))
+    moments = [F.covar_samp(x[i], x[j]).alias(f"m{i}{j}") for i in range(3) for j in range(i, 3)]
+    g = df.where(whole).groupBy(key).agg(F.count("*").alias("n"), F.array(*[F.avg(c) for c in x]).alias("centroid"), *moments)
+    # One position has no sample covariance.
+    m = F.array(*[F.coalesce(f"m{min(i, j)}{max(i, j)}", F.lit(0.0)) for i in range(3) for j in range(3)])
+    found = g.select(key, "n", "centroid", eigen3(m).alias("found"))
+    return found.select(key, "n", "centroid", F.col("found.variance").alias("variances"), F.flatten("found.axis").alias("axes"))
+
+
 def relative_motion(df: DataFrame, key: str, t: str, lag: int, src: str, dst: str) -> DataFrame:
     """Per key: rot_mean, trans_mean and the same of the second half, rot_2nd_half, trans_2nd_half.
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..steps import written
+
 
 def last_wins(df: DataFrame, key: str, *seq: str) -> DataFrame:
     """One row per key: the last in the order of seq."""
@@ -26,7 +27,7 @@ def merge_stages(first: DataFrame, later: list[DataFrame], key: str) -> DataFram
 def override(verdict: Column, accepted: Column, why: Column, more: Column | None = None) -> tuple[Column, Column]:
     """A later stage that doesn't accept turns any verdict but fail into fail and appends its reasons."""
     rejects = F.coalesce(~accepted, F.lit(False)) & (verdict != "fail")
-    added = F.coalesce(more, F.array(F.lit("rules_rejected"))) if more is not None else F.array(F.lit("rules_rejected"))
+    added = F.coalesce(more, F.array(F.lit("table6_rejected"))) if more is not None else F.array(F.lit("table6_rejected"))
     return F.when(rejects, "fail").otherwise(verdict), F.when(rejects, F.concat(why, added)).otherwise(why)
 
 
@@ -87,18 +88,24 @@ def nearest(pairs: DataFrame, key: list[str], *tie: str) -> DataFrame:
 
 
 def associate(pairs: DataFrame, group: str, time_a: str, time_b: str) -> DataFrame:
-    """One-to-one pairs by growing difference (ties: a, then b), greedily within each group (a recording's frames)."""
-
-    def greedy(rows: pd.DataFrame) -> pd.DataFrame:
-        used_a, used_b, keep = set(), set(), []
-        for i, (a, b) in enumerate(zip(*(rows.sort_values(["diff", time_a, time_b])[c] for c in (time_a, time_b)), strict=True)):
-            if a not in used_a and b not in used_b:
-                used_a.add(a)
-                used_b.add(b)
-                keep.append(i)
-        return rows.sort_values(["diff", time_a, time_b]).iloc[keep].sort_values([time_a, time_b])
-
-    return pairs.groupBy(group).applyInPandas(greedy, pairs.schema)
+    """One-to-one pairs by growing difference (ties: a, then b) within each group, as if they were taken one after another.
+
+    A pair that comes first among all pairs of its a and among all of its b is taken whatever the others do. So each round
+    takes all such pairs and drops what shares an a or a b with them, until none are left: the greedy choice, by windows over
+    one frame's candidates, without a group in one task. Rounds are as many as the longest row of pairs of which each is kept
+    from being first by the next; each is written. pairs: group, time_a, time_b, diff; a repeated pair counts once.
+    """
+    by_a, by_b = (Window.partitionBy(group, x) for x in (time_a, time_b))
+    order = ("diff", time_a, time_b)
+    left, taken = written(pairs.dropDuplicates([group, time_a, time_b]), "pairs"), pairs.limit(0)
+    while not left.isEmpty():
+        ranked = left.withColumn("__a", F.row_number().over(by_a.orderBy(*order))).withColumn("__b", F.row_number().over(by_b.orderBy(*order)))
+        first = ranked.withColumn("__first", (F.col("__a") == 1) & (F.col("__b") == 1))
+        out = first.withColumn("__out", F.max("__first").over(by_b)).withColumn("__out", F.col("__out") | F.max("__first").over(by_a))
+        step = written(out.where("__first OR NOT __out").drop("__a", "__b", "__out"), "association")
+        taken = taken.unionByName(step.where("__first").drop("__first"))
+        left = step.where("NOT __first").drop("__first")
+    return taken
 
 
 def nearest_vector(queries: DataFrame, base: DataFrame, id_q: str, id_b: str, vector: str, block: int = 256, others: bool = False) -> DataFrame:

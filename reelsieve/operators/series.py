@@ -8,6 +8,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+
+from ..steps import written
 
 
 def numbered(df: DataFrame, key: str, *order: str, out: str = "t") -> DataFrame:
@@ -33,34 +36,103 @@ def trajectory(df: DataFrame, key: str, threshold: Column, step: str = "step") -
     )
 
 
+#: A clip of more frames than HOT is folded in at most PARTS parts.
+HOT, PARTS = 1_000_000, 512
+
+
 def ema(df: DataFrame, key: str, t: str, value: str, momentum: float = 0.99, out: str = "value") -> DataFrame:
     """key, t and the exponential moving average of the frames up to t.
 
     The first finite value seeds it; a null, NaN or infinite one repeats the last average without moving it; before the
-    seed it is null. Momentum 0 returns the input. Rows with equal t follow each other by value; a null key is a clip.
+    seed it is null. Momentum 0 gives the last finite value. Rows with equal t follow each other by value; a null key is a clip.
 
-    The average is a recursion in the order of frames, which window sums give only up to rounding. So clips are dealt to
-    partitions and sorted there, and one average is carried from batch to batch: no clip is gathered, however long.
+    The average is a recursion in the order of frames. Clips are dealt to partitions and sorted there, and one average is
+    carried from batch to batch. A clip of more than HOT frames is cut at percentiles of t: what k finite values make of an
+    average x is momentum^k x + b, so each part gives k and b, the parts' maps are put one after another, and each part is
+    then folded from the average before it. Such a clip is on many tasks; its averages are the fold's up to rounding.
     """
     if not 0 <= momentum < 1:
         raise ValueError("the momentum has to be in [0, 1)")
     rows = df.select(key, t, F.col(value).cast("double").alias(out))
-    if momentum == 0:
-        return rows
+    hot = written(rows.groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") > HOT).select(F.col(key).alias("__key")), "hot-clips")
+    if hot.isEmpty():
+        dealt = rows.select("*", F.lit(0).alias("__part"), F.lit(None).cast("double").alias("__before"))
+        return _folded(dealt, key, t, momentum, out)
+    own = F.col(key).eqNullSafe(F.col("__key"))
+    edges = rows.join(hot, own, "left_semi").groupBy(F.col(key).alias("__key")).agg(F.array_distinct(F.percentile_approx(t, [i / PARTS for i in range(1, PARTS)], 100 * PARTS)).alias("__edges"))
+    edges = written(edges, "clip-edges")
+    part = F.coalesce(F.size(F.filter("__edges", lambda e: e < F.col(t))), F.lit(0))
+    dealt = rows.join(edges, own, "left").select(key, t, out, part.alias("__part"), F.col("__edges").isNotNull().alias("__cut"))
+    before = written(_carried(_maps(dealt.where("__cut").drop("__cut"), key, momentum, out), momentum), "clip-parts")
+    same = F.col(key).eqNullSafe(F.col("__key")) & (F.col("__part") == F.col("__at"))
+    return _folded(dealt.join(before, same, "left").select(key, t, out, "__part", "__before"), key, t, momentum, out)
+
+
+def _folded(rows: DataFrame, key: str, t: str, momentum: float, out: str) -> DataFrame:
+    """Each part of a clip folded from __before, the average before it. rows: key, t, out, __part, __before."""
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        clip, last, started = None, None, False
+        now, last = None, None
         for batch in batches:
             averages = []
-            for k, x in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                if not started or k != clip:
-                    clip, last, started = k, None, True
+            for k, x, part, before in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4)), strict=True):
+                if now != (k, part):
+                    now, last = (k, part), before
                 if x is not None and math.isfinite(x):
                     last = x if last is None else momentum * last + (1 - momentum) * x
                 averages.append(last)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(averages, pa.float64())], names=[key, t, out])
 
-    return rows.repartition(key).sortWithinPartitions(key, t, out).mapInArrow(fold, rows.schema)
+    dealt = rows.repartition(key, "__part").sortWithinPartitions(key, "__part", t, out)
+    return dealt.mapInArrow(fold, rows.select(key, t, out).schema)
+
+
+def _maps(rows: DataFrame, key: str, momentum: float, out: str) -> DataFrame:
+    """__key, __part, k, b, seeded for each part with finite values: it makes momentum^k x + b of an average x, and `seeded` of none.
+
+    rows: key, t, out, __part; a part's rows are read in the order in which _folded reads them.
+    """
+    kind = rows.schema[key].dataType.simpleString()
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: list[tuple] = []
+        now, n, b, seeded = None, 0, 0.0, None
+        for batch in batches:
+            for k, x, part in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
+                if now != (k, part):
+                    if n:
+                        made.append((*now, n, b, seeded))
+                    now, n, b, seeded = (k, part), 0, 0.0, None
+                if x is not None and math.isfinite(x):
+                    n += 1
+                    b = momentum * b + (1 - momentum) * x
+                    seeded = x if seeded is None else momentum * seeded + (1 - momentum) * x
+        if n:
+            made.append((*now, n, b, seeded))
+        columns = list(zip(*made, strict=True)) or [()] * 5
+        kinds = (rows_kind, pa.int32(), pa.int64(), pa.float64(), pa.float64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, a) for c, a in zip(columns, kinds, strict=True)], names=["__key", "__part", "k", "b", "seeded"])
+
+    rows_kind = to_arrow_type(rows.schema[key].dataType)
+    t = rows.columns[1]
+    dealt = rows.repartition(key, "__part").sortWithinPartitions(key, "__part", t, out)
+    return dealt.mapInArrow(summed, f"__key {kind}, __part int, k long, b double, seeded double")
+
+
+def _carried(maps: DataFrame, momentum: float) -> DataFrame:
+    """__key, __at, __before: the average before each part that has one; a clip has at most PARTS parts, put in order in one row."""
+    parts = F.array_sort(F.collect_list(F.struct("__part", "k", "b", "seeded")))
+    start = F.struct(F.lit(None).cast("double").alias("x"), F.array().cast("array<struct<at:int,before:double>>").alias("out"))
+
+    def step(state, p):
+        after = F.when(state["x"].isNull(), p["seeded"]).otherwise(F.pow(F.lit(momentum), p["k"]) * state["x"] + p["b"])
+        return F.struct(after.alias("x"), F.concat(state["out"], F.array(F.struct((p["__part"] + 1).alias("at"), after.alias("before")))).alias("out"))
+
+    rows = maps.groupBy("__key").agg(F.aggregate(parts, start, step)["out"].alias("out")).select("__key", F.explode("out").alias("o"))
+    # A part without finite values makes no map: the average before a part is that of the last one that has.
+    after = rows.select("__key", F.col("o.at").alias("from"), F.col("o.before").alias("__before"))
+    until = F.coalesce(F.lead("from").over(Window.partitionBy("__key").orderBy("from")), F.lit(PARTS + 1))
+    return after.withColumn("until", until).select("__key", F.explode(F.sequence("from", F.col("until") - 1)).alias("__at"), "__before")
 
 
 def seeded(df: DataFrame, key: str, t: str, seed: str, value: str, out: str = "value") -> DataFrame:

@@ -44,7 +44,7 @@ def rotations(df: DataFrame, key: str, t: str, pose: str, first_tolerance: float
     away = F.array_max(F.zip_with(p, unit, lambda a, b: F.abs(a - b)))
     g = df.groupBy(key).agg(F.avg(det3(p)).alias("det_mean"), F.stddev_pop(det3(p)).alias("det_std"), F.max(orthogonality_error(p)).alias("orth_err"), F.max(F.when(F.col(t) == 0, away)).alias("first_dev"))
     g = g.withColumn("so3_valid", (F.abs(F.col("det_mean") - 1) <= SO3_TOLERANCE) & (F.col("orth_err") <= SO3_TOLERANCE)).withColumn("first_frame_ok", F.coalesce(F.col("first_dev") <= first_tolerance, F.lit(False)))
-    why = [F.when(~F.col("so3_valid"), F.format_string("so3_invalid: det_mean=%.6f orth_err=%.2e", "det_mean", "orth_err")), F.when(~F.col("first_frame_ok"), F.format_string("first_frame: max_dev=%.4f", "first_dev"))]
+    why = [F.when(~F.col("so3_valid"), F.format_string("so3_invalid: det_mean=%.6f orth_err=%.2e", "det_mean", "orth_err")), F.when(~F.col("first_frame_ok"), F.format_string("first_frame_dev=%.4f", "first_dev"))]
     return g.withColumn("reasons", F.array_compact(F.array(*why)))
 
 

@@ -126,7 +126,7 @@ def worker_pass_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CAPTION_SQL = "regexp_replace(text, '^\\s+|\\s+$', '', 'g')"
 
 
-@query(f"SELECT conv_id, turn, CASE WHEN lower({_CAPTION_SQL}) IN ('', 'none', 'null', 'n/a', 'caption', 'todo') THEN 'caption_placeholder' WHEN length({_CAPTION_SQL}) < 50 THEN 'caption_short' END AS why FROM conversations")
+@query(f"SELECT conv_id, turn, CASE WHEN lower({_CAPTION_SQL}) IN ('', 'n/a', 'none', 'no caption', 'null', 'tbd') OR length({_CAPTION_SQL}) < 50 THEN printf('caption_len=%d < 50 or placeholder', length({_CAPTION_SQL})) END AS why FROM conversations")
 def caption_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Captions that are placeholders or too short."""
     return _t(spark, sf_dir, "conversations").select("conv_id", "turn", C.caption_reason(F.col("text"), 50).alias("why"))
@@ -134,7 +134,7 @@ def caption_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     WITH s AS (SELECT doc_id, n_chars % 97 AS j, doc_id % 11 = 0 AS hard, n_chars < 200 AS short, n_chars % 13 = 0 AS word, (n_chars % 200)::DOUBLE AS sat FROM documents),
-    f AS (SELECT *, list_filter([CASE WHEN j > 10 THEN 'n_jumps=' || j || ' > max_jumps_flag=10' END, CASE WHEN short THEN 'caption_short' END, CASE WHEN word THEN 'camera_word: ''pan left'' (+1 more)' END, CASE WHEN sat > 180 THEN 'saturation=' || printf('%.1f', sat) || ' out of [0.0,180.0]' END], lambda x: x IS NOT NULL) AS flags FROM s)
+    f AS (SELECT *, list_filter([CASE WHEN j > 10 THEN 'n_jumps=' || j || ' > max_jumps_flag=10' END, CASE WHEN short THEN 'caption_len=3 < 50 or placeholder' END, CASE WHEN word THEN 'camera_word: ''pan left'' (+1 more)' END, CASE WHEN sat > 180 THEN 'saturation=' || printf('%.1f', sat) || ' out of [0.0,180.0]' END], lambda x: x IS NOT NULL) AS flags FROM s)
     SELECT doc_id, CASE WHEN hard OR j > 50 THEN 'fail' WHEN len(flags) > 0 THEN 'flag' ELSE 'pass' END AS verdict,
            CASE WHEN hard THEN 'so3_invalid: det_mean=' || printf('%.6f', j / 10.0) WHEN j > 50 THEN 'n_jumps=' || j || ' > max_jumps_fail=50' ELSE array_to_string(flags, '|') END AS why FROM f""")
 def stage1_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -236,7 +236,7 @@ _WHY_SQL = "list_filter([CASE WHEN n_chars < 600 THEN 'n_jumps' END, CASE WHEN n
 
 @query(f"""
     WITH s1 AS (SELECT doc_id, {_AUTO_SQL} AS verdict, {_WHY_SQL} AS why FROM documents), s3 AS (SELECT doc_id, max(toxic) AS toxic, min(quality) AS quality FROM labels GROUP BY 1)
-    SELECT doc_id, CASE WHEN toxic = 1 AND verdict <> 'fail' THEN 'fail' ELSE verdict END AS verdict, array_to_string(CASE WHEN toxic = 1 AND verdict <> 'fail' THEN list_concat(why, ['rules_rejected']) ELSE why END, '|') AS reasons, toxic IS NOT NULL AS checked
+    SELECT doc_id, CASE WHEN toxic = 1 AND verdict <> 'fail' THEN 'fail' ELSE verdict END AS verdict, array_to_string(CASE WHEN toxic = 1 AND verdict <> 'fail' THEN list_concat(why, ['table6_rejected']) ELSE why END, '|') AS reasons, toxic IS NOT NULL AS checked
     FROM s1 LEFT JOIN s3 USING (doc_id)""")
 def stage_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First-stage verdicts with a later stage's rejections merged in."""
@@ -532,19 +532,24 @@ def quota_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.quotas(g.withColumn("priority", F.when(F.col("lang") == "en", "high").when(F.col("lang") == "fr", "medium").otherwise("low")))
 
 
-_STRATA_SQL = f"""
-    WITH s AS (SELECT doc_id, lang, md5('42:' || doc_id) AS r, CASE WHEN len(why) >= 2 THEN 'multi' WHEN list_has_any(why, ['n_jumps', 'caption_len', 'saturation']) THEN 'boundary' ELSE 'single' END AS stratum
-               FROM (SELECT doc_id, lang, {_AUTO_SQL} AS v, {_WHY_SQL} AS why FROM documents) WHERE v = 'flag')"""
+_STRATA_SQL = """
+    WITH s AS (SELECT doc_id, lang, md5('42:' || doc_id) AS r, n_chars % 97 > 10 AS jumps, length(trim(text)) < 400 AS short, n_chars % 13 = 0 AS word, n_chars % 200 > 180 AS sat FROM documents WHERE n_chars % 97 <= 50),
+    f AS (SELECT *, jumps::INT + short::INT + word::INT + sat::INT AS reasons FROM s),
+    s2 AS (SELECT doc_id, lang, r, CASE WHEN reasons >= 2 THEN 'multi' WHEN jumps OR short OR sat THEN 'boundary' ELSE 'single' END AS stratum FROM f WHERE reasons > 0)"""
 
 
 @query(_STRATA_SQL + """,
-    i AS (SELECT *, row_number() OVER (PARTITION BY lang, stratum ORDER BY r, doc_id) AS i, count(*) OVER (PARTITION BY lang) AS n, count(*) FILTER (stratum = 'boundary') OVER (PARTITION BY lang) AS nb, count(*) FILTER (stratum = 'multi') OVER (PARTITION BY lang) AS nm FROM s),
+    i AS (SELECT *, row_number() OVER (PARTITION BY lang, stratum ORDER BY r, doc_id) AS i, count(*) OVER (PARTITION BY lang) AS n, count(*) FILTER (stratum = 'boundary') OVER (PARTITION BY lang) AS nb, count(*) FILTER (stratum = 'multi') OVER (PARTITION BY lang) AS nm FROM s2),
     p AS (SELECT *, i <= CASE stratum WHEN 'boundary' THEN 8 WHEN 'multi' THEN 6 ELSE 20 - least(nb, 8) - least(nm, 6) END AS picked FROM i),
     k AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY picked DESC, r, doc_id) AS k FROM p)
     SELECT doc_id, lang, stratum FROM k WHERE n <= 20 OR k <= 20""")
 def stratified_flag_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flags by stratum, topped up."""
-    return sampling.stratified_flags(_samples(spark, sf_dir).where("verdict = 'flag'"), "lang", "doc_id", "why", 20).select("doc_id", "lang", "stratum")
+    """Flags of the first stage by stratum, topped up: the strata come from the stage's own reasons."""
+    n, none = F.col("n_chars"), F.array().cast("array<string>")
+    rows = _t(spark, sf_dir, "documents").select("doc_id", "lang", (n % 97).alias("n_jumps"), F.trim("text").alias("caption"), none.alias("hard_reasons"), F.when(n % 13 == 0, F.array(F.lit("pan left"))).otherwise(none).alias("words"), (n % 200).cast("double").alias("sat"))
+    verdict, why = validation.stage1(rows, F.lit(400), F.lit(10), F.lit(50), F.col("words"), (F.col("sat"), F.lit(0.0), F.lit(180.0)))
+    flags = rows.select("doc_id", "lang", verdict.alias("verdict"), why.alias("why")).where("verdict = 'flag'")
+    return sampling.stratified_flags(flags, "lang", "doc_id", "why", 20).select("doc_id", "lang", "stratum")
 
 
 @query(f"""
@@ -720,7 +725,16 @@ def asof_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.nearest(found, ["id_a"], "id_b").select("id_a", "id_b", _r("diff").alias("diff"))
 
 
-@query()
+@query("""
+    WITH RECURSIVE e AS (SELECT user_id, event_type = 'click' AS a, epoch_us(ts) / 1e6 AS at FROM events),
+    p AS (SELECT DISTINCT x.user_id, x.at AS ta, y.at AS tb, abs(x.at - y.at) AS diff FROM e x JOIN e y ON x.user_id = y.user_id AND x.a AND NOT y.a AND abs(x.at - y.at) < 7200),
+    r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY diff, ta, tb) AS k FROM p),
+    g AS (
+      SELECT user_id, 0::BIGINT AS k, []::DOUBLE[] AS used_a, []::DOUBLE[] AS used_b, false AS free, NULL::DOUBLE AS ta, NULL::DOUBLE AS tb, NULL::DOUBLE AS diff FROM (SELECT DISTINCT user_id FROM r)
+      UNION ALL
+      SELECT user_id, k, CASE WHEN free THEN list_append(used_a, ta) ELSE used_a END, CASE WHEN free THEN list_append(used_b, tb) ELSE used_b END, free, ta, tb, diff
+      FROM (SELECT g.user_id, r.k, g.used_a, g.used_b, NOT list_contains(g.used_a, r.ta) AND NOT list_contains(g.used_b, r.tb) AS free, r.ta, r.tb, r.diff FROM g JOIN r ON r.user_id = g.user_id AND r.k = g.k + 1))
+    SELECT user_id, ta, tb, diff FROM g WHERE free""")
 def asof_one_to_one(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greedy one-to-one association in time."""
     rows = _t(spark, sf_dir, "events").select("event_id", "user_id", "event_type", (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("at"))

@@ -38,6 +38,31 @@ def test_ema_is_carried_over_batches(spark, momentum):
 def test_ema_of_an_empty_table_and_without_momentum(spark):
     df = spark.createDataFrame([(1, 0, 2.0), (1, 1, None)], "clip long, t int, x double")
     assert series.ema(df.limit(0), "clip", "t", "x").collect() == []
-    assert sorted((r.t, r.value) for r in series.ema(df, "clip", "t", "x", 0).collect()) == [(0, 2.0), (1, None)]
+    # Without smoothing a gap still repeats the last value.
+    assert sorted((r.t, r.value) for r in series.ema(df, "clip", "t", "x", 0).collect()) == [(0, 2.0), (1, 2.0)]
     with pytest.raises(ValueError):
         series.ema(df, "clip", "t", "x", 1.0)
+
+
+@pytest.mark.parametrize(("momentum", "parts"), [(0.99, 16), (0.5, 512), (0.0, 7)])
+def test_ema_of_a_hot_clip_in_parts(spark, monkeypatch, momentum, parts):
+    """Clips over the limit are cut at their times: whole parts without a finite value, late seeds, ties in time, a null key."""
+    monkeypatch.setattr(series, "HOT", 2000)
+    monkeypatch.setattr(series, "PARTS", parts)
+    draw = random.Random(8)
+    gaps = lambda n, share: [draw.choice([None, math.nan, -math.inf]) if draw.random() < share else draw.gauss(50, 20) for _ in range(n)]
+    clips = {1: gaps(9000, 0.2), 2: [None] * 3000 + gaps(3000, 0.5) + [math.nan] * 3000, 3: [None] * 4000, 4: gaps(1500, 0.1), None: gaps(5000, 0.0)}
+    df = spark.createDataFrame([(c, t // 3 if c == 1 else t, x) for c, xs in clips.items() for t, x in enumerate(xs)], "clip long, t int, x double")
+    got = {}
+    for r in series.ema(df, "clip", "t", "x", momentum, "e").collect():
+        got.setdefault((r.clip, r.t), []).append(r.e)
+    for c, xs in clips.items():
+        ordered = [(t // 3 if c == 1 else t, x) for t, x in enumerate(xs)]
+        ordered.sort(key=lambda p: (p[0], p[1] is not None, p[1] is not None and math.isnan(p[1]), 0 if p[1] is None or math.isnan(p[1]) else p[1]))
+        want = {}
+        for (t, _), e in zip(ordered, folded([x for _, x in ordered], momentum), strict=True):
+            want.setdefault((c, t), []).append(e)
+        for k, es in want.items():
+            key = lambda e: (e is not None, e or 0)
+            for x, y in zip(sorted(got[k], key=key), sorted(es, key=key), strict=True):
+                assert (x is None) == (y is None) and (x is None or math.isclose(x, y, rel_tol=1e-9)), (k, x, y)
