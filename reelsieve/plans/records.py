@@ -12,6 +12,10 @@ from .checks import _r, _t
 from .registry import query
 
 
+def _members(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("tar").option("pushFilters", True).load(path)
+
+
 @query("""
     SELECT user_id, count(*) AS n, round(sum(value), 4) AS total, string_agg(DISTINCT event_type, ' ' ORDER BY event_type) AS caption FROM events GROUP BY 1""")
 def tar_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,10 +26,9 @@ def tar_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     members = F.create_map(F.lit("caption.txt"), F.col("caption").cast("binary"), F.lit("meta.json"), F.col("record").cast("binary"), F.lit("mp4"), F.sha2("record", 256).cast("binary"))
     path = new_path(spark, "users")
     users.select(F.col("user_id").cast("string").alias("sample"), members.alias("members")).write.format("tar").mode("append").options(frames="unchecked", capacity=64).save(path)
-    back = spark.read.format("tar").load(path)
     key, text = F.substring_index("name", ".", 1).cast("long").alias("user_id"), F.col("data").cast("string")
-    records = back.where(F.col("name").endswith(".meta.json")).select(key, F.from_json(text, "n long, total double").alias("r"))
-    captions = back.where(F.col("name").endswith(".caption.txt")).select(key, text.alias("caption"))
+    records = _members(spark, path).where(F.col("name").endswith(".meta.json")).select(key, F.from_json(text, "n long, total double").alias("r"))
+    captions = _members(spark, path).where(F.col("name").endswith(".caption.txt")).select(key, text.alias("caption"))
     return records.join(captions, "user_id").select("user_id", "r.n", _r(F.col("r.total"), 4).alias("total"), "caption")
 
 

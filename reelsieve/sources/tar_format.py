@@ -4,8 +4,10 @@ register(spark) makes the format known to a session. One row is one member: shar
 
 Reading. Options: path; suffixes (comma-separated: members with other endings are skipped); content ("false": no data); done
 (a folder of Parquet or JSON lines with the columns shard, name that lists members which are not wanted any more);
-partBytes (an archive is read by one task for each so many bytes of it). Filters on shard and name (=, IN, LIKE 'x%', '%x', '%x%')
-are taken over by the source: archives that they rule out are not opened, members that they rule out not read. A task steps
+partBytes (an archive is read by one task for each so many bytes of it); pushFilters ("true": filters on shard and name, namely =,
+IN, LIKE 'x%', '%x', '%x%', are taken over by the source: archives that they rule out are not opened, members that they rule
+out not read. Spark 4.1 keeps one reader for each load(), so with this option a query has to load anew for each filter; without
+it, which is the default, a loaded table can be used in any way). A task steps
 over the headers before its part, a block each, so a member that holds an archive itself is never taken for one. A damaged
 archive gives what is before the damage, and one row with an error, which has no name and passes no filter on it.
 
@@ -94,11 +96,12 @@ class TarReader(DataSourceReader):
     content: bool = True
     done: str | None = None
     part_bytes: int = 1 << 30
+    push: bool = False
     filters: list[Filter] = field(default_factory=list)
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for f in filters:
-            if type(f) in _TESTS and f.attribute in (("shard",), ("name",)):
+            if self.push and type(f) in _TESTS and f.attribute in (("shard",), ("name",)):
                 self.filters.append(f)
             else:
                 yield f
@@ -305,7 +308,7 @@ class TarSource(DataSource):
     def reader(self, schema: StructType) -> TarReader:
         o = self.options
         suffixes = tuple(x.strip() for x in o.get("suffixes", "").split(",") if x.strip())
-        return TarReader(o["path"], suffixes, o.get("content", "true").lower() != "false", o.get("done"), int(o.get("partBytes", 1 << 30)))
+        return TarReader(o["path"], suffixes, o.get("content", "true").lower() != "false", o.get("done"), int(o.get("partBytes", 1 << 30)), o.get("pushFilters", "false").lower() == "true")
 
     def writer(self, schema: StructType, overwrite: bool) -> TarWriter:
         o = self.options

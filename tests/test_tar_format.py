@@ -69,16 +69,24 @@ def test_filters_and_suffixes_reach_the_source(spark, tars, tmp_path):
     for k in range(3):
         archive(tmp_path / f"shard-{k}.tar", [(f"s{k}{i}.{e}", b"x") for i in range(4) for e in ("mp4", "meta.json", "caption.txt")])
     (tmp_path / "shard-2.tar").write_bytes(b"never opened" * 100)
-    df = tars(tmp_path).where(F.col("name").endswith(".json") & F.col("shard").contains("shard-1") & (F.col("size") == 1))
+    df = tars(tmp_path, pushFilters="true").where(F.col("name").endswith(".json") & F.col("shard").contains("shard-1") & (F.col("size") == 1))
     plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     assert "PushedFilters: [StringEndsWith(name,.json), StringContains(shard,shard-1)]" in plan
     condition = plan[plan.index("Condition :") :].split("\n")[0]
     assert "size" in condition and "EndsWith" not in condition and "Contains" not in condition
     assert sorted(r.name for r in df.collect()) == [f"s1{i}.meta.json" for i in range(4)]
     assert df.rdd.getNumPartitions() == 1
-    some = tars(tmp_path, suffixes=".mp4, .txt").where(F.col("name").isin("s00.mp4", "s11.caption.txt", "s12.meta.json"))
+    some = tars(tmp_path, suffixes=".mp4, .txt", pushFilters="true").where(F.col("name").isin("s00.mp4", "s11.caption.txt", "s12.meta.json"))
     assert sorted(r.name for r in some.collect()) == ["s00.mp4", "s11.caption.txt"]
-    assert [r.name for r in tars(tmp_path).where(F.col("name").startswith("s0") & (F.col("name") == "s03.mp4")).collect()] == ["s03.mp4"]
+    assert [r.name for r in tars(tmp_path, pushFilters="true").where(F.col("name").startswith("s0") & (F.col("name") == "s03.mp4")).collect()] == ["s03.mp4"]
+
+
+def test_one_load_with_two_filters(spark, tars, tmp_path):
+    """Without the option both sides of a join read what they ask for."""
+    archive(tmp_path / "a.tar", [(f"s{i}.{e}", e.encode()) for i in range(3) for e in ("mp4", "txt")])
+    df = tars(tmp_path).withColumn("s", F.substring_index("name", ".", 1))
+    both = df.where("name LIKE '%.mp4'").alias("a").join(df.where("name LIKE '%.txt'").alias("b"), "s")
+    assert sorted((r.s, r.x, r.y) for r in both.select("s", F.col("a.name").alias("x"), F.col("b.name").alias("y")).collect()) == [(f"s{i}", f"s{i}.mp4", f"s{i}.txt") for i in range(3)]
 
 
 @pytest.mark.parametrize("kind", ["parquet", "json"])
