@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -108,15 +113,63 @@ def associate(pairs: DataFrame, group: str, time_a: str, time_b: str) -> DataFra
     return taken
 
 
-def nearest_vector(queries: DataFrame, base: DataFrame, id_q: str, id_b: str, vector: str, block: int = 256, others: bool = False) -> DataFrame:
+#: Partial distances that a task holds at once.
+_HELD = 1 << 21
+
+
+def nearest_vector(queries: DataFrame, base: DataFrame, id_q: str, id_b: str, vector: str, block: int = 4096, others: bool = False) -> DataFrame:
     """id_q, id_b, dist: each query's nearest base vector (ties: smaller id); others: but the one of its own id, where both tables are one.
 
-    The queries are dealt to the base in arrays of about `block`, by a hash of their ids; each task compares its base rows with the
-    arrays one after another and sends one candidate per query on. No row and no broadcast holds all queries, unless they are few.
+    The queries are sent to the base in blocks of at most `block`, by a hash of their ids. A task compares its base rows with a
+    block by products of matrices, takes the exact distance of what comes within a millionth of the nearest, and sends on one
+    row for each of these distances: no table of pairs is made. dist has 6 digits. Vectors are of one length, without nulls.
     """
-    dealt = F.pmod(F.xxhash64(id_q), F.lit(queries.count() // block + 1))
-    blocks = queries.groupBy(dealt.alias("__block")).agg(F.collect_list(F.struct(F.col(id_q).alias("q"), F.col(vector).alias("qv"))).alias("__qs")).select("__qs")
-    dist = F.sqrt(F.aggregate(F.zip_with(vector, "s.qv", lambda x, y: x.cast("double") - y.cast("double")), F.lit(0.0), lambda a, d: a + d * d))
-    rows = base.crossJoin(blocks).select(F.col(id_b).alias("b"), vector, F.explode("__qs").alias("s")).select(F.col("s.q").alias("q"), "b", F.round(dist, 6).alias("dist"))
-    best = (rows.where("q <> b") if others else rows).groupBy("q").agg(F.min(F.struct("dist", "b")).alias("m"))
-    return best.select(F.col("q").alias(id_q), F.col("m.b").alias(id_b), F.col("m.dist").alias("dist"))
+    spark = base.sparkSession
+    asked = written(queries.select(F.col(id_q).alias("q"), F.col(vector).cast("array<double>").alias("v")), "asked")
+    blocks = max(1, -(-2 * asked.count() // block))
+    while not asked.groupBy(F.pmod(F.xxhash64("q"), F.lit(blocks))).count().where(F.col("count") > block).isEmpty() and blocks < 1 << 20:
+        blocks *= 2
+    out = asked.select(F.col("q").alias(id_q), F.lit(None).cast("long").alias(id_b), F.lit(None).cast("double").alias("dist")).limit(0)
+    for k in range(blocks):
+        rows = asked.where(F.pmod(F.xxhash64("q"), F.lit(blocks)) == k).toArrow()
+        if not rows.num_rows:
+            continue
+        sent = spark.sparkContext.broadcast((rows["q"].to_numpy(), np.array(rows["v"].to_pylist(), float).reshape(rows.num_rows, -1)))
+        near = base.select(F.col(id_b).cast("long").alias("b"), F.col(vector).cast("array<double>").alias("v")).mapInArrow(_nearest_in(sent, others), "q long, b long, dist double")
+        best = near.groupBy("q").agg(F.min(F.struct(F.round("dist", 6).alias("dist"), "b")).alias("m"))
+        step = written(best.select(F.col("q").alias(id_q), F.col("m.b").alias(id_b), F.col("m.dist").alias("dist")), "nearest")
+        sent.unpersist()
+        out = out.unionByName(step)
+    return out
+
+
+def _nearest_in(sent: Broadcast, others: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, vectors = sent.value
+        best, found = np.full(len(asked), np.inf), []
+        lengths = (vectors**2).sum(axis=1)
+        for batch in batches:
+            if not len(asked):
+                break
+            ids, rows = batch.column("b").to_numpy(), np.array(batch.column("v").to_pylist(), float)
+            run = max(1, _HELD // len(asked))
+            for at in range(0, len(ids), run):
+                part, own = rows[at : at + run], ids[at : at + run]
+                rough = lengths[:, None] + (part**2).sum(axis=1)[None, :] - 2 * vectors @ part.T
+                if others:
+                    rough[asked[:, None] == own[None, :]] = np.inf
+                best = np.minimum(best, np.sqrt(np.maximum(rough.min(axis=1), 0)))
+                # Squares of products are off by rounding; the margin is wider, and than the last of the 6 digits.
+                q, b = np.nonzero(rough <= ((best + 2e-6) ** 2 + 1e-9 * (1 + lengths))[:, None])
+                exact = np.sqrt(((vectors[q] - part[b]) ** 2).sum(axis=1))
+                # Copies of a vector are one row, that of the smallest id.
+                order = np.lexsort((own[b], exact, q))
+                q, exact, b = q[order], exact[order], own[b][order]
+                first = np.concatenate(([True], (np.diff(q) != 0) | (np.diff(exact) != 0)))[: len(q)]
+                found.append((q[first], b[first], exact[first]))
+        if found:
+            q, b, exact = (np.concatenate(x) for x in zip(*found, strict=True))
+            keep = exact <= best[q] + 1e-5
+            yield pa.RecordBatch.from_arrays([pa.array(asked[q[keep]]), pa.array(b[keep]), pa.array(exact[keep])], names=["q", "b", "dist"])
+
+    return nearest

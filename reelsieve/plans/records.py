@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import geometry
+from ..operators import colour, geometry, ledger
 from ..sources import tar_format
 from ..steps import new_path
 from .checks import _r, _t
@@ -49,3 +49,37 @@ def scene_axes(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = geometry.scene_axes(points, "label", ["x", "y", "z"]).select("label", "n", "centroid", "axes", F.posexplode("variances").alias("i", "variance"))
     at = lambda k: F.element_at("axes", F.col("i") * 3 + k)
     return found.select("label", (F.col("i") + 1).alias("place"), "n", *[_r(F.col("centroid")[k]).alias(f"c{x}") for k, x in enumerate("xyz")], _r("variance", 8).alias("variance"), *[_r(at(k + 1), 5).alias(f"a{x}") for k, x in enumerate("xyz")])
+
+
+@query("""
+    WITH p AS (SELECT label, vec_id, list_transform(embedding[1:63], lambda x: least(255, floor(abs(x) * 1000))::INT) AS p FROM embeddings),
+    r AS (SELECT label, vec_id, p[3 * i + 1] AS r, p[3 * i + 2] AS g, p[3 * i + 3] AS b FROM p, unnest(range(21)) AS u(i)),
+    s AS (SELECT label, vec_id, greatest(r, g, b) AS v, greatest(r, g, b) - least(r, g, b) AS d FROM r),
+    f AS (SELECT label, vec_id, avg(CASE WHEN v = 0 THEN 0 ELSE (d * round_even(1044480.0 / v, 0)::INT + 2048) >> 12 END) AS s FROM s GROUP BY ALL)
+    SELECT label, count(*) AS n_frames, round(avg(s), 6) AS saturation FROM f GROUP BY 1""")
+def colour_saturation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean HSV saturation of clips, whose frames are arrays of pixels."""
+    pixels = F.transform(F.slice("embedding", 1, 63), lambda x: F.least(F.lit(255), F.floor(F.abs(x.cast("double")) * 1000).cast("int")))
+    frames = _t(spark, sf_dir, "embeddings").select("label", pixels.alias("pixels"))
+    return colour.clip_saturation(frames, "label", "pixels").select("label", "n_frames", _r("saturation").alias("saturation"))
+
+
+def _measured(row: dict) -> int:
+    """A sample's work: every eleventh one fails."""
+    if row["doc_id"] % 11 == 3:
+        raise ValueError(f"no frames in {row['doc_id']}")
+    return len(row["text"].split())
+
+
+@query(r"""
+    WITH d AS (SELECT doc_id, lang, doc_id % 11 = 3 AS bad, len(regexp_extract_all(text, '\S+')) AS n FROM documents)
+    SELECT lang, count(*) FILTER (NOT bad) AS n_ok, count(*) FILTER (bad) AS n_fail, min(CASE WHEN bad THEN 'ValueError: no frames in ' || doc_id END) AS first_error,
+           round(count(*) FILTER (NOT bad) / count(*), 4) AS share, coalesce(sum(n) FILTER (NOT bad), 0)::BIGINT AS words FROM d GROUP BY 1""")
+def ledger_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pass over all samples that was stopped halfway and resumed: failures are entries, nothing is done twice."""
+    docs, path = _t(spark, sf_dir, "documents").select("doc_id", "text"), new_path(spark, "ledger")
+    ledger.run(docs, "doc_id", _measured, "long", path, number=1, parts=4, stop_after=2)
+    done = ledger.run(docs, "doc_id", _measured, "long", path, number=2, parts=4)
+    rows = done.join(_t(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
+    words = rows.groupBy("lang").agg(F.coalesce(F.sum("result"), F.lit(0)).cast("long").alias("words"))
+    return ledger.counts(rows, "lang").join(words, "lang")
