@@ -1,13 +1,14 @@
-"""Line dedup by pairwise alignment: documents that share a rare run of lines are aligned with patience diff, and the
-common blocks go from the later one.
-
-A run key is the hash of the shortest run of lines from a given line that reaches min_words words. Two documents that
-have a block of at least min_words words in common share the key at the block's first line; keys that only one
-document has link nothing. Each key links its later holders to its first one only (a star), so a passage in a third of
-all documents gives one pair for each of them and not one for each two. A pair's lines are aligned by patience diff,
-again for what is left of the later document until no common block of min_words words is found. An alignment keeps the
-order of lines and can miss a moved block for a few short lines; what then still shares a run of min_words words with
-the earlier document goes by its runs, so that no shared run is left.
+"""Line dedup by pairwise alignment: documents that share a run of lines which others have too are aligned with patience diff,
+and the common blocks go from the later one.
+
+A run key is the hash of the shortest run of lines, from a given line or up to one, that reaches min_words words; keys that
+only one document has link nothing. Each key links its later holders to its first one only (a star), so a passage in a third
+of all documents gives one pair for each of them and not one for each two. No block is missed that way: where a document
+shares a block of min_words words with any earlier one, each line of it lies in such a run within the block (shrink the block
+around the line: what can't be shrunk any more is one of the two kinds), and that run's first holder is not later. A pair's
+lines are aligned by patience diff, again for what is left of the later document until no common block of min_words words is
+found. An alignment keeps the order of lines and can miss a moved block for a few short lines; the pair's shared runs go too,
+so that none is left. Empty lines count where a block goes on behind them; at its ends they go with an aligned block only.
 """
 
 from __future__ import annotations
@@ -28,20 +29,12 @@ MIN_WORDS = 30
 
 
 def line_keys(text: str, min_words: int = MIN_WORDS) -> tuple[list[int], list[int], list[int]]:
-    """Hash and words of each line (trimmed), and the run keys of the lines that have one."""
+    """Hash and words of each line (trimmed), and the run keys from and up to the lines that have one."""
     lines = text.split("\n")
     hashes = np.array([xxhash.xxh64_intdigest(x.strip().encode()) for x in lines], dtype="<u8")
     words = [len(x.split()) for x in lines]
-    runs, end, held = [], 0, 0
-    for i, n in enumerate(words):
-        while end < len(lines) and held < min_words:
-            held += words[end]
-            end += 1
-        if held < min_words:
-            break
-        if n:
-            runs.append(xxhash.xxh64_intdigest(hashes[i:end].tobytes()))
-        held -= n
+    raw = hashes.tobytes()
+    runs = [xxhash.xxh64_intdigest(raw[8 * i : 8 * k]) for i, k in dict.fromkeys(_runs(words, 0, len(lines), min_words))]
     signed = np.array(runs, dtype="<u8").view("<i8").tolist()
     return hashes.view("<i8").tolist(), words, signed
 
@@ -136,12 +129,8 @@ def _runs(words: list[int | None], lo: int, hi: int, min_words: int) -> Iterator
 
 def common_blocks(later: list, words: list[int], earlier: list, min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
     """Ranges of the later document's lines that are aligned with the earlier one's and have at least min_words words, and
-    those of what the alignment leaves that lie in a run of at least min_words words of the earlier one, wherever it is."""
+    all others that lie in a run of at least min_words words of the earlier one, wherever it is."""
     out, todo = [], [(0, len(later))]
-    known = dict(zip(later, words, strict=True))
-    there = set(earlier)
-    shared = [n if x in there else None for x, n in zip(later, words, strict=True)]
-    held = None
     while todo:
         lo, hi = todo.pop()
         if sum(words[lo:hi]) < min_words:
@@ -158,16 +147,27 @@ def common_blocks(later: list, words: list[int], earlier: list, min_words: int =
             lo = k
         if good:
             todo.append((lo, hi))
-        elif runs := list(_runs(shared, lo, hi, min_words)):
-            if held is None:
-                held = {hash(tuple(earlier[i:k])) for i, k in _runs([known.get(x) for x in earlier], 0, len(earlier), min_words)}
-            for i, k in sorted(x for x in runs if hash(tuple(later[x[0] : x[1]])) in held):
-                if good and i <= good[-1][1]:
-                    good[-1] = (good[-1][0], max(good[-1][1], k))
-                else:
-                    good.append((i, k))
         out += good
-    return sorted(out)
+    # A run may go on from what has gone already, so all runs of both documents are compared.
+    known, there = dict(zip(later, words, strict=True)), set(earlier)
+    runs = list(_runs([n if x in there else None for x, n in zip(later, words, strict=True)], 0, len(later), min_words))
+    gone = bytearray(len(later))
+    for i, k in out:
+        gone[i:k] = b"\x01" * (k - i)
+    runs = [(i, k) for i, k in runs if not all(gone[i:k])]
+    if runs:
+        held = {tuple(earlier[i:k]) for i, k in _runs([known.get(x) for x in earlier], 0, len(earlier), min_words)}
+        out += [(i, k) for i, k in runs if tuple(later[i:k]) in held]
+    out.sort()
+    # Overlapping ranges become one.
+    joined: list[tuple[int, int]] = []
+    for i, k in out:
+        if joined and i < joined[-1][1]:
+            joined[-1] = (joined[-1][0], max(joined[-1][1], k))
+        else:
+            joined.append((i, k))
+    out = joined
+    return out
 
 
 def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
