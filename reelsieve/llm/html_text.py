@@ -37,9 +37,12 @@ ROLES = frozenset("navigation banner contentinfo complementary search form alert
 #: Words of class and id that mark parts which are not article text, ...
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promoted promotion cookie cookies consent gdpr notice notices alert popup modal overlay"
-    " sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs header masthead topbar footer colophon copyright comment comments disqus reply replies respond discussion"
+    " sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs header masthead topbar footer colophon copyright comment comments disqus reply replies respond response responses discussion"
     " share sharing social related recommended recommendations newsletter subscribe subscription signup login register search searchbox pagination pager widget widgets toolbar tags tagcloud skip".split()
 )
+#: ... marks that are also what an article may be about: inside one they don't hold for a part with RUNS blocks of running text, ...
+TOPICS = frozenset("alert cookie cookies menu menus notice notices register search share sharing social tags".split())
+RUNS = 2
 #: ... words that go with them without saying anything else, ...
 FILLERS = frozenset(
     "area bar block body box boxes bottom btn button buttons card col column container content desktop dialog first form global grid group holder icons inner item items label last left line link links list main mobile"
@@ -66,15 +69,15 @@ def _hidden(attrs: dict[str, str | None]) -> bool:
     return bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style") or "", re.I))
 
 
-def _named(attrs: dict[str, str | None], within: bool) -> bool:
-    """Whether a class or id is made of marking words, and fillers at most; within: inside an article or main element."""
+def _named(attrs: dict[str, str | None], within: bool, words: frozenset[str] = MARKS) -> bool:
+    """Whether a class or id is made of marking words, and fillers at most; within: inside an article or main element; words: one of these is needed."""
     for key in ("class", "id"):
         for x in (attrs.get(key) or "").split():
             name = [w.lower() for w in _WORDS.findall(x)]
             if not name or name[0] in _STATES:
                 continue
             marks = [w for w in name if w in MARKS]
-            if marks and all(w in MARKS or w in FILLERS for w in name):
+            if not words.isdisjoint(marks) and all(w in MARKS or w in FILLERS for w in name):
                 if HEADS.issuperset(marks) and (within or not _PARTS.isdisjoint(set(name) - {"page", "main"})):
                     continue
                 return True
@@ -110,6 +113,7 @@ class _Blocks(HTMLParser):
         self.depths: dict[str, list[int]] = defaultdict(list)  # places of each open tag in the stack
         self.containers: list[tuple[int, str]] = [(-1, "")]
         self.marks: list[int] = [-1]
+        self.topical: set[int] = set()  # marks inside an article that may be its subject
         self.blocks: list[_Block] = []
         self.parts: list[str] = []
         self.tags = 0
@@ -165,7 +169,8 @@ class _Blocks(HTMLParser):
         attrs = dict(attrs)
         within = self.depth_of(ROOTS) >= 0
         if tag in ROOTS:
-            drop, mark = (KEEP, 0) if drop == SOFT or (mark and drop == KEEP and not self.in_form()) else (drop, mark)
+            # An article in a part of another one, such as its comments, stays what that part is.
+            drop, mark = (KEEP, 0) if not within and (drop == SOFT or (mark and drop == KEEP and not self.in_form())) else (drop, mark)
         if tag in HARD - {"form"} or (tag == "header" and not within):
             drop = HARDLY
         elif tag not in ("html", "body", "main") and drop != HARDLY:
@@ -174,6 +179,8 @@ class _Blocks(HTMLParser):
             elif tag == "form" or _named(attrs, within):
                 self.marks.append(mark)
                 mark = len(self.marks) - 1
+                if within and tag != "form" and not _named(attrs, within, MARKS - TOPICS):
+                    self.topical.add(mark)
         if tag not in INLINE and tag not in ("p", "li", "html") and tag not in HEADINGS:
             self.containers.append((box, tag))
             box = len(self.containers) - 1
@@ -252,7 +259,11 @@ def _believed(parser: _Blocks) -> set[int]:
     for mark in range(len(parser.marks) - 1, 0, -1):
         size[parser.marks[mark]] += size[mark]
         running[parser.marks[mark]] += running[mark]
+    # Running text in an article makes a part of it that a topic marks its text, if it is not in a part that isn't.
     ignored = {0}
+    for mark in range(1, len(parser.marks)):
+        if mark in parser.topical and parser.marks[mark] in ignored and direct[mark] >= RUNS:
+            ignored.add(mark)
     if direct[0] or rooted[0]:
         return ignored
     heap = [(-size[m], m) for m in inside[0] if running[m]]
@@ -270,12 +281,32 @@ def _believed(parser: _Blocks) -> set[int]:
     return ignored
 
 
-def main_text(html: str, sigma: float = 1.0, share: float = 0.25) -> str:
-    """The page's article text: blocks in page order, joined by two newlines; empty if there is none."""
+#: Pieces of markup without an end that are looked at, one after another, before what is left of a page is text.
+UNFINISHED = 20
+
+
+def _parsed(html: str) -> _Blocks:
+    """The page's blocks. The parser stops at markup that doesn't end; its first sign is then a sign of text, and the rest is parsed again.
+
+    A page can hold a great many of them, each of which the parser would follow to the end of the page: after UNFINISHED ones
+    the rest is text.
+    """
     parser = _Blocks()
     parser.feed(html)
+    for k in range(UNFINISHED + 1):
+        rest, at = parser.rawdata, parser.rawdata.find("<")
+        if at < 0:
+            break
+        parser.rawdata = ""
+        parser.feed(rest[:at] + "&lt;" + rest[at + 1 :] if k < UNFINISHED else rest.replace("<", "&lt;"))
     parser.close()
     parser.flush()
+    return parser
+
+
+def main_text(html: str, sigma: float = 1.0, share: float = 0.25) -> str:
+    """The page's article text: blocks in page order, joined by two newlines; empty if there is none."""
+    parser = _parsed(html)
     ignored = _believed(parser)
     blocks = [b for b in parser.blocks if b.drop == KEEP and b.mark in ignored]
     if not blocks:
@@ -341,7 +372,7 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
 
     One row per input row, with no shuffle. Null html counts as empty and gives an empty text; pages without article text
     too; repeated rows stay; an empty table gives an empty result; other columns are not read. Pages of any length and depth
-    are read whole, in time in proportion to their length.
+    are read whole, in time in proportion to their length, markup without an end included.
     """
 
     def each(batches):

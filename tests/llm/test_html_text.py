@@ -120,3 +120,45 @@ def test_time_is_linear_in_the_page(page):
     start = time.process_time()
     html_text.main_text(page)
     assert time.process_time() - start < 20
+
+
+PARAGRAPH = "This is a paragraph of the story with quite a few words in it, number {}."
+
+
+def test_comments_in_articles_of_their_own_go():
+    story = [PARAGRAPH.format(k) for k in range(3)]
+    comment = "A reader says hello and writes a comment of more than ten words in here."
+    body = "".join(f"<p>{x}</p>" for x in story)
+    pages = [
+        f'<main><article>{body}<div class="comments"><article><p>{comment}</p></article></div></article></main>',
+        f'<main><article>{body}</article><section class="comments"><article class="c1"><p>{comment}</p></article></section></main>',
+        f'<article>{body}</article><div class="user-responses"><article class="response"><p>{comment}</p></article></div>',
+    ]
+    for page in pages:
+        assert html_text.main_text(f"<html><body>{page}</body></html>") == "\n\n".join(story)
+
+
+def test_an_articles_subject_is_no_mark():
+    one, two, three = (PARAGRAPH.format(k) for k in range(3))
+    for name in ("social", "cookies"):
+        page = f'<article><p>{one}</p><section class="{name}"><p>{two}</p><p>{three}</p></section></article>'
+        assert html_text.main_text(page) == f"{one}\n\n{two}\n\n{three}"
+        # Links and buttons, or one line of text, are no subject; nor is a part of the comments.
+        page = f'<article><p>{one}</p><div class="{name}"><a href="#">Share</a><p>{two}</p></div><p>{three}</p></article>'
+        assert html_text.main_text(page) == f"{one}\n\n{three}"
+        page = f'<article><p>{one}</p><div class="comments"><div class="{name}"><p>{two}</p><p>{three}</p></div></div></article>'
+        assert html_text.main_text(page) == one
+
+
+@pytest.mark.parametrize("piece", ["<!--", "<a ", '<a b="', "<a b='", "<![", "<!d ", "</a ", "<?x ", "<script>", "<a b=", "&", "&#", "<"])
+@pytest.mark.parametrize("end", ["", ">", '">', "-->"])
+def test_unfinished_markup_in_time_and_with_its_text(piece, end):
+    import time
+
+    start = time.perf_counter()
+    text = html_text.main_text("<article><p>" + PARAGRAPH.format(1) + "</p></article>" + piece * (240_000 // len(piece)) + end)
+    assert time.perf_counter() - start < 3 and text.startswith(PARAGRAPH.format(1))
+
+
+def test_text_after_unfinished_markup_is_kept():
+    assert html_text.main_text(f"<article><p>{PARAGRAPH.format(1)}</p><p>a < b and <!-- no end {PARAGRAPH.format(2)}</p></article>").endswith(PARAGRAPH.format(2))
