@@ -81,3 +81,13 @@ def sliced(df: DataFrame, key: str, most: int) -> tuple[DataFrame, int]:
         if rows.where((F.col("rows") > most) & (F.col("low") != F.col("high"))).isEmpty():
             return out, n
         n *= 2
+
+
+def apart(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many `_` behind it as it takes to be none of df's columns."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import vectors
-from .common import materialize, texts
+from .common import apart, materialize, texts
 
 WIDTH, MIN_SIMILARITY, RADIUS = 5, 0.8, 24
 #: Benchmark text that is broadcast at once; a larger benchmark is searched in slices of this size.
@@ -175,9 +175,14 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 
 def clean(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """df's rows without a similar item; rows are told apart by doc_id and a hash of the text."""
-    found = matches(df, benchmark, id_col, text_col).select(F.col("doc_id").alias("__bad"), F.col("t").alias("__t")).distinct()
-    own = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__bad")) & (_hash(F.col(f"`{text_col}`")) == F.col("__t"))
+    """df's rows without a similar item; rows are told apart by doc_id and a hash of the text.
+
+    Null and empty texts match nothing and stay; repeated rows stay or go together; very long texts are read whole; an empty
+    table gives an empty result, an empty benchmark all rows; df's columns may have any names.
+    """
+    d, t = apart(df, "bad_id", "bad_hash")
+    found = matches(df, benchmark, id_col, text_col).select(F.col("doc_id").alias(d), F.col("t").alias(t)).distinct()
+    own = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(d)) & (_hash(F.col(f"`{text_col}`")) == F.col(t))
     return df.join(materialize(found, "contaminated"), own, "left_anti")
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import vectors
-from .common import materialize, texts
+from .common import apart, materialize, texts
 
 BUCKETS = 1 << 18
 #: The models are fitted on at most this many labelled rows, those with the smallest hashes of their doc_id.
@@ -213,12 +213,17 @@ def decide(scored: DataFrame, sites: DataFrame) -> DataFrame:
 
 
 def keep(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang", max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """df's rows that classify() keeps, with all of df's columns; rows are matched by doc_id and a hash of the text."""
+    """df's rows that classify() keeps, with all of df's columns; rows are matched by doc_id and a hash of the text.
+
+    Null and empty texts have no words and go; a null doc_id, host or path is a value like others; repeated rows stay or go
+    together; very long texts are read whole; an empty table gives an empty result; df's columns may have any names.
+    """
     hashed = F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.col(host_col).cast("string").alias("host"), F.col(path_col).cast("string").alias("path")).withColumn("t", F.xxhash64("text"))
     model = train(docs.select("doc_id", "text"), labels, max_labelled)
     scored = materialize(score(docs, model), "scored")
+    d, t, h, p = apart(df, "kept_id", "kept_hash", "kept_host", "kept_path")
     # The site decides too: of rows that agree in doc_id and text, each host's and path's is judged on its own.
-    kept = decide(scored, posteriors(scored)).where("keep").select(F.col("doc_id").alias("__d"), F.col("t").alias("__t"), F.col("host").alias("__h"), F.col("path").alias("__p")).distinct()
-    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__d")) & (hashed == F.col("__t")) & F.col(f"`{host_col}`").cast("string").eqNullSafe(F.col("__h")) & F.col(f"`{path_col}`").cast("string").eqNullSafe(F.col("__p"))
+    kept = decide(scored, posteriors(scored)).where("keep").select(F.col("doc_id").alias(d), F.col("t").alias(t), F.col("host").alias(h), F.col("path").alias(p)).distinct()
+    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(d)) & (hashed == F.col(t)) & F.col(f"`{host_col}`").cast("string").eqNullSafe(F.col(h)) & F.col(f"`{path_col}`").cast("string").eqNullSafe(F.col(p))
     return df.join(materialize(kept, "kept"), same, "left_semi")

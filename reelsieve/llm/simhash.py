@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import vectors
-from .common import hex64, materialize, texts
+from .common import apart, hex64, materialize, texts
 from .graph import components
 
 SEGMENTS, SEGMENT_BITS = 2, 32
@@ -282,10 +282,15 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, min_similarity: float = 0.8) -> DataFrame:
-    """df's rows without near duplicates: of each group the row with the smallest doc_id (then hash of the text) stays, of repeated rows one."""
+    """df's rows without near duplicates: of each group the row with the smallest doc_id (then hash of the text) stays, of repeated rows one.
+
+    Null and empty texts are equal texts without words, and a null doc_id is equal to the smallest number: rows that agree in
+    both are repeated rows. Very long texts are read whole; an empty table gives an empty result; df's columns may have any names.
+    """
     groups = similar_groups(df, id_col, text_col, width, min_similarity)
     kept = materialize(groups.where((F.col("doc_id") == F.col("group")) & (F.col("t") == F.col("group_t"))).groupBy("doc_id", "t").agg(F.count("*").alias("n")), "kept")
     key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(1 << 63)))
     hashed = F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
-    rows = df.join(kept.select(F.col("doc_id").alias("__d"), F.col("t").alias("__t")), (key == F.col("__d")) & (hashed == F.col("__t")), "left_semi")
-    return rows if kept.where("n > 1").isEmpty() else rows.dropDuplicates([id_col, text_col])
+    d, t = apart(df, "kept_id", "kept_hash")
+    rows = df.join(kept.select(F.col("doc_id").alias(d), F.col("t").alias(t)), (key == F.col(d)) & (hashed == F.col(t)), "left_semi")
+    return rows if kept.where("n > 1").isEmpty() else rows.withColumns({d: key, t: hashed}).dropDuplicates([d, t]).drop(d, t)
