@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..steps import written
 from .order_statistics import exact_percentile
+from .series import interpolate_arrays
 
 #: Fixed value: points of a smaller variance have no extent.
 LEAST_VARIANCE = 1e-12
@@ -228,6 +229,23 @@ def reanchor(df: DataFrame, key: str, pose: str = "pose", order: str = "t") -> D
     return df.join(first, key).withColumn(pose, F.array(*rows, *[F.lit(float(x)) for x in (0, 0, 0, 1)])).drop("__p0")
 
 
+#: Fixed value: a first pose nearer to the identity than this is one.
+ANCHORED = 1e-3
+
+
+def dense_poses(keyframes: DataFrame, key: str, t: str, pose: str) -> DataFrame:
+    """key, t, pose for every frame from 0 to the last keyframe: entries on straight lines between keyframes, relative to the first frame.
+
+    Rotations between keyframes are not made orthogonal again. Clips whose first pose is the identity already stay as they are.
+    """
+    dense = interpolate_arrays(keyframes, key, t, pose)
+    unit = F.array(*[F.lit(float(i % 5 == 0)) for i in range(16)])
+    first = dense.where(F.col(t) == 0).select(key, (F.array_max(F.zip_with(pose, unit, lambda a, b: F.abs(a - b))) > ANCHORED).alias("__off"))
+    rows = dense.join(first, key)
+    moved = reanchor(rows.where("__off"), key, pose, t).select(key, t, pose)
+    return moved.unionByName(rows.where("NOT __off").select(key, t, pose))
+
+
 def ray_intrinsics(df: DataFrame, key: str, u: str, v: str, x: str, y: str) -> DataFrame:
     """fx, cx, fy, cy of a pinhole from rays (x, y at depth 1) and pixels, by two straight lines."""
     return df.groupBy(key).agg(F.regr_slope(u, x).alias("fx"), F.regr_intercept(u, x).alias("cx"), F.regr_slope(v, y).alias("fy"), F.regr_intercept(v, y).alias("cy"))

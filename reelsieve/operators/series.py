@@ -203,6 +203,21 @@ def interpolate(df: DataFrame, key: str, value: str, grid: int | DataFrame) -> D
     return rows.select(key, "t", F.coalesce(lerp, "v0", "v1").alias("value"))
 
 
+def interpolate_arrays(df: DataFrame, key: str, t: str, values: str) -> DataFrame:
+    """key, t, values for every frame from 0 to a key's last known one: arrays known at some frames, each element on a straight line between them.
+
+    Before the first known frame its array is repeated. Known frames: integers, one row each; rows with a null t or array are none.
+    """
+    known = df.where(F.col(t).isNotNull() & F.col(values).isNotNull()).select(key, F.col(t).cast("int").alias("__t0"), F.col(values).alias("__v0"))
+    w = Window.partitionBy(key).orderBy("__t0")
+    legs = known.withColumns({"__t1": F.lead("__t0").over(w), "__v1": F.lead("__v0").over(w), "__from": F.when(F.lag("__t0").over(w).isNull(), F.least(F.lit(0), "__t0")).otherwise(F.col("__t0"))})
+    # Each known frame lays the frames up to the next one; the first also those before it.
+    frames = legs.withColumn("__t", F.explode(F.sequence("__from", F.coalesce(F.col("__t1") - 1, F.col("__t0"))))).where("__t >= 0")
+    share = (F.col("__t") - F.col("__t0")) / (F.col("__t1") - F.col("__t0"))
+    line = F.zip_with("__v0", "__v1", lambda a, b: a + (b - a) * share)
+    return frames.select(key, F.col("__t").alias(t), F.when(F.col("__t") <= F.col("__t0"), F.col("__v0")).otherwise(line).alias(values))
+
+
 def kernel(sigma: float) -> list[float]:
     half = max(1, math.ceil(3 * sigma))
     w = [math.exp(-0.5 * (d / sigma) ** 2) for d in range(-half, half + 1)]

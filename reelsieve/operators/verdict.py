@@ -30,11 +30,6 @@ def verdict(n_jumps: Column, flag_limit: Column, fail_limit: Column, hard_ok: Co
     return v, r
 
 
-def saturation_out(sat: Column, low: Column, high: Column) -> Column:
-    """Flag only where the group checks saturation and the value is known."""
-    return F.coalesce(sat.isNotNull() & low.isNotNull() & ~sat.between(low, high), F.lit(False))
-
-
 def unpivot(df: DataFrame, key: list[str], metrics: list[str]) -> DataFrame:
     return df.unpivot(key, metrics, "metric", "score")
 

@@ -404,10 +404,12 @@ def known_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "documents").select("doc_id", C.known_prefix(F.col("source"), {"src1": "one", "src2": "two"}).alias("dataset"))
 
 
-@query("SELECT page_id, md5(url) AS text FROM pages")
+@query("SELECT page_id, md5(CASE page_id % 3 WHEN 0 THEN url WHEN 1 THEN url || chr(65533) ELSE chr(65533) || url || chr(65533) END) AS text FROM pages")
 def decoded_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bytes read as text."""
-    return _t(spark, sf_dir, "pages").select("page_id", F.md5(C.decoded(F.col("url").cast("binary"))).alias("text"))
+    """Bytes read as text: some end in a byte that isn't UTF-8, or within a character, or begin with one."""
+    n, url, bad, cut = F.col("page_id") % 3, F.col("url").cast("binary"), F.unhex(F.lit("FF")), F.unhex(F.lit("C3"))
+    data = F.when(n == 0, url).when(n == 1, F.concat(url, cut)).otherwise(F.concat(bad, url, bad))
+    return _t(spark, sf_dir, "pages").select("page_id", F.md5(C.decoded(data)).alias("text"))
 
 
 @query("""

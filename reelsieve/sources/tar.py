@@ -31,3 +31,24 @@ def npy_values(data_col: str):
         return data.map(one)
 
     return load(F.col(data_col))
+
+
+def npz_values(data_col: str):
+    """Column: (data array<double>, shape array<int>, inds array<long>) of a .npz member with arrays data and inds; null where it can't be read."""
+    @F.pandas_udf("data array<double>, shape array<int>, inds array<long>")
+    def load(data: pd.Series) -> pd.DataFrame:
+        import zipfile
+
+        import numpy as np
+
+        def one(x):
+            try:
+                with np.load(io.BytesIO(x), allow_pickle=False) as z:
+                    return z["data"].astype(float).ravel().tolist(), list(z["data"].shape), z["inds"].astype(np.int64).ravel().tolist()
+            except (ValueError, TypeError, OSError, EOFError, KeyError, zipfile.BadZipFile):
+                return None, None, None
+
+        return pd.DataFrame([one(x) for x in data], columns=["data", "shape", "inds"])
+
+    loaded = load(F.col(data_col))
+    return F.when(loaded["data"].isNotNull(), loaded)
