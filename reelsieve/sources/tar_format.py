@@ -219,12 +219,12 @@ class TarWriter(DataSourceWriter):
     job: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     @property
-    def _passing(self) -> str:
-        return f"{opened(self.path)[1]}/{_PASSING}-{self.job}"
+    def passing(self) -> tuple[fs.FileSystem, str]:
+        store, root = opened(self.path)
+        return store, f"{root}/{_PASSING}-{self.job}"
 
     def write(self, rows: Iterator) -> Written:
-        store, _ = opened(self.path)
-        store.create_dir(self._passing, recursive=True)
+        store, folder = self.passing
         shards: list[tuple[str, int]] = []
         rejected: list[tuple[str, str]] = []
         tar = sink = None
@@ -246,7 +246,7 @@ class TarWriter(DataSourceWriter):
                     rejected.append((row.sample, why))
                     continue
                 if tar is None:
-                    at, count = f"{self._passing}/{uuid.uuid4().hex}", 0
+                    at, count = f"{folder}/{uuid.uuid4().hex}", 0
                     sink = store.open_output_stream(at)
                     tar = tarfile.open(fileobj=sink, mode="w|")
                 # Known members in their own order, others after them.
@@ -259,9 +259,14 @@ class TarWriter(DataSourceWriter):
                     close()
             if tar is not None:
                 close()
-        finally:
+        except BaseException:
             if tar is not None:
                 sink.close()
+                shards.append((at, count))
+            for at, _ in shards:
+                if store.get_file_info(at).type == fs.FileType.File:
+                    store.delete_file(at)
+            raise
         return Written(shards, rejected)
 
     def commit(self, messages: list[Written | None]) -> None:
@@ -285,14 +290,15 @@ class TarWriter(DataSourceWriter):
                     before = file.read()
             with store.open_output_stream(log) as out:
                 out.write(before + ("\n".join(lines) + "\n").encode())
-        self._clear(store)
+        self._clear()
 
     def abort(self, messages: list[Written | None]) -> None:
-        self._clear(opened(self.path)[0])
+        self._clear()
 
-    def _clear(self, store: fs.FileSystem) -> None:
-        if store.get_file_info(self._passing).type == fs.FileType.Directory:
-            store.delete_dir(self._passing)
+    def _clear(self) -> None:
+        store, at = self.passing
+        if store.get_file_info(at).type == fs.FileType.Directory:
+            store.delete_dir(at)
 
 
 class TarSource(DataSource):
@@ -319,4 +325,8 @@ class TarSource(DataSource):
             raise ValueError("rows need the columns sample and members (map of extension to bytes)")
         if (invalid := o.get("invalid", "fail")) not in ("fail", "reject"):
             raise ValueError(f"invalid is fail or reject, not {invalid}")
-        return TarWriter(o["path"], o.get("prefix", "shard"), capacity, invalid == "reject", o.get("frames", CLIP_FRAMES), overwrite)
+        out = TarWriter(o["path"], o.get("prefix", "shard"), capacity, invalid == "reject", o.get("frames", CLIP_FRAMES), overwrite)
+        # Made once, here: a task that is still running when the job is given up finds no folder any more.
+        store, at = out.passing
+        store.create_dir(at, recursive=True)
+        return out
