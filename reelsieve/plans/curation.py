@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT_GROUP, GROUPS, group_table, rule_rows, rule_table
+from ..config import DEFAULT_GROUP, GROUPS, RULES, group_table, rule_rows, rule_table
 from ..functions import columns as C
 from ..operators import generators, geometry, merge, packing, sampling, series, validation, verdict
 from .registry import query
@@ -803,7 +803,15 @@ def scene_trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generators.trajectories(_t(spark, sf_dir, "nation"), "n_nationkey").groupBy("n_nationkey").agg(F.count("*").alias("n"))
 
 
-@query(f"SELECT count(*) AS n_rules, count(DISTINCT source) AS n_sources, count(lo) AS n_lo, count(hi) AS n_hi FROM {_values(rule_rows(), 'source, metric, lo, hi')}")
+@query(f"""
+    WITH r AS (SELECT * FROM {_values(rule_rows(), 'source, metric, lo, hi')}), n AS (SELECT source, row_number() OVER (ORDER BY source) - 1 AS k FROM (SELECT DISTINCT source FROM r)),
+    d AS (SELECT n.source, doc_id, (n_chars % 130)::DOUBLE AS score FROM documents JOIN n ON doc_id % {len(RULES)} = k)
+    SELECT source, metric, count(*) AS n_samples, count(*) FILTER ((lo IS NULL OR score >= lo) AND (hi IS NULL OR score <= hi)) AS n_inside FROM r JOIN d USING (source) GROUP BY ALL""")
 def rule_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rule table itself, counted."""
-    return rule_table(spark).agg(F.count("*").alias("n_rules"), F.count_distinct("source").alias("n_sources"), F.count("lo").alias("n_lo"), F.count("hi").alias("n_hi"))
+    """For each rule of the table the samples of its source, and those whose score lies in its range."""
+    rules = rule_table(spark)
+    numbered = spark.createDataFrame([(x, k) for k, x in enumerate(sorted(RULES))], "source string, k long")
+    docs = _t(spark, sf_dir, "documents").select((F.col("doc_id") % len(RULES)).alias("k"), (F.col("n_chars") % 130).cast("double").alias("score"))
+    inside = (F.col("lo").isNull() | (F.col("score") >= F.col("lo"))) & (F.col("hi").isNull() | (F.col("score") <= F.col("hi")))
+    rows = docs.join(F.broadcast(numbered.join(rules, "source")), "k")
+    return rows.groupBy("source", "metric").agg(F.count("*").alias("n_samples"), F.count_if(inside).alias("n_inside"))
