@@ -2,9 +2,10 @@
 pass; a parser at each anchor expands it to both sides and validates what it found.
 
 Base kinds (email, ip, card, phone) are the leftmost non-overlapping matches of their patterns, those that fail their
-check left out. The anchors add three kinds: url (scheme://...), account (bank and identity numbers after a cue, or an IBAN
-wherever it stands; each form has its own check) and secret (issued keys by their beginning, private key blocks, and the
-value after a cue such as `token =`, if it looks like one). Offsets are code points, the end exclusive.
+check left out. The anchors add four kinds: url (scheme://...), account (bank and identity numbers after a cue, or an IBAN
+wherever it stands; each form has its own check), secret (issued keys by their beginning, private key blocks, and the
+value after a cue such as `token =`, if it looks like one) and address (a street's name with its house number, a post box;
+expanded over unit, town and postcode). Offsets are code points, the end exclusive.
 """
 
 from __future__ import annotations
@@ -21,12 +22,14 @@ from pyspark.sql import functions as F
 from .common import texts
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "url", "account", "secret")
+KINDS = (*BASE_KINDS, "url", "account", "secret", "address")
 #: Counts beside those of the base kinds.
-PRIVATE = {"n_account": ("account",), "n_secret": ("secret",), "n_private": (*BASE_KINDS, "account", "secret")}
-#: Words that announce a secret or a number, in lower case; they are looked for in lower, upper and title case.
-SECRET_CUES = ("token", "password", "passwd", "secret", "api_key", "api-key", "apikey", "access_key", "access key", "private key", "bearer")
-ACCOUNT_CUES = ("iban", "account", "acct", "routing", "ssn", "social security", "passport")
+PRIVATE = {"n_account": ("account",), "n_secret": ("secret",), "n_address": ("address",), "n_private": (*BASE_KINDS, "account", "secret", "address")}
+#: Words that announce a secret or a number, in lower case; they are looked for in lower, upper, title and camel case.
+SECRET_CUES = ("token", "password", "passwd", "pwd", "passphrase", "secret", "secret_key", "api_key", "api-key", "api key", "apikey", "access_key", "access key", "private_key", "private key", "bearer")
+ACCOUNT_CUES = ("iban", "account", "acct", "routing", "sort code", "ssn", "social security", "passport")
+#: Cues whose value may be as short as six characters, behind a colon or an equals sign.
+SHORT_CUES = frozenset(("password", "passwd", "pwd"))
 #: The beginnings of issued keys, and what follows them.
 ISSUED = {
     "AKIA": r"[0-9A-Z]{16}(?![0-9A-Za-z])", "ASIA": r"[0-9A-Z]{16}(?![0-9A-Za-z])", "AIza": r"[0-9A-Za-z_-]{35}", "ghp_": r"[0-9A-Za-z]{36}", "gho_": r"[0-9A-Za-z]{36}", "ghs_": r"[0-9A-Za-z]{36}", "github_pat_": r"[0-9A-Za-z_]{22,}",
@@ -34,6 +37,14 @@ ISSUED = {
     "xoxb-": r"[0-9A-Za-z-]{10,}", "xoxp-": r"[0-9A-Za-z-]{10,}", "eyJ": r"[0-9A-Za-z_-]{8,}\.[0-9A-Za-z_-]{8,}\.[0-9A-Za-z_-]{8,}", "-----BEGIN ": r"(?:[A-Z]+ )*PRIVATE KEY-----(?:[^-]*-----END (?:[A-Z]+ )*PRIVATE KEY-----)?",
 }
 
+#: What a street's name ends with, first words that say so, then those that need a town and postcode behind them, ...
+STREETS = ("Street", "Avenue", "Road", "Boulevard", "Lane", "Terrace", "Crescent")
+VAGUE_STREETS = ("Court", "Drive", "Square", "Parkway", "Highway", "St", "Ave", "Rd", "Blvd", "Ln", "Dr", "Ct", "Pkwy", "Hwy")
+#: ... and the codes of states.
+STATES = (
+    "AL AK AZ AR CA CO CT DE FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO MT NE NV NH NJ NM NY NC ND OH OK OR PA RI SC SD TN TX UT VT VA WA WV WI WY DC"
+)
+
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _LETTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+.-")
 _DIGITS = frozenset("0123456789")
@@ -42,10 +53,26 @@ _IP = re.compile(r"([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _URL = re.compile(r"://[^\s<>\"'`|\\^{}]+")
-_BETWEEN = r"[\"']?[ \t]{0,4}(?:(?:[:=]|is|no\.?|number|#)[ \t]{0,4}){0,3}[\"']?"
-_VALUE = re.compile(_BETWEEN + r"([A-Za-z0-9][A-Za-z0-9+/_-]{7,}=*)")
+_BETWEEN = r"[\"']?[ \t]{0,4}(?:(?:[:=]|is|[Nn]o\.?|[Nn]umber|#)[\"']?[ \t]{0,4}){0,3}[\"']?"
+_VALUE = re.compile(_BETWEEN + r"([A-Za-z0-9][A-Za-z0-9+/_-]{5,}=*)")
+_PIECES = re.compile(r"[^+/_=-]+")
+_ORDINAL = re.compile(r"[0-9]+(?:st|nd|rd|th)", re.I)
 _NUMBER = re.compile(_BETWEEN + r"([A-Z]{0,2}[0-9](?:[ -]?[0-9A-Z]){5,33})(?![0-9A-Za-z])")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]){11,30}(?![0-9A-Za-z])")
+# After the cue an IBAN may be in any case, in one piece or in fours.
+_ANY_IBAN = re.compile(_BETWEEN + r"([A-Za-z]{2}[0-9]{2}(?:[0-9A-Za-z]{11,30}|(?: [0-9A-Za-z]{4}){2,7}(?: [0-9A-Za-z]{1,3})?))(?![0-9A-Za-z])")
+# House number and one to four words of the name, read back from the word for a street; each piece is of bounded length.
+_BEFORE_STREET = re.compile(r"(?<![0-9A-Za-z.,/$€£-])([1-9][0-9]{0,4})[A-Za-z]?(?: (?:[A-Z][A-Za-z'’-]{0,23}\.?|[0-9]{1,3}(?:st|nd|rd|th))){1,4} \Z")
+_BEFORE_REACH = 120
+_QUARTER = re.compile(r" (?:NE|NW|SE|SW)(?![0-9A-Za-z])")
+_UNIT = re.compile(r",? (?:(?:Apt|Apartment|Suite|Ste|Unit|Floor|Flat)\.? ?|# ?)[0-9A-Za-z-]{1,6}(?![0-9A-Za-z])")
+_TOWN = re.compile(
+    r"(?:,?[ \n]|, ?\n)[A-Z][A-Za-z'’.-]{1,23}(?: [A-Z][A-Za-z'’.-]{1,23}){0,3},?[ \n](?:(?:" + STATES.replace(" ", "|") + r"),? [0-9]{5}(?:-[0-9]{4})?|[A-Z]{1,2}[0-9][0-9A-Z]? [0-9][A-Z]{2})(?![0-9A-Za-z])"
+)
+# What goes on behind a street without a town: the end, a stop, or a small word. `5 Wall Street banks` is no address.
+_AFTER_STREET = re.compile(r"\s*(?:\Z|[\n,.;:!?)\"'])| (?:and|at|by|for|in|is|near|on|or|to|was|with)(?![A-Za-z])")
+_BOX = re.compile(r"Box [0-9]{1,6}(?![0-9A-Za-z])", re.I)
+_BEFORE_BOX = re.compile(r"(?<![0-9A-Za-z])(?:P\. ?O\.|PO|Post Office) \Z", re.I)
 _ISSUED = {sign: re.compile(re.escape(sign) + rest) for sign, rest in ISSUED.items()}
 _NOT_DIGIT = re.compile(r"[^0-9]")
 #: IBAN lengths by country.
@@ -55,6 +82,12 @@ IBAN_LENGTHS = {
 }
 
 
+def _camel(cue: str) -> tuple[str, str]:
+    """A cue of several words as one: apiKey, ApiKey."""
+    joined = "".join(x.capitalize() for x in re.split("[ _-]", cue))
+    return joined[0].lower() + joined[1:], joined
+
+
 @lru_cache(maxsize=1)
 def _anchors() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
@@ -65,8 +98,14 @@ def _anchors() -> ahocorasick.Automaton:
     for country in IBAN_LENGTHS:
         found.add_word(country, ("country", 2))
     for kind, cues in (("secret cue", SECRET_CUES), ("account cue", ACCOUNT_CUES)):
-        for form in {f for cue in cues for f in (cue, cue.upper(), cue.title(), cue.capitalize())}:
+        for form in {f for cue in cues for f in (cue, cue.upper(), cue.title(), cue.capitalize(), *_camel(cue))}:
             found.add_word(form, (kind, len(form)))
+    for words in (STREETS, VAGUE_STREETS):
+        for word in words:
+            for form in (word, word.upper()):
+                found.add_word(form, ("street", len(form)))
+    found.add_word("Box ", ("box", 4))
+    found.add_word("BOX ", ("box", 4))
     found.make_automaton()
     return found
 
@@ -99,20 +138,67 @@ def _account(cue: str, value: str) -> bool:
     """Whether the value after a cue has the form and the check digits of its kind."""
     plain = value.replace(" ", "").replace("-", "")
     digits = plain.isdigit()
-    if cue in ("ssn", "social security"):
+    if cue in ("ssn", "social security", "socialsecurity"):
         return digits and len(plain) == 9 and plain[:3] not in ("000", "666") and plain[0] != "9" and plain[3:5] != "00" and plain[5:] != "0000"
     if cue == "routing":
         return digits and len(plain) == 9 and sum(int(x) * w for x, w in zip(plain, (3, 7, 1) * 3, strict=True)) % 10 == 0
     if cue == "passport":
         return 6 <= len(plain) <= 9 and sum(x.isdigit() for x in plain) >= 5
+    if cue in ("sort code", "sortcode"):
+        return digits and len(plain) == 6
     if cue == "iban":
-        return False  # an IBAN is found by its country, with its check digits
+        return False  # an IBAN is found by its own form, with its check digits
     return digits and 6 <= len(plain) <= 17
 
 
-def _secret(value: str) -> bool:
-    """A value that is no word: letters and digits mixed, or long hex."""
-    return not _DIGITS.isdisjoint(value) and any(x.isalpha() for x in value)
+def _secret(cue: str, between: str, value: str) -> bool:
+    """Whether the value after a cue is no word: letters and digits mixed, ordinals apart (18th-century).
+
+    Without a colon or an equals sign one piece of it has to mix them (covid-19 doesn't), and it has eight characters. Those
+    are also needed after a sign, but for a password.
+    """
+    told = ":" in between or "=" in between
+    if not between or len(value) < (6 if told and cue in SHORT_CUES else 8):
+        return False
+    pieces = [x for x in _PIECES.findall(value) if not _ORDINAL.fullmatch(x)]
+    return any(not _DIGITS.isdisjoint(x) and any(c.isalpha() for c in x) for x in (["".join(pieces)] if told else pieces))
+
+
+def _begins(text: str, at: int) -> bool:
+    """Whether a word begins at the place, one inside a name in camel case included."""
+    return at == 0 or not text[at - 1].isalnum() or (text[at].isupper() and text[at - 1].islower())
+
+
+def _told_iban(text: str, at: int) -> tuple[int, int] | None:
+    """The IBAN in any case that follows a cue which ends before `at`."""
+    if not (m := _ANY_IBAN.match(text, at)) or m.start(1) == at:
+        return None
+    end = None
+    if m[1][:2].upper() in IBAN_LENGTHS:
+        end = _iban(m[1].upper(), 0)
+    return (m.start(1), m.start(1) + end) if end else None
+
+
+def _address(text: str, at: int, end: int, done: int) -> tuple[int, int] | None:
+    """The address around the word for a street at [at, end), after `done`: number and name before it, unit, town and postcode behind.
+
+    A town with its postcode is needed behind a vague word (Dr, Court) and, without a quarter, a number that may be a year.
+    """
+    begin = max(done, at - _BEFORE_REACH)
+    vague = text[at:end].title() in VAGUE_STREETS
+    if text[end : end + 1].isalnum() or not (m := _BEFORE_STREET.search(text[begin:at])):
+        return None
+    if vague and text.startswith(".", end):
+        end += 1
+    if quarter := _QUARTER.match(text, end):
+        end = quarter.end()
+    if unit := _UNIT.match(text, end):
+        end = unit.end()
+    if town := _TOWN.match(text, end):
+        end = town.end()
+    elif vague or (1500 <= int(m[1]) <= 2099 and not quarter) or not (unit or _AFTER_STREET.match(text, end)):
+        return None
+    return begin + m.start(), end
 
 
 def find(text: str) -> list[tuple[str, int, int]]:
@@ -157,11 +243,25 @@ def find(text: str) -> list[tuple[str, int, int]]:
                 done["account"] = end
                 spans["account"].append((at, end))
         elif sign == "account cue":
-            if at >= done["account"] and (at == 0 or not text[at - 1].isalnum()) and (m := _NUMBER.match(text, last + 1)) and _account(text[at : last + 1].lower().replace("acct", "account"), m[1]):
-                done["account"] = m.end()
-                spans["account"].append(m.span(1))
+            if at >= done["account"] and _begins(text, at):
+                cue = text[at : last + 1].lower().replace("acct", "account")
+                got = _told_iban(text, last + 1) if cue == "iban" else None
+                if not got and (m := _NUMBER.match(text, last + 1)) and _account(cue, m[1]):
+                    got = m.span(1)
+                if got:
+                    done["account"] = got[1]
+                    spans["account"].append(got)
+        elif sign == "street":
+            if at >= done["address"] and not text[at - 1 : at].isalnum() and (got := _address(text, at, last + 1, done["address"])):
+                done["address"] = got[1]
+                spans["address"].append(got)
+        elif sign == "box":
+            begin = max(done["address"], at - 12)
+            if at >= done["address"] and (m := _BOX.match(text, at)) and (b := _BEFORE_BOX.search(text[begin:at])):
+                done["address"] = (_TOWN.match(text, m.end()) or m).end()
+                spans["address"].append((begin + b.start(), done["address"]))
         elif sign == "secret cue":
-            if at >= done["secret"] and (at == 0 or not text[at - 1].isalnum()) and (m := _VALUE.match(text, last + 1)) and _secret(m[1]):
+            if at >= done["secret"] and _begins(text, at) and (m := _VALUE.match(text, last + 1)) and _secret(text[at : last + 1].lower(), text[last + 1 : m.start(1)], m[1]):
                 done["secret"] = m.end()
                 spans["secret"].append(m.span(1))
         elif at >= done["secret"] and (at == 0 or not text[at - 1].isalnum()) and (m := _ISSUED[sign].match(text, at)):
@@ -181,7 +281,7 @@ def mask(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_masked: bool = False) -> DataFrame:
-    """doc_id, a count for each base kind, base_sha256, spans (all kinds, kind:start:end joined by commas), n_account, n_secret, n_private (spans of all kinds but url), and the masked text if asked for.
+    """doc_id, a count for each base kind, base_sha256, spans (all kinds, kind:start:end joined by commas), n_account, n_secret, n_address, n_private (spans of all kinds but url), and the masked text if asked for.
 
     One row per input row, with no shuffle. Null texts count as empty (no spans); repeated rows stay; an empty table gives
     an empty result; other columns are not read.
