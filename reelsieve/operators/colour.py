@@ -29,3 +29,19 @@ def clip_saturation(frames: DataFrame, key: str, pixels: str) -> DataFrame:
     """key, n_frames, saturation: the mean of the frames' means; frames that aren't decoded (null) or are empty don't count, a clip without others has 0."""
     rows = frames.select(key, frame_saturation(F.col(pixels)).alias("__s"))
     return rows.groupBy(key).agg(F.count("__s").alias("n_frames"), F.coalesce(F.avg("__s"), F.lit(0.0)).alias("saturation"))
+
+
+def grid_sample(df: DataFrame, keep: list[str], raster: str, height: str, width: str, grid: int = 32) -> DataFrame:
+    """keep, gy, gx, y, x, value: each raster's values at grid * grid even places, from edge to edge, truncated to whole ones.
+
+    raster: the values row by row, height * width of them; rasters of another length give no rows, a raster smaller than the
+    grid gives some values more than once.
+    """
+    steps = F.sequence(F.lit(0), F.lit(grid - 1))
+
+    def place(i: Column, n: str) -> Column:
+        return F.floor(i * (F.col(n) - 1) / F.lit(max(1, grid - 1))).cast("int")
+
+    rows = df.where(F.size(raster) == F.col(height) * F.col(width)).select(*keep, raster, height, width, F.explode(steps).alias("gy"))
+    rows = rows.select(*keep, raster, height, width, "gy", F.explode(steps).alias("gx")).withColumn("y", place(F.col("gy"), height)).withColumn("x", place(F.col("gx"), width))
+    return rows.select(*keep, "gy", "gx", "y", "x", F.element_at(raster, (F.col("y") * F.col(width) + F.col("x") + 1).cast("int")).cast("double").alias("value"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from ..functions.columns import seed_of
 #: Trajectories of each family for a scene, next to ten interpolated ones.
 FAMILIES = {"orbit": 4, "spiral": 4, "dolly": 4, "flythrough": 4, "random_walk": 4, "crane": 3, "pendulum": 3, "compound": 4}
 INTERPOLATED = 10
+#: Frames that one row makes at a time.
+_BLOCK = 4096
 
 
 def jobs(sources: DataFrame, name: str, target: str, smoke: bool = False) -> DataFrame:
@@ -88,13 +91,19 @@ def random_walk(rows: DataFrame, key: str, frames: int, radius: str) -> DataFram
     return every.select(key, "t", *[F.sum(F.col(radius) / 50 * normal(F.col(key), F.col("t"), a)).over(w).alias(a) for a in "xyz"])
 
 
-def waypoints(points: DataFrame, key: str, place: str, coordinates: list[str], frames: int) -> DataFrame:
-    """key, t and the coordinates on the straight pieces between the points, which are evenly spaced in time; one point stays put."""
+def waypoints(points: DataFrame, key: str, place: str, coordinates: list[str], frames: int | Callable[[Column], Column]) -> DataFrame:
+    """key, t and the coordinates on the straight pieces between the points, which are evenly spaced in time; one point stays put.
+
+    frames may be a function of a key's number of points. Frames are dealt in blocks and meet their points by place: a key
+    of any length is in no task as a whole. Places are 0, 1, 2, ...
+    """
     n = points.groupBy(key).agg(F.count("*").alias("__n"))
-    grid = n.select(key, "__n", F.explode(F.sequence(F.lit(0), F.lit(frames - 1))).alias("t")).withColumn("__s", F.col("t") * (F.col("__n") - 1) / F.lit(float(max(1, frames - 1))))
+    last = F.greatest(F.lit(0), (frames(F.col("__n")) if callable(frames) else F.lit(frames)) - 1).cast("int")
+    grid = n.select(key, "__n", last.alias("__last")).withColumn("__from", F.explode(F.sequence(F.lit(0), "__last", F.lit(_BLOCK))))
+    grid = grid.withColumn("t", F.explode(F.sequence("__from", F.least("__last", F.col("__from") + (_BLOCK - 1))))).withColumn("__s", F.col("t") * (F.col("__n") - 1) / F.greatest(F.lit(1), "__last").cast("double"))
     grid = grid.withColumn(place, F.least(F.floor("__s"), F.greatest(F.col("__n") - 2, F.lit(0))).cast("int"))
-    w = Window.partitionBy(key).orderBy(place)
-    ends = points.select(key, F.col(place).cast("int").alias(place), *[F.col(c) for c in coordinates], *[F.coalesce(F.lead(c).over(w), F.col(c)).alias(f"__{c}") for c in coordinates])
+    here = points.select(key, F.col(place).cast("int").alias(place), *coordinates)
+    ends = here.join(here.select(key, (F.col(place) - 1).alias(place), *[F.col(c).alias(f"__{c}") for c in coordinates]), [key, place], "left").withColumns({f"__{c}": F.coalesce(f"__{c}", c) for c in coordinates})
     part = F.col("__s") - F.col(place)
     return grid.join(ends, [key, place]).select(key, "t", *[(F.col(c) + (F.col(f"__{c}") - F.col(c)) * part).alias(c) for c in coordinates])
 

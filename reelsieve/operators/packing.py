@@ -5,24 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..steps import written
 
-def place(df: DataFrame, *order: str, out: str = "rn", ranges: int = 64) -> DataFrame:
-    """Row numbers 1, 2, ... over the whole table without a single-task sort.
 
-    Rows are dealt to ranges of the first order column by its percentiles; numbers within a range follow from the counts of
-    the ranges before.
+def place(df: DataFrame, *order: str, out: str = "rn") -> DataFrame:
+    """Row numbers 1, 2, ... over the whole table in the order of its columns `order` (of any type, nulls first), without a single-task sort.
+
+    Spark's range partitions, as many as the session and AQE choose, are sorted and written; a row's number is its place in
+    its partition behind the rows of those before. Rows that agree in all of order follow each other in any way, but the
+    same one whenever the result is read; they lie in one partition, so name a key last where many rows agree.
     """
-    first = order[0]
-    edges = sorted(set(df.approxQuantile(first, [i / ranges for i in range(1, ranges)], 0.005))) if dict(df.dtypes)[first] in ("bigint", "int", "double", "float", "smallint") else []
-    part = F.lit(0)
-    for e in edges:
-        part = part + F.when(F.col(first) > e, 1).otherwise(0)
-    rows = df.withColumn("__part", part)
-    sizes = rows.groupBy("__part").agg(F.count("*").alias("__size"))
-    w = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    before = sizes.select("__part", F.coalesce(F.sum("__size").over(w), F.lit(0)).alias("__before"))  # at most `ranges` rows
-    inside = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
-    return rows.withColumn("__in", inside).join(F.broadcast(before), "__part").withColumn(out, (F.col("__in") + F.col("__before")).cast("long")).drop("__part", "__in", "__before")
+    part, row, before = (f"__{x}_{out}" for x in ("part", "row", "before"))
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = written(rows.select("*", F.spark_partition_id().alias(part), F.monotonically_increasing_id().alias(row)), "placed")
+    sizes = rows.groupBy(part).agg(F.count("*").alias("n"), F.min(row).alias("low"))
+    # One row for each partition: this window is as small as the number of partitions.
+    ahead = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(part, (F.coalesce(F.sum("n").over(ahead), F.lit(0)) - F.col("low") + 1).alias(before))
+    return rows.join(F.broadcast(starts), part).withColumn(out, F.col(row) + F.col(before)).drop(part, row, before)
 
 
 def shard_of(rn: Column, capacity: int) -> Column:

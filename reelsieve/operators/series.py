@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -267,7 +267,7 @@ def smoothed(df: DataFrame, key: str, t: str, value: str, sigma: float, out: str
     return rows.select(key, t, F.when(F.col("__n") < 3, F.col("__v")).otherwise(total).alias(out))
 
 
-def resampled(df: DataFrame, key: str, k: str, values: list[str], frames: int) -> DataFrame:
+def resampled(df: DataFrame, key: str, k: str, values: list[str], frames: int | Callable[[Column], Column]) -> DataFrame:
     """K known rows per key stretched evenly over 0 ... frames - 1: one row is repeated, as many as frames are copied, others interpolated."""
     from .generators import waypoints
 

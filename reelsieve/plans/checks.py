@@ -7,12 +7,13 @@ for samples, their sources for groups. Floats are rounded on both sides.
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import generators, geometry, hooks, merge, sampling, series, validation
+from ..operators import colour, generators, geometry, hooks, merge, sampling, scenes, series, validation
 from .registry import query
 
 
@@ -223,6 +224,11 @@ def _normal_sql(k: str, a: str) -> str:
     return f"sqrt(-2 * ln({u[0]})) * cos(2 * pi() * {u[1]})"
 
 
+def _path_normal_sql(parts: str, a: str) -> str:
+    u = [f"((('0x' || substr(sha1({parts} || ':{a}:{end}'), 1, 8))::BIGINT + 1) / 4294967297.0::DOUBLE)" for end in "ab"]
+    return f"(sqrt(-2 * ln({u[0]})) * cos(2 * pi() * {u[1]}))"
+
+
 _SCENE_SQL = f"""
     WITH n AS (SELECT n_nationkey, 1.0::DOUBLE + n_regionkey AS r, 0.5::DOUBLE * n_nationkey AS cx, 1.0::DOUBLE AS cy, -2.0::DOUBLE AS cz, n_nationkey + 3.0::DOUBLE AS ax, 4.0::DOUBLE AS ay, 1.0::DOUBLE AS az, {', '.join(_normal_sql('0', a) + ' AS g' + a for a in 'xyz')} FROM nation),
     m AS (SELECT *, sqrt(gx * gx + gy * gy + gz * gz) AS gl, sqrt((cx - ax) ** 2 + (cy - ay) ** 2 + (cz - az) ** 2) AS al FROM n),
@@ -285,16 +291,16 @@ def look_at_poses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("n_nationkey", "t", _r(F.col("p")[0]).alias("right_x"), _r(F.col("p")[8]).alias("right_z"), _r(F.col("p")[2]).alias("forward_x"), _r(F.col("p")[10]).alias("forward_z"))
 
 
-_POINTS_SQL = "WITH o AS (SELECT c_nationkey AS scene, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS nr, c_acctbal AS v FROM customer), p AS (SELECT scene, nr - 1 AS k, v FROM o WHERE nr <= 6), n AS (SELECT scene, count(*) AS n FROM p GROUP BY 1)"
+_POINTS_SQL = "WITH p AS (SELECT c_nationkey AS scene, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS k, c_acctbal AS v FROM customer), n AS (SELECT scene, count(*) AS n FROM p GROUP BY 1)"
 
 
 @query(_POINTS_SQL + """,
-    g AS (SELECT scene, n, unnest(generate_series(0, 40))::INT AS t FROM n), a AS (SELECT *, t * (n - 1) / 40.0::DOUBLE AS s, least(floor(t * (n - 1) / 40.0::DOUBLE), greatest(n - 2, 0)) AS i FROM g)
+    g AS (SELECT scene, n, unnest(generate_series(0, 4 * (n - 1)))::INT AS t FROM n), a AS (SELECT *, t / 4.0::DOUBLE AS s, least(floor(t / 4.0::DOUBLE), greatest(n - 2, 0)) AS i FROM g)
     SELECT a.scene, t, round(p.v + (coalesce(q.v, p.v) - p.v) * (s - i), 6) + 0.0 AS v FROM a JOIN p ON p.scene = a.scene AND p.k = i LEFT JOIN p q ON q.scene = a.scene AND q.k = i + 1""")
 def waypoint_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Positions between evenly spaced waypoints; the same stretches per-frame intrinsics."""
-    rows = series.numbered(_t(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("scene"), "c_custkey", F.col("c_acctbal").alias("v")), "scene", "c_custkey", out="k").where("k < 6")
-    return series.resampled(rows, "scene", "k", ["v"], 41).select("scene", "t", _r("v").alias("v"))
+    """Positions between all of a scene's evenly spaced waypoints, four frames for each piece; the same stretches per-frame intrinsics."""
+    rows = series.numbered(_t(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("scene"), "c_custkey", F.col("c_acctbal").alias("v")), "scene", "c_custkey", out="k")
+    return series.resampled(rows, "scene", "k", ["v"], lambda n: 4 * (n - 1) + 1).select("scene", "t", _r("v").alias("v"))
 
 
 @query("SELECT n_nationkey, t::INT AS t, round(500 + 400 * t / 48.0, 6) AS focal, round(t * 0.1, 6) AS x FROM nation, (SELECT unnest(generate_series(0, 48)) AS t)")
@@ -304,6 +310,36 @@ def zoom_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("n_nationkey", "t", _r(generators.zoom_focal(F.col("t"), 49, 500.0, 900.0)).alias("focal"), _r(F.col("pose")[3]).alias("x"))
 
 
+_PATHS_SQL = f"""
+    WITH cam AS (SELECT c_nationkey AS s, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS i, c_acctbal / 777 AS x, (c_custkey % 7)::DOUBLE AS y, (c_custkey % 11)::DOUBLE AS z FROM customer),
+    box AS (SELECT s, count(*) AS n, {', '.join(f'avg({a}) AS c{a}, min({a}) AS l{a}, max({a}) AS h{a}' for a in 'xyz')} FROM cam GROUP BY 1),
+    st AS (SELECT box.*, r FROM box JOIN (SELECT s, quantile_cont(sqrt((x - cx) ** 2 + (y - cy) ** 2 + (z - cz) ** 2), 0.5) AS r FROM cam JOIN box USING (s) GROUP BY 1) USING (s)),
+    f AS (SELECT family, unnest(generate_series(0, n - 1)) AS k FROM (VALUES ('interpolation', {generators.INTERPOLATED}), {', '.join(f"('{f}', {n})" for f, n in generators.FAMILIES.items())}) v(family, n)),
+    j AS (SELECT *, s || ':' || family || ':' || k AS id, ('0x' || substr(sha1(s || ':' || family || ':' || k || ':camera'), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM st, f),
+    t AS (SELECT unnest(generate_series(0, 48))::INT AS t),
+    w AS (SELECT j.id, q.j, x, y, z FROM j, (SELECT unnest(generate_series(0, {scenes.WAYPOINTS - 1})) AS j) q, cam WHERE family = 'interpolation' AND q.j < least(n, {scenes.WAYPOINTS}) AND cam.s = j.s AND cam.i = floor((u + q.j) * n / least(n, {scenes.WAYPOINTS}))),
+    g AS (SELECT j.*, t.t, t.t * (least(n, {scenes.WAYPOINTS}) - 1) / 48.0::DOUBLE AS e, least(floor(t.t * (least(n, {scenes.WAYPOINTS}) - 1) / 48.0::DOUBLE), greatest(least(n, {scenes.WAYPOINTS}) - 2, 0)) AS p FROM j, t WHERE family = 'interpolation'),
+    gi AS (SELECT g.* EXCLUDE (e, p), {', '.join(f'a.{a} + (coalesce(b.{a}, a.{a}) - a.{a}) * (e - p) AS {a}' for a in 'xyz')} FROM g JOIN w a ON a.id = g.id AND a.j = p LEFT JOIN w b ON b.id = g.id AND b.j = p + 1),
+    d AS (SELECT j.*, x AS ax, y AS ay, z AS az, {', '.join(_path_normal_sql('id', a) + ' AS g' + a for a in 'xyz')} FROM j JOIN cam ON cam.s = j.s AND cam.i = floor(u * n) WHERE family <> 'interpolation'),
+    v AS (SELECT *, {', '.join(f'g{a} / sqrt(gx * gx + gy * gy + gz * gz) AS d{a}, (c{a} - a{a}) / greatest(sqrt((cx - ax) ** 2 + (cy - ay) ** 2 + (cz - az) ** 2), 1e-6) AS t{a}' for a in 'xyz')} FROM d),
+    m AS (SELECT v.*, t.t, t.t / 48.0::DOUBLE AS e, 2 * pi() * (t.t / 48.0::DOUBLE) AS w FROM v, t),
+    k AS (SELECT *, {', '.join(f"sum(r / 50 * {_path_normal_sql("id || ':' || t", a)}) OVER (PARTITION BY id ORDER BY t) AS k{a}" for a in 'xyz')} FROM m WHERE family = 'random_walk'),
+    al AS (SELECT s, family, k, t, cx, cy, cz, {', '.join(f'l{a}, h{a}' for a in 'xyz')}, x, y, z FROM gi
+        UNION ALL SELECT s, family, k, t, cx, cy, cz, {', '.join(f'l{a}, h{a}' for a in 'xyz')}, ax + kx, ay + ky, az + kz FROM k
+        {' '.join(f"UNION ALL SELECT s, family, k, t, cx, cy, cz, {', '.join(f'l{a}, h{a}' for a in 'xyz')}, {re.sub(r'(?<![a-z])s(?![a-z])', 'e', x)} FROM m WHERE family = '{f}'" for f, x in _FAMILY_SQL.items())}),
+    c AS (SELECT s, family, k, t, cx, cy, cz, {', '.join(f'least(greatest({a}, l{a} - (h{a} - l{a}) * 0.1), h{a} + (h{a} - l{a}) * 0.1) AS {a}' for a in 'xyz')} FROM al)"""
+
+
+@query(_PATHS_SQL + f"""
+    SELECT s AS scene, family, k::INT AS k, t, {', '.join(f'round({a}, 6) + 0.0 AS {a}' for a in 'xyz')}, {', '.join(f'round((c{a} - {a}) / greatest(sqrt((cx - x) ** 2 + (cy - y) ** 2 + (cz - z) ** 2), 1e-6), 6) + 0.0 AS forward_{a}' for a in 'xyz')} FROM c""")
+def scene_trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 40 trajectories of every scene, frame by frame: positions and where the camera looks."""
+    n = F.col("c_custkey")
+    cameras = _t(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("scene"), "c_custkey", (F.col("c_acctbal") / 777).alias("x"), (n % 7).cast("double").alias("y"), (n % 11).cast("double").alias("z"))
+    rows = scenes.trajectories(cameras, "scene", "c_custkey", 49)
+    return rows.select("scene", "family", "k", "t", *[_r(a).alias(a) for a in "xyz"], *[_r(F.col("pose")[4 * i + 2]).alias(f"forward_{a}") for i, a in enumerate("xyz")])
+
+
 # --- scales -------------------------------------------------------------------------------------------------------------
 
 _ORDERS_SQL = "SELECT l_suppkey % 20 AS clip, l_orderkey % 30 AS t, l_extendedprice / l_quantity AS b, 1000.0::DOUBLE + l_linenumber AS a FROM lineitem WHERE l_quantity > 0"
@@ -440,8 +476,10 @@ def hooked_where_needed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hooks.only_where(_t(spark, sf_dir, "events").select("event_id", "event_type", "value"), F.col("event_type") == "click", "double_value", "score", "value").select("event_id", "score")
 
 
-@query("SELECT x.vec_id, j.i * 8 + 1 AS at, round(x.embedding[j.i * 8 + 1]::DOUBLE, 6) AS v FROM embeddings x, (SELECT unnest(generate_series(0, 7))::INT AS i) j")
+@query("""
+    WITH g AS (SELECT unnest(generate_series(0, 4))::INT AS i), p AS (SELECT i, i * 7 // 4 AS at FROM g)
+    SELECT x.vec_id, a.i AS gy, b.i AS gx, round(x.embedding[a.at * 8 + b.at + 1]::DOUBLE, 6) AS v FROM embeddings x, p a, p b WHERE len(x.embedding) = 64""")
 def grid_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Values of a raster on an even grid."""
-    rows = _t(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("i"))
-    return rows.select("vec_id", (F.col("i") * 8 + 1).alias("at"), _r(F.element_at("embedding", F.col("i") * 8 + 1).cast("double")).alias("v"))
+    """Values of every raster of 8 rows and 8 columns on an even grid of 5 by 5."""
+    rows = _t(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.lit(8).alias("height"), F.lit(8).alias("width"))
+    return colour.grid_sample(rows, ["vec_id"], "embedding", "height", "width", 5).select("vec_id", "gy", "gx", _r("value").alias("v"))

@@ -797,12 +797,6 @@ def motion_orbit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("n_nationkey", "t", (_r(x) + 0.0).alias("x"), (_r(z) + 0.0).alias("z"))
 
 
-@query("SELECT n_nationkey, count(*) AS n FROM nation, (SELECT unnest(generate_series(1, 40))) GROUP BY 1")
-def scene_trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trajectories per scene."""
-    return generators.trajectories(_t(spark, sf_dir, "nation"), "n_nationkey").groupBy("n_nationkey").agg(F.count("*").alias("n"))
-
-
 @query(f"""
     WITH r AS (SELECT * FROM {_values(rule_rows(), 'source, metric, lo, hi')}), n AS (SELECT source, row_number() OVER (ORDER BY source) - 1 AS k FROM (SELECT DISTINCT source FROM r)),
     d AS (SELECT n.source, doc_id, (n_chars % 130)::DOUBLE AS score FROM documents JOIN n ON doc_id % {len(RULES)} = k)
