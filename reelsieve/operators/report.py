@@ -42,8 +42,20 @@ def svg_histogram(counts: list[int], width: int = 400, height: int = 120) -> str
     return f'<svg width="{width}" height="{height}">{boxes}</svg>'
 
 
-def html(df: DataFrame, title: str, counts: list[int] | None = None) -> str:
-    rows = _rows(df)
+def _table(df: DataFrame) -> str:
     head = "".join(f"<th>{escape(c)}</th>" for c in df.columns)
-    body = "".join("<tr>" + "".join(f"<td>{escape('' if x is None else str(x))}</td>" for x in r) + "</tr>" for r in rows)
-    return f"<!DOCTYPE html><html><head><title>{escape(title)}</title></head><body><h1>{escape(title)}</h1>{svg_histogram(counts) if counts else ''}<table><tr>{head}</tr>{body}</table></body></html>"
+    body = "".join("<tr>" + "".join(f"<td>{escape('' if x is None else str(x))}</td>" for x in r) + "</tr>" for r in _rows(df))
+    return f"<table><tr>{head}</tr>{body}</table>"
+
+
+def _document(title: str, body: str) -> str:
+    return f"<!DOCTYPE html><html><head><title>{escape(title)}</title></head><body><h1>{escape(title)}</h1>{body}</body></html>"
+
+
+def html(df: DataFrame, title: str, counts: list[int] | None = None) -> str:
+    return _document(title, (svg_histogram(counts) if counts else "") + _table(df))
+
+
+def pages(title: str, sections: list[tuple[str, DataFrame]]) -> str:
+    """One document with a heading and a table for each section."""
+    return _document(title, "".join(f"<h2>{escape(name)}</h2>{_table(df)}" for name, df in sections))

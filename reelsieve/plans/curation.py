@@ -646,7 +646,7 @@ _STRIP_SQL = "|".join(map(C.verb_pattern, _STRIP))
 def strip_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Captions without offending sentences (as a digest, with the number of sentences)."""
     text = F.col("text")
-    return _t(spark, sf_dir, "documents").select("doc_id", F.md5(C.strip_sentences(text, _STRIP, None)).alias("kept"), F.size(F.split(C.trimmed(text), r"(?<=[.!?])\s+")).cast("long").alias("n"))
+    return _t(spark, sf_dir, "documents").select("doc_id", F.md5(C.strip_sentences(text, _STRIP, None)).alias("kept"), (F.regexp_count(C.trimmed(text), F.lit(r"[.!?]\s")) + 1).cast("long").alias("n"))
 
 
 _PHRASES = (r"\bthe\s+\w+ing\b", r"\bof\s+(?:the|a)\b", r"\bthat\s+on\b")

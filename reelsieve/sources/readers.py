@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..config import MEMBERS
 from ..functions.columns import member_parts, sample_key
 
 #: One sample's first-stage record.
@@ -92,6 +93,25 @@ def sample_index(files: DataFrame, members: tuple[str, ...]) -> DataFrame:
     return one.groupBy("sample_id").agg(F.map_from_entries(F.collect_list(F.struct("ext", "path"))).alias("paths"), F.count("*").alias("n_files"), F.sum("length").alias("bytes"))
 
 
+def sample_paths(files: DataFrame, done: DataFrame | None = None, members: tuple[str, ...] = MEMBERS, required: tuple[str, ...] = ("mp4", "caption.txt")) -> DataFrame:
+    """Where the files of each unpacked sample are: sample_id, shard_dir, a path column for each member, and `missing`.
+
+    files: path. A sample is an mp4 in a folder final_wds-*/wds-*/w*/shard-*; of several the last in the order of paths counts.
+    Paths are those that its members have to have; `missing` holds the paths of required members that aren't there. done:
+    sample_id of the complete samples, the only ones to be kept; an empty table or none keeps all.
+    """
+    sample, ext = member_parts(F.col("path"), members)
+    folder = F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
+    rows = files.select(folder.alias("shard_dir"), sample.alias("sample_id"), ext.alias("ext"))
+    rows = rows.where(F.col("shard_dir").rlike(r"(?:^|/)final_wds-[^/]*/wds-[^/]*/w[^/]*/shard-[^/]*$") & F.col("ext").isin(*members))
+    there = rows.groupBy("sample_id", "shard_dir").agg(*[F.max(F.col("ext") == m).alias(f"_{k}") for k, m in enumerate(members)])
+    last = there.where(f"_{members.index('mp4')}").groupBy("sample_id").agg(F.max(F.struct("shard_dir", *[f"_{k}" for k in range(len(members))])).alias("s"))
+    path = {m: F.concat("s.shard_dir", F.lit("/"), "sample_id", F.lit(f".{m}")) for m in members}
+    lost = F.array_compact(F.array(*[F.when(~F.col(f"s._{k}"), path[m]) for k, m in enumerate(members) if m in required]))
+    out = last.select("sample_id", "s.shard_dir", *[path[m].alias(m.replace(".", "_")) for m in members], lost.alias("missing"))
+    return out if done is None or done.isEmpty() else out.join(done.select("sample_id"), "sample_id", "left_semi")
+
+
 def shard_parts(path: Column) -> dict[str, Column]:
     """Dataset, worker and shard of `.../final_wds-X/wds-X/w000/shard-000000.tar`."""
     return {"dataset": F.regexp_extract(path, r"/final_(wds-[^/]+)/", 1), "worker": F.regexp_extract(path, r"/(w\d+)/[^/]*$", 1), "shard": F.regexp_extract(path, r"([^/]+)\.tar$", 1)}
