@@ -25,7 +25,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _load() -> None:
-    from . import checks, curation, records, reviews  # noqa: F401  register their queries
+    from . import checks, curation, poses, records, reviews  # noqa: F401  register their queries
 
 
 def queries() -> dict[str, Query]:
