@@ -103,3 +103,30 @@ def test_clean_rows_of_a_repeated_id_stay(spark, docs):
     rows = [(None, item), (None, "a clean text"), (None, None), (5, "before " + item + " after"), (5, "another clean text"), (6, item), (7, "")]
     got = sorted(((r.doc_id, r.text) for r in decontam.clean(docs(rows), benchmark).collect()), key=repr)
     assert got == sorted([(None, "a clean text"), (None, None), (5, "another clean text"), (7, "")], key=repr)
+
+
+def test_what_each_step_passes_on(monkeypatch):
+    """Windows come from shared shingles, the blocks keep all within the radius, and exact similarity decides: counted on planted texts."""
+    rows, items = planted()
+    bench = decontam.Benchmark([(i, t) for i, t in items if t])
+    n = Counter()
+    near, verify = decontam.BlockIndex.near, decontam.Benchmark._verify
+
+    def counted(self, prints):
+        within = np.bitwise_count(prints[:, None] ^ self.prints[None, :]) <= decontam.RADIUS
+        found = near(self, prints)
+        n.update(windows=len(prints), pairs=within.size, within=int(within.sum()), near=sum(len(at) for at, _ in found))
+        return found
+
+    def verified(self, *given):
+        found = verify(self, *given)
+        n.update(verified=len(found))
+        return found
+
+    monkeypatch.setattr(decontam.BlockIndex, "near", counted)
+    monkeypatch.setattr(decontam.Benchmark, "_verify", verified)
+    texts = [t or "" for _, t in rows]
+    bench.search(texts)
+    every = sum(max(0, len(words(t)) - size + 1) for t in texts for size in bench.index)
+    assert n["near"] == n["within"]  # the blocks lose nothing that the radius holds
+    assert n["verified"] < n["near"] < n["pairs"] and n["windows"] < every / 2
