@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from ..functions import columns as C
 from ..steps import written
 
 
@@ -241,11 +242,14 @@ def resampled_index(i: Column, fps: float, n: Column, target: float = 16.0) -> C
 
 
 def focal_tracking(df: DataFrame, key: str, truth: str, found: str, slack: float = -5.0) -> DataFrame:
-    """Per key: MAE, MAPE, ratio of the ranges, and whether the found track rises (no drop beyond the slack)."""
+    """Per key: MAE, MAPE, ratio of the ranges, and whether the found track rises (no drop beyond the slack).
+
+    Quotients are IEEE's: a zero truth makes the MAPE infinite, or NaN where the found value is zero too.
+    """
     w = Window.partitionBy(key).orderBy("t")
     e = F.abs(F.col(found) - F.col(truth))
-    rows = df.select(key, e.alias("e"), F.try_divide(e, F.abs(F.col(truth))).alias("p"), truth, found, (F.col(found) - F.lag(found).over(w)).alias("d"))
-    return rows.groupBy(key).agg(F.avg("e").alias("mae"), (100 * F.avg("p")).alias("mape"), F.try_divide(F.max(found) - F.min(found), F.max(truth) - F.min(truth)).alias("range_ratio"), F.coalesce(F.min("d") > slack, F.lit(True)).alias("monotonic"))
+    rows = df.select(key, e.alias("e"), C.quotient(e, F.abs(F.col(truth))).alias("p"), truth, found, (F.col(found) - F.lag(found).over(w)).alias("d"))
+    return rows.groupBy(key).agg(F.avg("e").alias("mae"), (100 * F.avg("p")).alias("mape"), C.quotient(F.max(found) - F.min(found), F.max(truth) - F.min(truth)).alias("range_ratio"), F.coalesce(F.min("d") > slack, F.lit(True)).alias("monotonic"))
 
 
 def smoothed(df: DataFrame, key: str, t: str, value: str, sigma: float, out: str = "value") -> DataFrame:

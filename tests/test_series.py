@@ -66,3 +66,12 @@ def test_ema_of_a_hot_clip_in_parts(spark, monkeypatch, momentum, parts):
             key = lambda e: (e is not None, e or 0)
             for x, y in zip(sorted(got[k], key=key), sorted(es, key=key), strict=True):
                 assert (x is None) == (y is None) and (x is None or math.isclose(x, y, rel_tol=1e-9)), (k, x, y)
+
+
+def test_focal_tracking_divides_as_ieee_does(spark):
+    clips = {1: [(0.0, 2.0), (4.0, 5.0)], 2: [(0.0, 0.0), (4.0, 5.0)], 3: [(3.0, 3.0)], 4: [(2.0, 1.0), (2.0, 3.0)], 5: [(2.0, 1.0), (4.0, 3.0)], 6: [(None, 1.0)]}
+    df = spark.createDataFrame([(c, t, *x) for c, xs in clips.items() for t, x in enumerate(xs)], "clip int, t int, truth double, found double")
+    got = {r.clip: (r.mae, r.mape, r.range_ratio) for r in series.focal_tracking(df, "clip", "truth", "found").collect()}
+    nan, inf = math.nan, math.inf
+    want = {1: (1.5, inf, 0.75), 2: (0.5, nan, 1.25), 3: (0.0, 0.0, nan), 4: (1.0, 50.0, inf), 5: (1.0, 37.5, 1.0), 6: (None, None, None)}
+    assert {c: tuple(map(str, x)) for c, x in got.items()} == {c: tuple(map(str, x)) for c, x in want.items()}
