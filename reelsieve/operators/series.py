@@ -252,6 +252,13 @@ def focal_tracking(df: DataFrame, key: str, truth: str, found: str, slack: float
     return rows.groupBy(key).agg(F.avg("e").alias("mae"), (100 * F.avg("p")).alias("mape"), C.quotient(F.max(found) - F.min(found), F.max(truth) - F.min(truth)).alias("range_ratio"), F.coalesce(F.min("d") > slack, F.lit(True)).alias("monotonic"))
 
 
+def ordered_mean(df: DataFrame, key: str, order: list[str], value: str, out: str = "mean") -> DataFrame:
+    """key and the mean of its values that aren't null, added up in the given order: the last digit doesn't depend on how the rows are dealt over tasks."""
+    so_far = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = df.select(key, F.struct(F.count("*").over(so_far).alias("k"), F.sum(value).over(so_far).alias("sum"), F.count(value).over(so_far).alias("n")).alias("__s"))
+    return rows.groupBy(key).agg(F.max("__s").alias("__s")).select(key, F.try_divide("__s.sum", "__s.n").alias(out))
+
+
 def smoothed(df: DataFrame, key: str, t: str, value: str, sigma: float, out: str = "value") -> DataFrame:
     """key, t and the Gaussian mean of the frames around, with repeated edges, by lags and leads: a clip is never gathered.
 

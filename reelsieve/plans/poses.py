@@ -80,6 +80,6 @@ def probed_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT user_id, coalesce(printf('%.6f', m), 'N/A') AS metres, coalesce(printf('%.2f', m * 1000), 'N/A') AS millimetres, coalesce(printf('%.4f', m / 7), 'N/A') AS ssim FROM (SELECT user_id, avg(value) FILTER (event_type = 'error') / 7 AS m FROM events GROUP BY 1)""")
 def metric_display(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics as a report shows them."""
-    m = F.avg(F.when(F.col("event_type") == "error", F.col("value"))) / 7
-    rows = _t(spark, sf_dir, "events").groupBy("user_id").agg(m.alias("m"))
+    events = _t(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.when(F.col("event_type") == "error", F.col("value")).alias("value"))
+    rows = series.ordered_mean(events, "user_id", ["ts", "event_id"], "value").select("user_id", (F.col("mean") / 7).alias("m"))
     return rows.select("user_id", C.fixed(F.col("m"), 6).alias("metres"), C.fixed(F.col("m"), 2, 1000).alias("millimetres"), C.fixed(F.col("m") / 7, 4).alias("ssim"))

@@ -92,3 +92,10 @@ def test_probes(spark):
 def test_formats(spark):
     df = spark.createDataFrame([(1.23456789,), (None,)], "x double")
     assert [tuple(r) for r in df.select(C.fixed(F.col("x"), 6), C.fixed(F.col("x"), 2, 1000)).collect()] == [("1.234568", "1234.57"), ("N/A", "N/A")]
+
+
+def test_formats_round_the_exact_value_half_to_even(spark):
+    numbers = [9.105625, 6.97375 / 7, 0.125, 0.375, 2.5e-3, -0.001, 1e23, 2.0**60 + 256, 1234567890123.4567, float("nan"), float("inf"), float("-inf")]
+    df = spark.createDataFrame([(x,) for x in numbers], "x double").coalesce(1)
+    for digits, factor in ((2, 1000), (2, 1), (4, 1), (6, 1)):
+        assert [r.f for r in df.select(C.fixed(F.col("x"), digits, factor).alias("f")).collect()] == ["%.*f" % (digits, x * factor) for x in numbers]

@@ -4,6 +4,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from reelsieve.operators import series
 
@@ -75,3 +76,17 @@ def test_focal_tracking_divides_as_ieee_does(spark):
     nan, inf = math.nan, math.inf
     want = {1: (1.5, inf, 0.75), 2: (0.5, nan, 1.25), 3: (0.0, 0.0, nan), 4: (1.0, 50.0, inf), 5: (1.0, 37.5, 1.0), 6: (None, None, None)}
     assert {c: tuple(map(str, x)) for c, x in got.items()} == {c: tuple(map(str, x)) for c, x in want.items()}
+
+
+def test_ordered_mean_adds_up_in_order(spark):
+    draw = random.Random(4)
+    clips = {c: [None if draw.random() < 0.1 else draw.choice([1e16, -1e16, draw.random(), 0.1]) for _ in range(draw.randint(1, 60))] for c in range(40)} | {90: [None], 91: [0.1, None]}
+    df = spark.createDataFrame([(c, t, x) for c, xs in clips.items() for t, x in enumerate(xs)], "clip int, t int, x double")
+    want = {}
+    for c, xs in clips.items():
+        total = 0.0
+        for x in (some := [x for x in xs if x is not None]):
+            total += x  # sum() compensates
+        want[c] = total / len(some) if some else None
+    for parts in (1, 7):
+        assert {r.clip: r.m for r in series.ordered_mean(df.orderBy(F.rand(parts)).repartition(parts), "clip", ["t"], "x", "m").collect()} == want
