@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import vectors
-from .common import apart, hex64, materialize, texts
+from .common import apart, discard, hex64, materialize, texts
 from .graph import components
 
 SEGMENTS, SEGMENT_BITS = 2, 32
@@ -106,10 +106,10 @@ def near_duplicate_groups(df: DataFrame, id_col: str = "doc_id", text_col: str =
 
 # --- Groups by similarity of shingle sets -------------------------------------------------------------------------------
 #
-# Texts whose 5-word shingles have a Jaccard index of 0.8 differ in 9 bits of 64 on average and in up to 18: no table of
-# Hamming balls finds them all. Candidates for a similarity threshold are therefore found by min-wise samples of the
-# shingles (bands of rows that agree wholly) and verified by the exact index. Only pairs whose sets' sizes rule the
-# similarity out aren't verified; a SimHash distance rules nothing out.
+# The fingerprints' Hamming tables give the closest candidates. Texts whose 5-word shingles have a Jaccard index of 0.8
+# differ in 9 bits of 64 on average and in up to 18, where no table of Hamming balls finds them all: candidates farther
+# apart come from min-wise samples of the shingles (bands of rows that agree wholly). Both kinds are verified by the exact
+# index. Only pairs whose sets' sizes rule the similarity out aren't verified; a SimHash distance rules nothing out.
 
 BANDS, ROWS = 16, 3
 #: Up to so many members of a bucket are compared each with each; in a larger one each is compared with three of them first.
@@ -136,8 +136,21 @@ def signatures(some: list[str], width: int) -> Iterator[tuple[int, int, np.ndarr
             yield xxhash.xxh64_intdigest(hashes[a:b].tobytes()) - (1 << 63), len(np.unique(parts[i])), keys[:, i].view("<i8")
 
 
-def similar_pairs(points: DataFrame, min_similarity: float) -> tuple[DataFrame, DataFrame]:
-    """Pairs a, b of w that share a band and whose sizes allow the similarity, and the members key, w of the crowded bands; points: w (hash of the word sequence), size (of the shingle set), bands.
+def hamming_pairs(points: DataFrame, radius: int = 2) -> DataFrame:
+    """Pairs a, b of w that the Hamming tables find, enough to connect all w with fingerprints at most radius apart; points: w, fp.
+
+    Each w is paired with the smallest of its own fingerprint, and these stand for the fingerprints in the tables.
+    """
+    prints = materialize(points.groupBy("fp").agg(F.min("w").alias("rep"), F.count("*").alias("n")), "prints")
+    many = prints.where("n > 1").select("fp", "rep")
+    own = points.select("w", "fp").join(many, "fp").where("w != rep").select(F.col("rep").alias("a"), F.col("w").alias("b"))
+    found = materialize(hamming_links(prints.select("fp", "rep"), radius).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).unionByName(own).distinct(), "near")
+    discard(prints)
+    return found
+
+
+def band_pairs(points: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs a, b of w that share a band, and the members key, w of the crowded bands; points: w (hash of the word sequence), bands.
 
     In a bucket of more than SMALL_BUCKET members each is paired with the two members that share most with others (the
     originals of a large group are in nearly all of its buckets) and with the smallest one: links grow with a group's
@@ -155,10 +168,14 @@ def similar_pairs(points: DataFrame, min_similarity: float) -> tuple[DataFrame,
     stars = materialize(large.join(first, "key"), "stars")
     second = materialize(stars.where("w != hub").groupBy("key").agg(F.max(F.struct("mass", F.bitwise_not("w").alias("r"))).alias("top")).select("key", F.bitwise_not("top.r").alias("hub2")), "hubs")
     hung = stars.join(second, "key").select("w", F.explode(F.array_distinct(F.array("hub", "hub2", "low"))).alias("hub")).where("w != hub")
-    pairs = small.unionByName(hung.select(F.least("w", "hub").alias("a"), F.greatest("w", "hub").alias("b"))).distinct()
+    return small.unionByName(hung.select(F.least("w", "hub").alias("a"), F.greatest("w", "hub").alias("b"))), large.select("key", "w")
+
+
+def allowed(pairs: DataFrame, points: DataFrame, min_similarity: float) -> DataFrame:
+    """The different pairs a, b whose sets' sizes allow the similarity; points: w, size (of the shingle set)."""
     sizes = points.select("w", "size")
-    pairs = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
-    return pairs.where(F.least("na", "nb") >= F.lit(min_similarity) * F.greatest("na", "nb") - 1e-9).select("a", "b"), large.select("key", "w")
+    pairs = pairs.distinct().join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
+    return pairs.where(F.least("na", "nb") >= F.lit(min_similarity) * F.greatest("na", "nb") - 1e-9).select("a", "b")
 
 
 def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -226,7 +243,8 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """doc_id, t (hash of the text), group (smallest doc_id of the group) and group_t (that document's t) for each row.
 
     A link is a Jaccard index of at least min_similarity between two texts' sets of word shingles (A-Z lower-cased; fewer
-    words than width: one shingle of all). Null texts count as empty; texts without words are copies of each other; a
+    words than width: one shingle of all). Candidates come from the Hamming tables of the texts' SimHash fingerprints
+    (three-word shingles, two bits), and, as these reach only the closest, from the bands and the crowded buckets. Null texts count as empty; texts without words are copies of each other; a
     null doc_id is the smallest; an empty table gives an empty result.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -234,13 +252,18 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def sign(batches):
         for batch in batches:
-            got = [x for some in texts(batch.column(2)) for x in signatures(some, width)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x[0] for x in got], pa.int64()), pa.array([x[1] for x in got], pa.int64()), pa.array([x[2] for x in got], pa.list_(pa.int64()))], names=["d", "t", "w", "size", "bands"])
-
-    slim = materialize(docs.mapInArrow(sign, "d long, t long, w long, size long, bands array<long>"), "signatures")
-    points = materialize(slim.select("w", "size", "bands").dropDuplicates(["w"]), "points")
-    pairs, crowds = similar_pairs(points, min_similarity)
-    pairs = materialize(pairs, "pairs")
+            got, prints = [], []
+            for some in texts(batch.column(2)):
+                got += signatures(some, width)
+                prints += [fingerprint(x) for x in some]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x[0] for x in got], pa.int64()), pa.array([x[1] for x in got], pa.int64()), pa.array([x[2] for x in got], pa.list_(pa.int64())), pa.array(prints, pa.int64())], names=["d", "t", "w", "size", "bands", "fp"])
+
+    slim = materialize(docs.mapInArrow(sign, "d long, t long, w long, size long, bands array<long>, fp long"), "signatures")
+    points = materialize(slim.select("w", "size", "bands", "fp").dropDuplicates(["w"]), "points")
+    near = hamming_pairs(points)
+    banded, crowds = band_pairs(points)
+    pairs = materialize(allowed(near.unionByName(banded), points, min_similarity), "pairs")
+    discard(near)
     first = slim.groupBy("w").agg(F.min(F.struct("d", "t")).alias("at"))
 
     def sets(batches):

@@ -194,3 +194,32 @@ def test_rows_without_an_id_link_others_and_ids_with_two_texts_stay_apart(spark,
     least = {r: min((unsigned[i][0] for i, q in enumerate(roots) if q == r and unsigned[i][0] is not None), default=None) for r in roots}
     assert got == sorted(((i, p, least[r]) for (i, p), r in zip(unsigned, roots, strict=True)), key=repr)
     assert [c for i, _, c in got if i == 7] == [7, 7] and {c for i, _, c in got if i in (1, 4)} == {1}
+
+
+def test_keep_one_finds_the_closest_texts_by_the_hamming_tables(docs, monkeypatch):
+    rnd = random.Random(11)
+    texts = []
+    for g in range(6):
+        base = [f"v{rnd.randrange(10**5)}" for _ in range(500)]
+        texts.append(" ".join(base))
+        for _ in range(8):
+            copy = list(base)
+            for _ in range(rnd.choice([1, 1, 2, 20])):
+                copy[rnd.randrange(500)] = f"n{rnd.randrange(10**5)}"
+            texts.append(" ".join(copy))
+    texts += [texts[0].upper(), texts[0], "", " "]
+    prints = [brute_print(t) for t in texts]
+    roots = union(len(texts), [(i, j) for i in range(len(texts)) for j in range(i) if bin(prints[i] ^ prints[j]).count("1") <= 2])
+    want = {min(i for i, r in enumerate(roots) if r == root) for root in set(roots)}
+    assert 10 < len(want) < len(texts) - 10
+    # Without the bands the tables are the only search; every pair within two bits here is similar enough.
+    none = lambda points: (points.selectExpr("w a", "w b").limit(0), points.selectExpr("w key", "w").limit(0))
+    monkeypatch.setattr(simhash, "band_pairs", none)
+    assert {r.doc_id for r in simhash.keep_one(docs(list(enumerate(texts)))).collect()} == want
+
+
+def test_keep_one_checks_what_the_hamming_tables_find(docs):
+    line = " ".join(f"l{k}" for k in range(13))
+    rows = [(i, "\n".join([line] * 400) + f"\n{' '.join(f'o{i}_{k}' for k in range(30))}") for i in range(2)]
+    assert bin(brute_print(rows[0][1]) ^ brute_print(rows[1][1])).count("1") <= 2  # the repeated line decides every bit
+    assert {r.doc_id for r in simhash.keep_one(docs(rows)).collect()} == {0, 1}
