@@ -9,6 +9,8 @@ path's posterior and the global prior.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -22,6 +24,8 @@ BUCKETS = 1 << 18
 MAX_LABELLED = 10_000
 HEAD_BYTES = 6
 MIN_DOCS, LEAST_RATIO, STEPS, RIDGE = 5, 20.0, 300, 1.0
+#: Rows of the fit that are worked on at once.
+_BLOCK = 256
 #: Character kinds whose shares are features: fixed values.
 _KINDS = {"upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": "0123456789", "bar": "|", "symbol": "%$#&*@^~_=+<>{}[]\\", "bang": "!?", "stop": ".,;:", "line": "\n"}
 DENSE = len(_KINDS) + 3
@@ -54,11 +58,20 @@ def features(some: list[str]):
             yield np.unique((np.concatenate(every) % np.uint64(BUCKETS)).astype(np.int32)), dense(some[at + k], hashes[a:b]), int(b - a)
 
 
-def telling(words: np.ndarray, row: np.ndarray, y: np.ndarray) -> np.ndarray:
+def _blocks(rows: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(words, their rows' numbers) of a few hundred rows at a time: all rows' words at once would be the most that the driver holds."""
+    for at in range(0, len(rows), _BLOCK):
+        some = rows[at : at + _BLOCK]
+        yield np.concatenate(some), np.repeat(np.arange(at, at + len(some)), [len(x) for x in some])
+
+
+def telling(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     """Buckets whose presence depends on the label: likelihood ratio of at least LEAST_RATIO, so that chance words stay out."""
     n, ones = len(y), float(y.sum())
-    held = np.bincount(words, minlength=BUCKETS).astype(float)
-    good = np.bincount(words, weights=y[row], minlength=BUCKETS)
+    held, good = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for words, row in _blocks(rows):
+        held += np.bincount(words, minlength=BUCKETS)
+        good += np.bincount(words, weights=y[row], minlength=BUCKETS)
 
     def part(seen: np.ndarray, total: np.ndarray, all_seen: float) -> np.ndarray:
         expected = np.maximum(total * all_seen / max(n, 1), 1e-12)
@@ -71,18 +84,17 @@ def telling(words: np.ndarray, row: np.ndarray, y: np.ndarray) -> np.ndarray:
 def fit(rows: list[np.ndarray], extra: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
     """Logistic models, one for each column of labels, over its telling words and the standardised dense features."""
     n = len(rows)
-    words = np.concatenate(rows) if n else np.zeros(0, dtype=np.int32)
-    row = np.repeat(np.arange(n), [len(x) for x in rows])
     mean, spread = (extra.mean(0), extra.std(0) + 1e-6) if n else (np.zeros(DENSE), np.ones(DENSE))
     z = (extra - mean) / spread
     out = {"mean": mean, "spread": spread, "dense": np.zeros((labels.shape[1], DENSE)), "bias": np.zeros(labels.shape[1])}
     for k in range(labels.shape[1]):
         y = labels[:, k]
-        seen = telling(words, row, y) if n else np.zeros(0, dtype=np.int64)
+        seen = telling(rows, y) if n else np.zeros(0, dtype=np.int64)
         place = np.full(BUCKETS, -1, dtype=np.int32)
         place[seen] = np.arange(len(seen))
-        kept = place[words] >= 0
-        column, at = place[words[kept]], row[kept]
+        kept = [(place[words[k]], row[k]) for words, row in _blocks(rows) for k in (place[words] >= 0,)]
+        column, at = (np.concatenate(x) for x in zip(*kept, strict=True)) if n else (np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64))
+        del kept
         rate = (y.sum() + 1) / (n + 2)
         w, d, bias = np.zeros(len(seen)), np.zeros(DENSE), float(np.log(rate / (1 - rate)))
         g_w, g_d, g_b = np.zeros(len(seen)), np.zeros(DENSE), 0.0  # running squares of the gradients
@@ -98,6 +110,14 @@ def fit(rows: list[np.ndarray], extra: np.ndarray, labels: np.ndarray) -> dict[s
     return out
 
 
+def _views(chunk: pa.Array) -> Iterator[np.ndarray]:
+    """The 32-bit integers of each binary value, without a copy."""
+    ends = np.frombuffer(chunk.buffers()[1], dtype="<i4")[chunk.offset : chunk.offset + len(chunk) + 1] // 4
+    data = np.frombuffer(chunk.buffers()[2] or b"", dtype="<i4", count=int(ends[-1]))
+    for a, b in zip(ends[:-1], ends[1:], strict=True):
+        yield data[a:b]
+
+
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> dict[str, np.ndarray]:
     """Models from the labelled rows of docs (doc_id, text), at most max_labelled of them; only their features come to the driver.
 
@@ -115,7 +135,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     joined = docs.withColumn("t", F.xxhash64("text")).join(F.broadcast(picked), "doc_id").select("text", "doc_id", "t", "quality", "toxic")
     rows = joined.mapInArrow(each, "words binary, dense array<double>, doc_id long, t long, quality int, toxic int").dropDuplicates(["doc_id", "t", "quality", "toxic"])
     rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "t", "quality", "toxic").limit(max_labelled).toArrow()
-    words = [np.frombuffer(x, dtype="<i4") for x in rows.column("words").to_pylist()]
+    words = [x for chunk in rows.column("words").chunks for x in _views(chunk)]
     extra = np.array(rows.column("dense").to_pylist(), dtype=float).reshape(len(words), DENSE)
     marks = np.stack([rows.column(c).to_numpy().astype(float) for c in ("quality", "toxic")], axis=1) if len(words) else np.zeros((0, 2))
     return fit(words, extra, marks)

@@ -1,4 +1,5 @@
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -122,3 +123,16 @@ def test_repeated_ids_stay_within_the_bound(spark, docs):
     finally:
         quality.fit = real
     assert sizes == [50]
+
+
+def test_fit_holds_the_words_of_a_few_rows_at_a_time():
+    rnd = np.random.default_rng(2)
+    rows = [np.unique(rnd.integers(0, quality.BUCKETS, 2000, dtype=np.int32)) for _ in range(2000)]
+    labels = rnd.integers(0, 2, (2000, 2)).astype(float)
+    tracemalloc.start()
+    model = quality.fit(rows, np.zeros((2000, quality.DENSE)), labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20, peak  # all rows' words are 16 MB, their row numbers 32 MB
+    y, held = labels[:, 0], np.bincount(np.concatenate(rows), minlength=quality.BUCKETS)
+    assert len(quality.telling(rows, y)) == len(model["seen0"]) and (held[model["seen0"]] >= quality.MIN_DOCS).all()
