@@ -100,10 +100,18 @@ def sample_paths(files: DataFrame, done: DataFrame | None = None, members: tuple
     Paths are those that its members have to have; `missing` holds the paths of required members that aren't there. done:
     sample_id of the complete samples, the only ones to be kept; an empty table or none keeps all.
     """
-    sample, ext = member_parts(F.col("path"), members)
-    folder = F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
-    rows = files.select(folder.alias("shard_dir"), sample.alias("sample_id"), ext.alias("ext"))
-    rows = rows.where(F.col("shard_dir").rlike(r"(?:^|/)final_wds-[^/]*/wds-[^/]*/w[^/]*/shard-[^/]*$") & F.col("ext").isin(*members))
+
+    def parts(path: Column) -> Column:
+        sample, ext = member_parts(path, members)
+        return F.struct(F.regexp_extract(path, r"^(.*)/[^/]+$", 1).alias("shard_dir"), sample.alias("sample_id"), ext.alias("ext"))
+
+    def wanted(x: Column) -> Column:
+        return x["ext"].isin(*members) & x["shard_dir"].rlike(r"(?:^|/)final_wds-[^/]*/wds-[^/]*/w[^/]*/shard-[^/]*$")
+
+    # Within a generator a path is taken apart once; a filter behind a select would do it for itself and once more for each column.
+    rows = files.select(F.inline(F.filter(F.transform(F.array("path"), parts), wanted)))
+    # One shuffle serves both aggregates.
+    rows = rows.repartition("sample_id")
     there = rows.groupBy("sample_id", "shard_dir").agg(*[F.max(F.col("ext") == m).alias(f"_{k}") for k, m in enumerate(members)])
     last = there.where(f"_{members.index('mp4')}").groupBy("sample_id").agg(F.max(F.struct("shard_dir", *[f"_{k}" for k in range(len(members))])).alias("s"))
     path = {m: F.concat("s.shard_dir", F.lit("/"), "sample_id", F.lit(f".{m}")) for m in members}

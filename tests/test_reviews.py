@@ -126,3 +126,9 @@ def test_sentences_are_stripped_one_by_one(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = {r.t: r.s for r in df.select("t", C.strip_sentences(F.col("t")).alias("s")).collect()}
     assert got == dict(zip(texts, ["A car. The end", "No hit. Here?", "", "", "", None, "", "Stop. moves"], strict=True))
+
+
+def test_sample_paths_takes_a_path_apart_once(spark):
+    files = spark.createDataFrame([("x",)], "x string").select(F.upper("x").alias("path"))
+    plan = readers.sample_paths(files)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract(") == 1 and plan.count("upper(") == 1
